@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tidemart.session import pin
 
-ROWS_PER_SLICE = 250_000
+ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 20_000
 SAMPLES_PER_SLICE = 20
 
@@ -62,7 +62,7 @@ def _slice_of(key: Column, names: Sequence[str], cuts: Column, count: int, cut_o
 
     if not steps:
         return F.lit(0)
-    return F.reduce(F.array(*map(F.lit, steps)), F.lit(0), advance)
+    return F.coalesce(F.reduce(F.array(*map(F.lit, steps)), F.lit(0), advance), F.lit(0))
 
 
 def strictly_before(

@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.plans.retail import Retail
+
+
+# Stated, so that opening a table reads no file footers first.
+SCHEMAS = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -35,47 +55,79 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def inventory(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"), F.col("p_size").alias("stock_quantity")
-    )
-
-
-def _order_heads(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("sale_date"),
-    )
-
+class StarRetail:
+    """The views of ``Retail`` over the star schema, each built when first asked for.
 
-def retail(spark: SparkSession, folder: str) -> Retail:
-    """Retail tables: one sale per order and part.
-
-    Lines carry no unique key, so a sale sums the lines of one part in one
-    order. Sums need not wait for that: they run on the raw lines
-    (``product_lines``), or on one row per order (``customer_lines``), and the
-    order table is joined only where customer or date is asked for.
+    A sale is one part in one order: lines carry no unique key, so ``sales``
+    sums the lines of a part in an order. Plain sums need not wait for that.
+    They run on the raw lines (``product_lines``) or on one row per order
+    (``customer_lines``), and the order table is joined only where customer or
+    date is asked for.
     """
-    raw = table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity_sold"),
-        F.col("l_extendedprice").cast("decimal(10,2)").alias("total_amount"),
-    )
-    measures = [F.sum("quantity_sold").alias("quantity_sold"), F.sum("total_amount").alias("total_amount")]
-    heads = _order_heads(spark, folder)
-    sales = raw.groupBy("order_id", "product_id").agg(*measures).join(heads, "order_id", "left").select(
-        F.concat_ws("-", "order_id", "product_id").alias("sale_id"),
-        "customer_id", "product_id", F.col("quantity_sold").cast("int").alias("quantity_sold"),
-        "sale_date", F.col("total_amount").cast("decimal(18,2)").alias("total_amount"),
-    )
-    return Retail(
-        customers=customers(spark, folder),
-        products=products(spark, folder),
-        sales=sales,
-        inventory=inventory(spark, folder),
-        lines=raw.join(heads, "order_id", "left").drop("order_id"),
-        product_lines=raw.drop("order_id"),
-        customer_lines=raw.groupBy("order_id").agg(*measures).join(heads, "order_id", "left").drop("order_id"),
-    )
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark, self._folder = spark, folder
+
+    def _table(self, name: str) -> DataFrame:
+        return table(self._spark, self._folder, name)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self._spark, self._folder)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products(self._spark, self._folder)
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return self._table("part").select(
+            F.col("p_partkey").alias("product_id"), F.col("p_size").alias("stock_quantity")
+        )
+
+    @cached_property
+    def _raw(self) -> DataFrame:
+        return self._table("lineitem").select(
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_quantity").cast("int").alias("quantity_sold"),
+            F.col("l_extendedprice").cast("decimal(10,2)").alias("total_amount"),
+        )
+
+    @cached_property
+    def _heads(self) -> DataFrame:
+        return self._table("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").cast("date").alias("sale_date"),
+        )
+
+    def _summed(self, *keys: str) -> DataFrame:
+        totals = self._raw.groupBy(*keys).agg(
+            F.sum("quantity_sold").alias("quantity_sold"), F.sum("total_amount").alias("total_amount")
+        )
+        return totals.join(self._heads, "order_id", "left")
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self._summed("order_id", "product_id").select(
+            F.concat_ws("-", "order_id", "product_id").alias("sale_id"),
+            "customer_id", "product_id", F.col("quantity_sold").cast("int").alias("quantity_sold"),
+            "sale_date", F.col("total_amount").cast("decimal(18,2)").alias("total_amount"),
+        )
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        return self._raw.join(self._heads, "order_id", "left").drop("order_id")
+
+    @property
+    def product_lines(self) -> DataFrame:
+        return self._raw.drop("order_id")
+
+    @cached_property
+    def customer_lines(self) -> DataFrame:
+        return self._summed("order_id").drop("order_id")
+
+
+def retail(spark: SparkSession, folder: str) -> StarRetail:
+    return StarRetail(spark, folder)

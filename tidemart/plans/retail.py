@@ -51,9 +51,16 @@ def question(*names: str) -> Callable:
     return register
 
 
-QUANTITY = F.sum("quantity_sold")
-AMOUNT = F.sum("total_amount")
-SALES = F.count(F.lit(1))
+def quantity() -> Column:
+    return F.sum("quantity_sold")
+
+
+def amount() -> Column:
+    return F.sum("total_amount")
+
+
+def sale_count() -> Column:
+    return F.count(F.lit(1))
 
 
 def per_customer(r: Retail, lines: DataFrame, names: tuple[str, ...], **measures: Column) -> DataFrame:

@@ -11,7 +11,7 @@ from tidemart.functions.scalars import full_name, in_month, in_year, within_days
 from tidemart.operators.joins import exists_in, not_in
 from tidemart.operators.ordered import numbered
 from tidemart.plans.retail import (
-    AMOUNT, QUANTITY, SALES, Retail, per_attribute, per_customer, per_product, question,
+    Retail, amount, per_attribute, per_customer, per_product, quantity, question, sale_count,
 )
 
 
@@ -37,7 +37,7 @@ def average_price(r: Retail) -> DataFrame:
 
 @question("q005")
 def total_sales_amount(r: Retail) -> DataFrame:
-    return r.product_lines.agg(AMOUNT.alias("total_sales_amount"))
+    return r.product_lines.agg(amount().alias("total_sales_amount"))
 
 
 @question("q006")
@@ -62,12 +62,12 @@ def highest_price(r: Retail) -> DataFrame:
 
 @question("q010")
 def sales_count_by_product(r: Retail) -> DataFrame:
-    return r.sales.groupBy("product_id").agg(SALES.alias("number_of_sales"))
+    return r.sales.groupBy("product_id").agg(sale_count().alias("number_of_sales"))
 
 
 @question("q011")
 def quantity_by_product(r: Retail) -> DataFrame:
-    return r.product_lines.groupBy("product_id").agg(QUANTITY.alias("total_quantity_sold"))
+    return r.product_lines.groupBy("product_id").agg(quantity().alias("total_quantity_sold"))
 
 
 @question("q012")
@@ -88,12 +88,12 @@ def buyers_above_price(r: Retail, floor: float = 1000) -> DataFrame:
 
 @question("q014", "q022")
 def amount_by_product_name(r: Retail) -> DataFrame:
-    return per_attribute(r, r.product_lines, ("product_name",), total_sales_amount=AMOUNT)
+    return per_attribute(r, r.product_lines, ("product_name",), total_sales_amount=amount())
 
 
 @question("q015")
 def amount_by_customer(r: Retail) -> DataFrame:
-    return per_customer(r, r.customer_lines, ("first_name", "last_name"), total_spent=AMOUNT)
+    return per_customer(r, r.customer_lines, ("first_name", "last_name"), total_spent=amount())
 
 
 @question("q016")
@@ -147,7 +147,7 @@ def pairs_led_by(pairs: DataFrame, customer_id: int) -> DataFrame:
 
 @question("q018")
 def sales_count_by_product_name(r: Retail) -> DataFrame:
-    return per_attribute(r, r.sales, ("product_name",), total_sales_count=SALES)
+    return per_attribute(r, r.sales, ("product_name",), total_sales_count=sale_count())
 
 
 @question("q019")
@@ -157,7 +157,7 @@ def low_stock_products(r: Retail, below: int = 10) -> DataFrame:
 
 @question("q020")
 def well_sold_product_names(r: Retail, above: int = 5) -> DataFrame:
-    return per_attribute(r, r.product_lines, ("product_name",), total_sold=QUANTITY).filter(
+    return per_attribute(r, r.product_lines, ("product_name",), total_sold=quantity()).filter(
         F.col("total_sold") > above
     )
 
@@ -176,7 +176,7 @@ def buyers_in_year(r: Retail, year: int = 2023) -> DataFrame:
 @question("q024")
 def top_customer_of_year(r: Retail, year: int = 2023, name: str = "total_sales") -> DataFrame:
     return (
-        per_customer(r, r.customer_lines.filter(in_year("sale_date", year)), ("first_name",), **{name: AMOUNT})
+        per_customer(r, r.customer_lines.filter(in_year("sale_date", year)), ("first_name",), **{name: amount()})
         .orderBy(F.col(name).desc_nulls_last(), "customer_id")
         .limit(1)
     )
@@ -195,7 +195,7 @@ def dearest_product_sold(r: Retail) -> DataFrame:
 @question("q026")
 def sales_above_price(r: Retail, floor: float = 500) -> DataFrame:
     priced = r.products.filter(F.col("price") > floor).select("product_id")
-    sold = r.sales.groupBy("customer_id", "product_id").agg(SALES.alias("n")).join(priced, "product_id", "left_semi")
+    sold = r.sales.groupBy("customer_id", "product_id").agg(sale_count().alias("n")).join(priced, "product_id", "left_semi")
     return sold.join(r.customers.select("customer_id"), "customer_id", "left_semi").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("customer_count")
     )
@@ -210,7 +210,7 @@ def buyer_count_above_price(r: Retail, floor: float = 500) -> DataFrame:
 def sales_by_status_members(r: Retail, status: str = "Gold") -> DataFrame:
     members = r.customers.filter(F.col("membership_status") == status).select("customer_id")
     sold = r.sales.join(members, "customer_id", "left_semi").join(r.products.select("product_id"), "product_id", "left_semi")
-    return sold.agg(SALES.alias("total_sales_gold_members"))
+    return sold.agg(sale_count().alias("total_sales_gold_members"))
 
 
 @question("q028")
@@ -223,7 +223,7 @@ def low_inventory(r: Retail, below: int = 10) -> DataFrame:
 
 @question("q029")
 def customers_above_quantity(r: Retail, above: int = 5) -> DataFrame:
-    return per_customer(r, r.customer_lines, ("first_name", "last_name"), total_quantity=QUANTITY).filter(
+    return per_customer(r, r.customer_lines, ("first_name", "last_name"), total_quantity=quantity()).filter(
         F.col("total_quantity") > above
     )
 
@@ -235,13 +235,13 @@ def average_quantity_by_product(r: Retail) -> DataFrame:
 
 @question("q031")
 def sales_in_month(r: Retail, year: int = 2023, month: int = 12) -> DataFrame:
-    return r.sales.filter(in_month("sale_date", year, month)).agg(SALES.alias("sales_in_dec_2023"))
+    return r.sales.filter(in_month("sale_date", year, month)).agg(sale_count().alias("sales_in_dec_2023"))
 
 
 @question("q032")
 def customer_spend_of_year(r: Retail, year: int = 2023) -> DataFrame:
     return per_customer(
-        r, r.customer_lines.filter(in_year("sale_date", year)), ("first_name",), total_spent=AMOUNT
+        r, r.customer_lines.filter(in_year("sale_date", year)), ("first_name",), total_spent=amount()
     ).orderBy(F.col("total_spent").desc_nulls_last(), "customer_id")
 
 
@@ -258,7 +258,7 @@ def low_inventory_rows(r: Retail, below: int) -> DataFrame:
 
 @question("q034")
 def product_names_by_amount(r: Retail) -> DataFrame:
-    return per_attribute(r, r.product_lines, ("product_name",), total_sales=AMOUNT).orderBy(
+    return per_attribute(r, r.product_lines, ("product_name",), total_sales=amount()).orderBy(
         F.col("total_sales").desc_nulls_last(), "product_name"
     )
 
@@ -284,7 +284,7 @@ def sales_in_price_band(r: Retail, low: float = 100, high: float = 500) -> DataF
 @question("q037")
 def most_frequent_customer(r: Retail) -> DataFrame:
     return (
-        per_customer(r, r.sales, ("first_name",), purchase_count=SALES)
+        per_customer(r, r.sales, ("first_name",), purchase_count=sale_count())
         .orderBy(F.desc("purchase_count"), "customer_id")
         .limit(1)
     )
@@ -292,7 +292,7 @@ def most_frequent_customer(r: Retail) -> DataFrame:
 
 @question("q038")
 def quantity_by_customer(r: Retail) -> DataFrame:
-    return per_customer(r, r.customer_lines, ("first_name",), total_quantity_sold=QUANTITY)
+    return per_customer(r, r.customer_lines, ("first_name",), total_quantity_sold=quantity())
 
 
 @question("q039")
@@ -309,7 +309,7 @@ def stock_extremes(r: Retail) -> DataFrame:
 @question("q040")
 def amount_by_matching_name(r: Retail, pattern: str = "%Phone%") -> DataFrame:
     named = r.products.filter(F.col("product_name").like(pattern)).select("product_id", "product_name")
-    totals = r.product_lines.groupBy("product_id").agg(AMOUNT.alias("total_sales"))
+    totals = r.product_lines.groupBy("product_id").agg(amount().alias("total_sales"))
     return named.join(totals, "product_id", "left").groupBy("product_name").agg(
         F.sum("total_sales").alias("total_sales")
     )
@@ -320,7 +320,7 @@ def amount_by_member_and_product(r: Retail, status: str = "Gold") -> DataFrame:
     members = r.customers.filter(F.col("membership_status") == status).select(
         "customer_id", "first_name", "membership_status"
     )
-    totals = r.lines.groupBy("customer_id", "product_id").agg(AMOUNT.alias("_amount"))
+    totals = r.lines.groupBy("customer_id", "product_id").agg(amount().alias("_amount"))
     return (
         totals.join(members, "customer_id")
         .join(r.products.select("product_id", "product_name"), "product_id")
@@ -332,14 +332,14 @@ def amount_by_member_and_product(r: Retail, status: str = "Gold") -> DataFrame:
 
 @question("q042")
 def amount_by_category(r: Retail) -> DataFrame:
-    return per_attribute(r, r.product_lines, ("category",), total_sales=AMOUNT)
+    return per_attribute(r, r.product_lines, ("category",), total_sales=amount())
 
 
 @question("q043")
 def amount_by_product_name_and_month(r: Retail) -> DataFrame:
     monthly = r.lines.groupBy(
         "product_id", F.year("sale_date").alias("sale_year"), F.month("sale_date").alias("sale_month")
-    ).agg(AMOUNT.alias("_amount"))
+    ).agg(amount().alias("_amount"))
     return (
         monthly.join(r.products.select("product_id", "product_name"), "product_id")
         .groupBy("product_name", "sale_year", "sale_month")
@@ -360,7 +360,7 @@ def sold_with_stock_left(r: Retail) -> DataFrame:
 @question("q045")
 def top_customers(r: Retail, k: int = 5) -> DataFrame:
     return (
-        per_customer(r, r.customer_lines, ("first_name",), total_purchases=AMOUNT)
+        per_customer(r, r.customer_lines, ("first_name",), total_purchases=amount())
         .orderBy(F.col("total_purchases").desc_nulls_last(), "customer_id")
         .limit(k)
     )
@@ -383,7 +383,7 @@ def products_without_recent_sale(r: Retail, as_of: dt.date | None = None, months
 @question("q048")
 def quantity_in_price_band(r: Retail, low: float = 200, high: float = 800) -> DataFrame:
     band = r.products.filter(F.col("price").between(low, high))
-    return per_attribute(r, r.product_lines, ("product_name", "price"), band, total_quantity_sold=QUANTITY)
+    return per_attribute(r, r.product_lines, ("product_name", "price"), band, total_quantity_sold=quantity())
 
 
 @question("q049")
@@ -394,6 +394,6 @@ def top_spender_of_year(r: Retail, year: int = 2023) -> DataFrame:
 @question("q050")
 def much_sold_dear_products(r: Retail, above: int = 100, floor: float = 200) -> DataFrame:
     dear = r.products.filter(F.col("price") > floor)
-    return per_attribute(r, r.product_lines, ("product_name", "price"), dear, total_sold_products=QUANTITY).filter(
+    return per_attribute(r, r.product_lines, ("product_name", "price"), dear, total_sold_products=quantity()).filter(
         F.col("total_sold_products") > above
     )

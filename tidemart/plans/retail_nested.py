@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.scalars import in_year, mean_day
 from tidemart.operators.joins import not_in
 from tidemart.plans.retail import (
-    AMOUNT, QUANTITY, SALES, Retail, per_attribute, per_customer, per_product, question,
+    Retail, amount, per_attribute, per_customer, per_product, quantity, question, sale_count,
 )
 
 
@@ -29,7 +31,7 @@ def sales_above_mean_sale(r: Retail) -> DataFrame:
 
 @question("q051_intent")
 def customers_above_mean_spend(r: Retail) -> DataFrame:
-    spend = per_customer(r, r.customer_lines, ("first_name",), total_spent=AMOUNT)
+    spend = per_customer(r, r.customer_lines, ("first_name",), total_spent=amount())
     return spend.filter(F.col("total_spent") > spend.agg(F.avg("total_spent")).scalar())
 
 
@@ -48,9 +50,9 @@ def customers_without_sale(r: Retail, year: int | None = None) -> DataFrame:
 
 
 @question("q054")
-def products_without_sale(r: Retail, before: Column | None = None) -> DataFrame:
-    """Never sold; with ``before``, not among the sales meeting that condition."""
-    sales = r.lines if before is None else r.lines.filter(before)
+def products_without_sale(r: Retail, since: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
+    """Never sold; with ``since`` and ``until``, not sold between those days."""
+    sales = r.product_lines if since is None else r.lines.filter(F.col("sale_date").between(since, until))
     return not_in(r.products.select("product_id", "product_name"), "product_id", sales)
 
 
@@ -67,7 +69,7 @@ def product_sales_above_mean_sale(r: Retail) -> DataFrame:
 
 @question("q056_intent")
 def products_above_mean_total(r: Retail) -> DataFrame:
-    totals = per_product(r, r.product_lines, ("product_name",), total_amount=AMOUNT)
+    totals = per_product(r, r.product_lines, ("product_name",), total_amount=amount())
     return totals.filter(F.col("total_amount") > totals.agg(F.avg("total_amount")).scalar())
 
 
@@ -96,8 +98,8 @@ def sales_above_customers_sale(r: Retail, customer_id: int = 10) -> DataFrame:
 
 @question("q059_intent")
 def customers_above_customer(r: Retail, customer_id: int = 10) -> DataFrame:
-    theirs = r.customer_lines.filter(F.col("customer_id") == customer_id).agg(AMOUNT).scalar()
-    spend = per_customer(r, r.customer_lines, ("first_name",), total_spent=AMOUNT)
+    theirs = r.customer_lines.filter(F.col("customer_id") == customer_id).agg(amount()).scalar()
+    spend = per_customer(r, r.customer_lines, ("first_name",), total_spent=amount())
     return spend.filter(F.col("total_spent") > theirs)
 
 
@@ -110,14 +112,14 @@ def product_sales_above_mean_quantity(r: Retail) -> DataFrame:
 
 @question("q060_intent")
 def products_above_mean_quantity(r: Retail) -> DataFrame:
-    totals = per_product(r, r.product_lines, ("product_name",), quantity_sold=QUANTITY)
+    totals = per_product(r, r.product_lines, ("product_name",), quantity_sold=quantity())
     return totals.filter(F.col("quantity_sold") > totals.agg(F.avg("quantity_sold")).scalar())
 
 
 @question("q061")
 def top_spenders(r: Retail, k: int = 5) -> DataFrame:
     return (
-        per_customer(r, r.customer_lines, ("first_name",), total_spent=AMOUNT)
+        per_customer(r, r.customer_lines, ("first_name",), total_spent=amount())
         .orderBy(F.col("total_spent").desc_nulls_last(), "customer_id")
         .limit(k)
     )
@@ -126,7 +128,7 @@ def top_spenders(r: Retail, k: int = 5) -> DataFrame:
 @question("q062")
 def most_sold_products(r: Retail, k: int = 3) -> DataFrame:
     return (
-        per_product(r, r.product_lines, ("product_name",), total_quantity=QUANTITY)
+        per_product(r, r.product_lines, ("product_name",), total_quantity=quantity())
         .orderBy(F.col("total_quantity").desc_nulls_last(), "product_id")
         .limit(k)
     )
@@ -135,7 +137,7 @@ def most_sold_products(r: Retail, k: int = 3) -> DataFrame:
 @question("q063")
 def top_category(r: Retail) -> DataFrame:
     return (
-        per_attribute(r, r.product_lines, ("category",), total_revenue=AMOUNT)
+        per_attribute(r, r.product_lines, ("category",), total_revenue=amount())
         .orderBy(F.col("total_revenue").desc_nulls_last(), "category")
         .limit(1)
     )
@@ -143,32 +145,32 @@ def top_category(r: Retail) -> DataFrame:
 
 @question("q064", "q064_intent")
 def repeat_customers(r: Retail, above: int = 1) -> DataFrame:
-    return per_customer(r, r.sales, ("first_name",), purchase_count=SALES).filter(F.col("purchase_count") > above)
+    return per_customer(r, r.sales, ("first_name",), purchase_count=sale_count()).filter(F.col("purchase_count") > above)
 
 
 @question("q065")
 def products_above_mean_sale_quantity(r: Retail) -> DataFrame:
     mean = r.sales.agg(F.avg("quantity_sold")).scalar()
-    return per_product(r, r.product_lines, (), total_quantity_sold=QUANTITY).filter(
+    return per_product(r, r.product_lines, (), total_quantity_sold=quantity()).filter(
         F.col("total_quantity_sold") > mean
     )
 
 
 @question("q065_intent")
 def products_above_mean_total_quantity(r: Retail) -> DataFrame:
-    totals = per_product(r, r.product_lines, (), total_quantity_sold=QUANTITY)
+    totals = per_product(r, r.product_lines, (), total_quantity_sold=quantity())
     return totals.filter(F.col("total_quantity_sold") > totals.agg(F.avg("total_quantity_sold")).scalar())
 
 
 @question("q066")
 def spenders_above_mean(r: Retail) -> DataFrame:
-    spend = per_customer(r, r.customer_lines, ("first_name", "last_name"), total_spent=AMOUNT)
+    spend = per_customer(r, r.customer_lines, ("first_name", "last_name"), total_spent=amount())
     return spend.filter(F.col("total_spent") > spend.agg(F.avg("total_spent")).scalar())
 
 
 @question("q067")
 def product_names_by_revenue(r: Retail) -> DataFrame:
-    return per_attribute(r, r.product_lines, ("product_name",), total_revenue=AMOUNT).orderBy(
+    return per_attribute(r, r.product_lines, ("product_name",), total_revenue=amount()).orderBy(
         F.col("total_revenue").desc_nulls_last(), "product_name"
     )
 
@@ -177,7 +179,7 @@ def product_names_by_revenue(r: Retail) -> DataFrame:
 def best_month(r: Retail) -> DataFrame:
     return (
         r.customer_lines.groupBy(F.year("sale_date").alias("sale_year"), F.month("sale_date").alias("sale_month"))
-        .agg(AMOUNT.alias("monthly_revenue"))
+        .agg(amount().alias("monthly_revenue"))
         .orderBy(F.col("monthly_revenue").desc_nulls_last(), "sale_year", "sale_month")
         .limit(1)
     )
@@ -192,5 +194,5 @@ def widely_bought_products(r: Retail, above: int = 3) -> DataFrame:
 
 @question("q070")
 def products_below_mean_quantity(r: Retail) -> DataFrame:
-    totals = per_product(r, r.product_lines, ("product_name",), total_quantity=QUANTITY)
+    totals = per_product(r, r.product_lines, ("product_name",), total_quantity=quantity())
     return totals.filter(F.col("total_quantity") < totals.agg(F.avg("total_quantity")).scalar())

@@ -9,7 +9,7 @@ from tidemart.functions.scalars import share_pct
 from tidemart.operators.joins import exists_in
 from tidemart.operators.ordered import neighbour, ranked, strictly_before, tiles, top_ranks
 from tidemart.plans.retail import (
-    AMOUNT, QUANTITY, SALES, Retail, per_attribute, per_customer, per_product, question,
+    Retail, amount, per_attribute, per_customer, per_product, quantity, question, sale_count,
 )
 from tidemart.plans.retail_basic import early_sales
 from tidemart.plans.retail_nested import mean_sale
@@ -23,7 +23,7 @@ def _customer_amounts(r: Retail) -> DataFrame:
 
 
 def _customer_spend(r: Retail, *names: str) -> DataFrame:
-    return per_customer(r, r.customer_lines, ("first_name", *names), total_spent=AMOUNT)
+    return per_customer(r, r.customer_lines, ("first_name", *names), total_spent=amount())
 
 
 @question("q071")
@@ -48,7 +48,7 @@ def products_ranked_by_sale_quantity(r: Retail, rows_per_slice: int | None = Non
 
 @question("q072_intent")
 def products_ranked_by_quantity(r: Retail, rows_per_slice: int | None = None) -> DataFrame:
-    rows = per_product(r, r.product_lines, ("product_name",), total_quantity=QUANTITY)
+    rows = per_product(r, r.product_lines, ("product_name",), total_quantity=quantity())
     return ranked(rows, by=-F.col("total_quantity"), tie="product_id", out="rank_quantity_sold",
                   rows_per_slice=rows_per_slice)
 
@@ -78,7 +78,7 @@ def products_ranked_in_category(r: Retail, rows_per_slice: int | None = None) ->
 
 @question("q076")
 def customers_ranked_by_purchases(r: Retail, rows_per_slice: int | None = None) -> DataFrame:
-    rows = per_customer(r, r.sales, ("first_name",), purchase_count=SALES)
+    rows = per_customer(r, r.sales, ("first_name",), purchase_count=sale_count())
     return ranked(rows, by=-F.col("purchase_count"), tie="customer_id", out="purchase_rank",
                   rows_per_slice=rows_per_slice)
 
@@ -90,7 +90,7 @@ def _running_by_date(r: Retail, newest_first: bool) -> DataFrame:
     are summed per date first, and the one-task window sees one row per calendar
     date, which a calendar bounds.
     """
-    daily = r.customer_lines.groupBy("sale_date").agg(AMOUNT.alias("_day"))
+    daily = r.customer_lines.groupBy("sale_date").agg(amount().alias("_day"))
     order = F.col("sale_date").desc_nulls_first() if newest_first else F.col("sale_date").asc_nulls_last()
     totals = daily.select(
         F.col("sale_date").alias("_date"), F.sum("_day").over(Window.orderBy(order)).alias("running_total")
@@ -167,7 +167,7 @@ def stock_below_mean(r: Retail) -> DataFrame:
 
 @question("q084")
 def repeated_products(r: Retail, above: int = 1) -> DataFrame:
-    counts = r.sales.groupBy("customer_id", "product_id").agg(SALES.alias("_n"))
+    counts = r.sales.groupBy("customer_id", "product_id").agg(sale_count().alias("_n"))
     named = counts.join(r.products.select("product_id", "product_name"), "product_id")
     repeated = named.groupBy("customer_id", "product_name").agg(F.sum("_n").alias("times_purchased")).filter(
         F.col("times_purchased") > above
@@ -177,14 +177,14 @@ def repeated_products(r: Retail, above: int = 1) -> DataFrame:
 
 @question("q085")
 def categories_by_revenue(r: Retail) -> DataFrame:
-    return per_attribute(r, r.product_lines, ("category",), total_revenue=AMOUNT).orderBy(
+    return per_attribute(r, r.product_lines, ("category",), total_revenue=amount()).orderBy(
         F.col("total_revenue").desc_nulls_last(), "category"
     )
 
 
 @question("q086")
 def leading_product_names(r: Retail, k: int = 3) -> DataFrame:
-    rows = per_attribute(r, r.product_lines, ("product_name",), total_qty_sold=QUANTITY)
+    rows = per_attribute(r, r.product_lines, ("product_name",), total_qty_sold=quantity())
     return top_ranks(rows, by="total_qty_sold", highest=k, out="qty_rank").drop("qty_rank")
 
 
@@ -215,8 +215,8 @@ def distinct_sales_above_mean(r: Retail) -> DataFrame:
 
 @question("q090")
 def customers_above_mean_quantity(r: Retail) -> DataFrame:
-    per_buyer = r.customer_lines.groupBy("customer_id").agg(QUANTITY.alias("q"))
-    totals = per_customer(r, r.customer_lines, ("first_name", "last_name"), total_qty=QUANTITY)
+    per_buyer = r.customer_lines.groupBy("customer_id").agg(quantity().alias("q"))
+    totals = per_customer(r, r.customer_lines, ("first_name", "last_name"), total_qty=quantity())
     return totals.filter(F.col("total_qty") > per_buyer.agg(F.avg("q")).scalar())
 
 
@@ -235,7 +235,7 @@ def products_of_half_the_revenue(r: Retail, share: float = 0.5, rows_per_slice:
     The total down to a name, its peers included, is the grand total less
     everything strictly smaller.
     """
-    revenue = pin(per_attribute(r, r.product_lines, ("product_name",), total_revenue=AMOUNT))
+    revenue = pin(per_attribute(r, r.product_lines, ("product_name",), total_revenue=amount()))
     grand = revenue.agg(F.sum("total_revenue")).scalar()
     smaller = strictly_before(revenue, by=F.col("total_revenue"), tie="product_name",
                               measures={"_smaller": F.col("total_revenue")}, pinned=True,
@@ -262,7 +262,7 @@ def consecutive_month_buyers(r: Retail) -> DataFrame:
 
 @question("q094")
 def stock_less_sold(r: Retail) -> DataFrame:
-    sold = r.product_lines.groupBy("product_id").agg(QUANTITY.alias("_sold"))
+    sold = r.product_lines.groupBy("product_id").agg(quantity().alias("_sold"))
     totals = (
         r.products.select("product_id", "product_name", "stock_quantity").join(sold, "product_id", "left")
         .groupBy("product_name", "stock_quantity")
@@ -285,14 +285,14 @@ def spenders_above_status_mean(r: Retail) -> DataFrame:
 
 def _category_means(r: Retail, per_sale: bool) -> DataFrame:
     """Mean sale per category, or mean product total per category."""
-    sums = per_product(r, r.sales, ("category",), _amount=AMOUNT, _n=F.count("total_amount"))
+    sums = per_product(r, r.sales, ("category",), _amount=amount(), _n=F.count("total_amount"))
     weight = F.sum("_n") if per_sale else F.count("_amount")
     mean = F.sum("_amount").cast("double") / weight
     return sums.groupBy("category").agg(mean.alias("avg_category_sales"))
 
 
 def _products_above(r: Retail, means: DataFrame) -> DataFrame:
-    totals = per_product(r, r.product_lines, ("product_name", "category"), total_sales=AMOUNT)
+    totals = per_product(r, r.product_lines, ("product_name", "category"), total_sales=amount())
     return totals.join(means, "category").filter(F.col("total_sales") > F.col("avg_category_sales")).select(
         "product_name", "category", "total_sales", "avg_category_sales"
     )
@@ -316,7 +316,7 @@ def largest_share_in_one_sale(r: Retail) -> DataFrame:
     customer before names are joined.
     """
     best = r.sales.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        F.max("total_amount").alias("single_purchase"), AMOUNT.alias("total_spent")
+        F.max("total_amount").alias("single_purchase"), amount().alias("total_spent")
     )
     share = best.withColumn("pct_of_total", share_pct(F.col("single_purchase"), F.col("total_spent")))
     return (
@@ -329,7 +329,7 @@ def largest_share_in_one_sale(r: Retail) -> DataFrame:
 
 @question("q098")
 def leading_names_in_category(r: Retail, k: int = 3) -> DataFrame:
-    rows = per_attribute(r, r.product_lines, ("product_name", "category"), total_qty_sold=QUANTITY)
+    rows = per_attribute(r, r.product_lines, ("product_name", "category"), total_qty_sold=quantity())
     return top_ranks(rows, by="total_qty_sold", within=["category"], highest=k, out="qty_rank")
 
 

@@ -6,26 +6,29 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+STRING, INT, BIGINT = T.StringType(), T.IntegerType(), T.LongType()
+DOUBLE, DATE, TIMESTAMP = T.DoubleType(), T.DateType(), T.TimestampType()
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 # --- retail -----------------------------------------------------------------
 RETAIL = {
-    "customers": _schema(
-        "customer_id INT, first_name STRING, last_name STRING, email STRING, "
-        "phone_number STRING, registration_date DATE, membership_status STRING"
+    "customers": schema(
+        customer_id=INT, first_name=STRING, last_name=STRING, email=STRING, phone_number=STRING,
+        registration_date=DATE, membership_status=STRING
     ),
-    "products": _schema(
-        "product_id INT, product_name STRING, category STRING, price DECIMAL(10,2), "
-        "supplier STRING, stock_quantity INT"
+    "products": schema(
+        product_id=INT, product_name=STRING, category=STRING, price=T.DecimalType(10, 2), supplier=STRING,
+        stock_quantity=INT
     ),
-    "sales": _schema(
-        "sale_id INT, customer_id INT, product_id INT, quantity_sold INT, "
-        "sale_date DATE, total_amount DECIMAL(10,2)"
+    "sales": schema(
+        sale_id=INT, customer_id=INT, product_id=INT, quantity_sold=INT, sale_date=DATE,
+        total_amount=T.DecimalType(10, 2)
     ),
-    "inventory": _schema("product_id INT, stock_quantity INT"),
+    "inventory": schema(product_id=INT, stock_quantity=INT),
 }
 RETAIL_KEYS = {"customers": "customer_id", "products": "product_id", "sales": "sale_id", "inventory": "product_id"}
 # (child table, child column, parent table)
@@ -42,26 +45,23 @@ RETAIL_LENGTHS = {
 
 # --- commerce CSV inputs ----------------------------------------------------
 COMMERCE = {
-    "orders": _schema(
-        "order_id STRING, customer_id STRING, order_date STRING, status STRING, "
-        "total_amount DOUBLE, discount_pct DOUBLE"
-    ),
-    "order_items": _schema(
-        "item_id STRING, order_id STRING, product_id STRING, category STRING, "
-        "quantity INT, unit_price DOUBLE"
+    "orders": schema(
+        order_id=STRING, customer_id=STRING, order_date=STRING, status=STRING, total_amount=DOUBLE,
+        discount_pct=DOUBLE
     ),
-    "customers": _schema(
-        "customer_id STRING, email STRING, country STRING, customer_tier STRING, signup_date STRING"
+    "order_items": schema(
+        item_id=STRING, order_id=STRING, product_id=STRING, category=STRING, quantity=INT, unit_price=DOUBLE
     ),
-    "returns": _schema(
-        "return_id STRING, order_id STRING, return_date STRING, refund_amount DOUBLE, reason STRING"
+    "customers": schema(
+        customer_id=STRING, email=STRING, country=STRING, customer_tier=STRING, signup_date=STRING
     ),
+    "returns": schema(return_id=STRING, order_id=STRING, return_date=STRING, refund_amount=DOUBLE, reason=STRING),
 }
 COMMERCE_KEYS = {"orders": "order_id", "order_items": "item_id", "customers": "customer_id", "returns": "return_id"}
 
 # --- market messages --------------------------------------------------------
-PRICE_MESSAGE = _schema("symbol STRING, price DOUBLE, timestamp STRING")
-TRADE_MESSAGE = _schema("symbol STRING, price DOUBLE, quantity DOUBLE, timestamp STRING")
+PRICE_MESSAGE = schema(symbol=STRING, price=DOUBLE, timestamp=STRING)
+TRADE_MESSAGE = schema(symbol=STRING, price=DOUBLE, quantity=DOUBLE, timestamp=STRING)
 
 
 @dataclass(frozen=True)
@@ -80,57 +80,55 @@ CONTRACTS = {
     for c in (
         Contract(
             "minute_price_avg",
-            _schema(
-                "symbol STRING, window_start TIMESTAMP, window_end TIMESTAMP, avg_price DOUBLE, "
-                "min_price DOUBLE, max_price DOUBLE, tick_count BIGINT"
+            schema(
+                symbol=STRING, window_start=TIMESTAMP, window_end=TIMESTAMP, avg_price=DOUBLE, min_price=DOUBLE,
+                max_price=DOUBLE, tick_count=BIGINT
             ),
             ("symbol", "window_start"), "window_start", True,
         ),
         Contract(
             "hourly_price_avg",
-            _schema(
-                "symbol STRING, window_start TIMESTAMP, window_end TIMESTAMP, avg_price DOUBLE, "
-                "min_price DOUBLE, max_price DOUBLE, price_stddev DOUBLE, tick_count BIGINT"
+            schema(
+                symbol=STRING, window_start=TIMESTAMP, window_end=TIMESTAMP, avg_price=DOUBLE, min_price=DOUBLE,
+                max_price=DOUBLE, price_stddev=DOUBLE, tick_count=BIGINT
             ),
             ("symbol", "window_start"), "window_start", True,
         ),
         Contract(
             "volatility_metrics",
-            _schema(
-                "symbol STRING, timestamp TIMESTAMP, price DOUBLE, rolling_avg DOUBLE, "
-                "rolling_stddev DOUBLE, volatility_pct DOUBLE"
+            schema(
+                symbol=STRING, timestamp=TIMESTAMP, price=DOUBLE, rolling_avg=DOUBLE, rolling_stddev=DOUBLE,
+                volatility_pct=DOUBLE
             ),
             ("symbol", "timestamp"), "timestamp",
         ),
         Contract(
             "trade_volume",
-            _schema(
-                "symbol STRING, window_start TIMESTAMP, window_end TIMESTAMP, total_volume_usd DOUBLE, "
-                "total_quantity DOUBLE, trade_count BIGINT, avg_trade_price DOUBLE, "
-                "min_trade_price DOUBLE, max_trade_price DOUBLE"
+            schema(
+                symbol=STRING, window_start=TIMESTAMP, window_end=TIMESTAMP, total_volume_usd=DOUBLE,
+                total_quantity=DOUBLE, trade_count=BIGINT, avg_trade_price=DOUBLE, min_trade_price=DOUBLE,
+                max_trade_price=DOUBLE
             ),
             ("symbol", "window_start"), "window_start", True,
         ),
         Contract(
             "anomalies",
-            _schema(
-                "symbol STRING, timestamp TIMESTAMP, price DOUBLE, avg_price DOUBLE, "
-                "stddev_price DOUBLE, z_score DOUBLE"
+            schema(
+                symbol=STRING, timestamp=TIMESTAMP, price=DOUBLE, avg_price=DOUBLE, stddev_price=DOUBLE,
+                z_score=DOUBLE
             ),
             ("symbol", "timestamp"), "timestamp",
         ),
         Contract(
             "latest_prices",
-            _schema(
-                "symbol STRING, price DOUBLE, timestamp TIMESTAMP, avg_price DOUBLE, volatility_pct DOUBLE"
-            ),
+            schema(symbol=STRING, price=DOUBLE, timestamp=TIMESTAMP, avg_price=DOUBLE, volatility_pct=DOUBLE),
             ("symbol",),
         ),
         Contract(
             "weather_data",
-            _schema(
-                "city STRING, extracted_at TIMESTAMP, temperature_c DOUBLE, humidity INT, "
-                "wind_kph DOUBLE, condition STRING"
+            schema(
+                city=STRING, extracted_at=TIMESTAMP, temperature_c=DOUBLE, humidity=INT, wind_kph=DOUBLE,
+                condition=STRING
             ),
             ("city", "extracted_at"), "extracted_at",
         ),
@@ -138,23 +136,25 @@ CONTRACTS = {
 }
 
 # --- landed API documents ---------------------------------------------------
-PRICE_TICK_DOC = _schema("symbol STRING, price STRING")
+PRICE_TICK_DOC = schema(symbol=STRING, price=STRING)
 # Bars are positional: 0 open time ms, 1 open, 2 high, 3 low, 4 close, 5 volume, 6 close time ms.
-KLINE_DOC = _schema("symbol STRING, interval STRING, klines ARRAY<ARRAY<STRING>>")
-TRADE_DOC = _schema("symbol STRING, trades ARRAY<STRUCT<id: BIGINT, price: STRING, qty: STRING, time: BIGINT>>")
-COIN_DOC = _schema(
-    "id STRING, name STRING, symbol STRING, rank INT, last_updated STRING, "
-    "quotes STRUCT<USD: STRUCT<price: DOUBLE, volume_24h: DOUBLE, market_cap: DOUBLE, "
-    "percent_change_24h: DOUBLE>>"
+KLINE_DOC = schema(symbol=STRING, interval=STRING, klines=T.ArrayType(T.ArrayType(STRING)))
+TRADE_DOC = schema(symbol=STRING, trades=T.ArrayType(schema(id=BIGINT, price=STRING, qty=STRING, time=BIGINT)))
+COIN_DOC = schema(
+    id=STRING, name=STRING, symbol=STRING, rank=INT, last_updated=STRING,
+    quotes=schema(USD=schema(price=DOUBLE, volume_24h=DOUBLE, market_cap=DOUBLE, percent_change_24h=DOUBLE)),
 )
-STOCK_DOC = _schema(
-    "ticker STRING, results ARRAY<STRUCT<t: BIGINT, o: DOUBLE, h: DOUBLE, l: DOUBLE, c: DOUBLE, "
-    "v: DOUBLE, vw: DOUBLE, n: BIGINT>>"
+STOCK_DOC = schema(
+    ticker=STRING,
+    results=T.ArrayType(schema(t=BIGINT, o=DOUBLE, h=DOUBLE, l=DOUBLE, c=DOUBLE, v=DOUBLE, vw=DOUBLE, n=BIGINT)),
 )
-GAS_PLACE = "currency: STRING, name: STRING, lowerName: STRING, gasoline: STRING, midGrade: STRING, premium: STRING, diesel: STRING"
-GAS_DOC = _schema(f"state_code STRING, result STRUCT<state: STRUCT<{GAS_PLACE}>, cities: ARRAY<STRUCT<{GAS_PLACE}>>>")
-WEATHER_DOC = _schema(
-    "location STRUCT<name: STRING, region: STRING, country: STRING>, "
-    "current STRUCT<temp_c: DOUBLE, humidity: INT, wind_kph: DOUBLE, "
-    "condition: STRUCT<text: STRING>, last_updated: STRING>"
+GAS_PLACE = schema(
+    currency=STRING, name=STRING, lowerName=STRING, gasoline=STRING, midGrade=STRING, premium=STRING, diesel=STRING
+)
+GAS_DOC = schema(state_code=STRING, result=schema(state=GAS_PLACE, cities=T.ArrayType(GAS_PLACE)))
+WEATHER_DOC = schema(
+    location=schema(name=STRING, region=STRING, country=STRING),
+    current=schema(
+        temp_c=DOUBLE, humidity=INT, wind_kph=DOUBLE, condition=schema(text=STRING), last_updated=STRING
+    ),
 )
