@@ -25,6 +25,7 @@ from tidemart.session import pin
 ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 20_000
 SAMPLES_PER_SLICE = 20
+SALTS = 32
 
 
 def _cut_points(table: DataFrame, fields: Mapping[str, Column], rows: int, slices: int) -> tuple[Column, int]:
@@ -218,11 +219,17 @@ def top_ranks(df: DataFrame, *, by: str, highest: int, out: str, lowest: int = 1
               within: Sequence[str] = ()) -> DataFrame:
     """Rows whose descending ``rank()`` by ``by`` lies in ``lowest..highest``.
 
-    Only distinct values are ranked, with how many rows share each, so a value
-    shared by most of the table is one row here. All tied rows come back.
+    Rows are first dealt into salted groups. A row can only stand among the
+    first of all if it does so in its group, and that limit already applies
+    before the shuffle. Of the rows left only distinct values are ranked, with
+    how many rows share each, so a value shared by most of the table is one
+    row. All tied rows come back.
     """
-    table = pin(df)
-    order = Window.partitionBy(*within).orderBy(F.col(by).desc_nulls_last())
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    best = F.col(by).desc_nulls_last()
+    near = salted.withColumn("_r", F.rank().over(Window.partitionBy(*within, "_salt").orderBy(best)))
+    table = pin(near.filter(F.col("_r") <= highest).select(*df.columns))
+    order = Window.partitionBy(*within).orderBy(best)
     counts = table.groupBy(*within, by).agg(F.count(F.lit(1)).alias("_rows"))
     leading = counts.withColumn("_pos", F.row_number().over(order)).filter(F.col("_pos") <= highest)
     earlier = F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, -1))

@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.ordered import numbered
 from tidemart.operators.quality import RULES, clean, orphans
+from tidemart.session import pin
 from tidemart.sinks.files import write_partitioned, write_rejects, write_summaries, write_table
 from tidemart.sources.csv_tables import read_commerce_folder
 
 
+def exact_sum(column: str) -> Column:
+    """Sum of a double amount as decimal, whatever order the rows arrive in."""
+    return F.sum(F.col(column).cast("decimal(22,6)"))
+
+
 def money_sum(column: str) -> Column:
-    """Sum of a double amount, independent of the order the rows arrive in."""
-    return F.sum(F.col(column).cast("decimal(22,6)")).cast("double")
+    return exact_sum(column).cast("double")
 
 
 def clean_tables(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -67,9 +72,12 @@ def rolling_orders(enriched: DataFrame, by_calendar: bool = False) -> DataFrame:
 
 def revenue_share(enriched: DataFrame) -> DataFrame:
     """Net revenue per category and its part of the whole."""
-    revenue = enriched.groupBy("category").agg(money_sum("net_amount").alias("total_revenue"))
-    whole = enriched.agg(money_sum("net_amount")).scalar()
-    return revenue.withColumn("revenue_share", F.try_divide(F.col("total_revenue"), whole))
+    revenue = pin(enriched.groupBy("category").agg(exact_sum("net_amount").alias("_exact")))
+    whole = revenue.agg(F.sum("_exact").cast("double")).scalar()
+    total = F.col("_exact").cast("double")
+    return revenue.select(
+        "category", total.alias("total_revenue"), F.try_divide(total, whole).alias("revenue_share")
+    )
 
 
 def per_order(enriched: DataFrame) -> DataFrame:

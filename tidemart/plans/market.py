@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.operators.rolling import rolling_volatility
+from tidemart.operators.rolling import SPAN, rolling_volatility
 from tidemart.schemas import CONTRACTS
+from tidemart.session import pin
 from tidemart.sinks.keyed import of_symbols, recent
 
 _VOLATILITY = CONTRACTS["volatility_metrics"].schema.names
@@ -37,6 +38,15 @@ def latest_prices(volatility_rows: DataFrame) -> DataFrame:
     )
 
 
+def latest_of_ticks(ticks: DataFrame) -> DataFrame:
+    """``latest_prices`` straight from ticks: only each symbol's last hour is rolled."""
+    newest = pin(ticks.groupBy("symbol").agg(F.max("timestamp").alias("_newest")))
+    last = ticks.join(newest, "symbol").filter(
+        F.col("timestamp") >= F.col("_newest") - F.make_dt_interval(secs=F.lit(SPAN + 1))
+    )
+    return latest_prices(volatility(last.drop("_newest")))
+
+
 # Reads of the stored tables, with their usual lengths.
 
 

@@ -103,19 +103,22 @@ class StarRetail:
         )
 
     def _summed(self, *keys: str) -> DataFrame:
-        totals = self._raw.groupBy(*keys).agg(
-            F.sum("quantity_sold").alias("quantity_sold"), F.sum("total_amount").alias("total_amount")
+        return self._raw.groupBy(*keys).agg(
+            F.sum("quantity_sold").cast("int").alias("quantity_sold"),
+            F.sum("total_amount").cast("decimal(18,2)").alias("total_amount"),
         )
-        return totals.join(self._heads, "order_id", "left")
 
     @cached_property
     def sales(self) -> DataFrame:
-        return self._summed("order_id", "product_id").select(
+        return self._summed("order_id", "product_id").join(self._heads, "order_id", "left").select(
             F.concat_ws("-", "order_id", "product_id").alias("sale_id"),
-            "customer_id", "product_id", F.col("quantity_sold").cast("int").alias("quantity_sold"),
-            "sale_date", F.col("total_amount").cast("decimal(18,2)").alias("total_amount"),
+            "customer_id", "product_id", "quantity_sold", "sale_date", "total_amount",
         )
 
+    @cached_property
+    def product_sales(self) -> DataFrame:
+        return self._summed("order_id", "product_id").drop("order_id")
+
     @cached_property
     def lines(self) -> DataFrame:
         return self._raw.join(self._heads, "order_id", "left").drop("order_id")
@@ -126,7 +129,7 @@ class StarRetail:
 
     @cached_property
     def customer_lines(self) -> DataFrame:
-        return self._summed("order_id").drop("order_id")
+        return self._summed("order_id").join(self._heads, "order_id", "left").drop("order_id")
 
 
 def retail(spark: SparkSession, folder: str) -> StarRetail:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from tidemart.plans import (  # noqa: F401
     commerce, market, marts, retail_basic, retail_nested, retail_ranked, star_commerce, star_market,
 )
 from tidemart.plans.retail import QUESTIONS
-from tidemart.session import fresh_path
+from tidemart.session import fresh_path, pin
 from tidemart.sinks.files import write_csv, write_partitioned
 from tidemart.sinks.keyed import KeyedTable
 from tidemart.sinks.messages import as_messages, message_sink
@@ -104,11 +105,12 @@ class Shop:
     def enriched(self) -> DataFrame:
         return commerce.enrich(self.clean("orders"), self.clean("customers"), self.clean("order_items"))
 
+    @cached_property
     def orders_once(self) -> DataFrame:
-        return commerce.per_order(self.enriched())
+        return pin(commerce.per_order(self.enriched()))
 
     def returns(self) -> DataFrame:
-        return commerce.enrich_returns(self.clean("returns"), self.orders_once())
+        return commerce.enrich_returns(self.clean("returns"), self.orders_once)
 
 
 def _csv_customers(shop: Shop) -> DataFrame:
@@ -159,17 +161,17 @@ COMMERCE: dict[str, Callable[[Shop], DataFrame]] = {
     "enriched_orders": lambda s: s.enriched(),
     "enriched_partitions": _partition_sizes,
     "customer_spend_rank": lambda s: commerce.spend_rank(s.enriched()),
-    "customer_spend_rank_intent": lambda s: commerce.spend_rank(s.orders_once()),
+    "customer_spend_rank_intent": lambda s: commerce.spend_rank(s.orders_once),
     "rolling_order_count": lambda s: commerce.rolling_orders(s.enriched()),
     "rolling_order_count_intent": lambda s: commerce.rolling_orders(s.enriched(), by_calendar=True),
     "category_revenue_share": lambda s: commerce.revenue_share(s.enriched()),
-    "category_revenue_share_intent": lambda s: commerce.revenue_share(s.orders_once()),
-    "orders_once": lambda s: s.orders_once(),
+    "category_revenue_share_intent": lambda s: commerce.revenue_share(s.orders_once),
+    "orders_once": lambda s: s.orders_once,
     "returns_enriched": lambda s: s.returns(),
     "return_by_category": lambda s: commerce.returns_by(s.returns(), "category"),
     "return_by_tier": lambda s: commerce.returns_by(s.returns(), "customer_tier"),
-    "return_rate_by_category": lambda s: commerce.return_rate_by(s.returns(), s.orders_once(), "category"),
-    "return_rate_by_tier": lambda s: commerce.return_rate_by(s.returns(), s.orders_once(), "customer_tier"),
+    "return_rate_by_category": lambda s: commerce.return_rate_by(s.returns(), s.orders_once, "category"),
+    "return_rate_by_tier": lambda s: commerce.return_rate_by(s.returns(), s.orders_once, "customer_tier"),
     "top_refund_customers": lambda s: commerce.top_refunds(s.returns()),
     "commerce_batch": _whole_batch,
 }
@@ -195,7 +197,7 @@ def _anomalies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _latest(spark: SparkSession, folder: str) -> DataFrame:
-    return market.latest_prices(_volatility(spark, folder))
+    return market.latest_of_ticks(star_market.ticks(spark, folder))
 
 
 def _minute(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,13 +274,13 @@ def _rolled(spark: SparkSession, folder: str) -> live.RollingVolatility:
 
 
 def _stream_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Closed minute windows as JSON messages in text files."""
+    """Closed minute windows as JSON messages in text files, parsed again."""
     path = fresh_path(spark, "minute-messages")
     sink = message_sink(
         bars.minute_prices(_prices(spark, folder)), fresh_path(spark, "minute-messages-checkpoint"), "text", {"path": path}
     )
     sink.trigger(**_ONCE).start().awaitTermination()
-    return spark.read.text(path)
+    return parse_documents(spark.read.text(path), schemas.CONTRACTS["minute_price_avg"].schema).kept
 
 
 def _four_streams(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 class Retail:
     """Customers, products, sales and inventory.
 
-    ``sales`` holds one row per sale. The other three views hold the same
-    quantities and amounts at another grain, for questions that only add them
-    up or ask whether a row exists; each may be cheaper to build than
-    ``sales`` and defaults to it.
+    ``sales`` holds one row per sale. The other views may be cheaper to build
+    and default to it. ``product_sales`` also holds one row per sale, but
+    promises only the product. The rest hold the same quantities and amounts at
+    another grain, for questions that only add them up or ask whether a row
+    exists:
 
     * ``lines``: any grain that keeps customer, product and date.
     * ``product_lines``: any grain that keeps the product.
@@ -27,12 +28,13 @@ class Retail:
     products: DataFrame
     sales: DataFrame
     inventory: DataFrame
+    product_sales: DataFrame | None = None
     lines: DataFrame | None = None
     product_lines: DataFrame | None = None
     customer_lines: DataFrame | None = None
 
     def __post_init__(self) -> None:
-        for view in ("lines", "product_lines", "customer_lines"):
+        for view in ("product_sales", "lines", "product_lines", "customer_lines"):
             if getattr(self, view) is None:
                 object.__setattr__(self, view, self.sales)
 

@@ -13,6 +13,7 @@ from tidemart.operators.ordered import numbered
 from tidemart.plans.retail import (
     Retail, amount, per_attribute, per_customer, per_product, quantity, question, sale_count,
 )
+from tidemart.session import pin
 
 
 @question("q001")
@@ -62,7 +63,7 @@ def highest_price(r: Retail) -> DataFrame:
 
 @question("q010")
 def sales_count_by_product(r: Retail) -> DataFrame:
-    return r.sales.groupBy("product_id").agg(sale_count().alias("number_of_sales"))
+    return r.product_sales.groupBy("product_id").agg(sale_count().alias("number_of_sales"))
 
 
 @question("q011")
@@ -115,7 +116,7 @@ def same_status_pairs(r: Retail, rows_per_slice: int | None = None) -> DataFrame
     ``pairs_led_by`` lists them for one customer.
     """
     known = r.customers.filter(F.col("membership_status").isNotNull())
-    sizes = known.groupBy("membership_status").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = pin(known.groupBy("membership_status").agg(F.count(F.lit(1)).alias("_size")))
     placed = numbered(
         known.select("customer_id", "first_name", "membership_status"),
         by=F.col("customer_id"), tie="customer_id", within=["membership_status"], out="position",
@@ -147,7 +148,7 @@ def pairs_led_by(pairs: DataFrame, customer_id: int) -> DataFrame:
 
 @question("q018")
 def sales_count_by_product_name(r: Retail) -> DataFrame:
-    return per_attribute(r, r.sales, ("product_name",), total_sales_count=sale_count())
+    return per_attribute(r, r.product_sales, ("product_name",), total_sales_count=sale_count())
 
 
 @question("q019")
@@ -230,7 +231,7 @@ def customers_above_quantity(r: Retail, above: int = 5) -> DataFrame:
 
 @question("q030")
 def average_quantity_by_product(r: Retail) -> DataFrame:
-    return r.sales.groupBy("product_id").agg(F.avg("quantity_sold").alias("avg_quantity_sold"))
+    return r.product_sales.groupBy("product_id").agg(F.avg("quantity_sold").alias("avg_quantity_sold"))
 
 
 @question("q031")
@@ -278,7 +279,7 @@ def early_buyers(r: Retail, days: int = 7) -> DataFrame:
 @question("q036")
 def sales_in_price_band(r: Retail, low: float = 100, high: float = 500) -> DataFrame:
     band = r.products.filter(F.col("price").between(low, high)).select("product_id", "product_name", "price")
-    return r.sales.join(band, "product_id").select("product_name", "price", "quantity_sold", "total_amount")
+    return r.product_sales.join(band, "product_id").select("product_name", "price", "quantity_sold", "total_amount")
 
 
 @question("q037")

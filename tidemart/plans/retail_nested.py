@@ -12,6 +12,7 @@ from tidemart.operators.joins import not_in
 from tidemart.plans.retail import (
     Retail, amount, per_attribute, per_customer, per_product, quantity, question, sale_count,
 )
+from tidemart.session import pin
 
 
 def _sales_of_customers(r: Retail, condition: Column, *names: str) -> DataFrame:
@@ -21,7 +22,7 @@ def _sales_of_customers(r: Retail, condition: Column, *names: str) -> DataFrame:
 
 
 def mean_sale(r: Retail) -> Column:
-    return r.sales.agg(F.avg("total_amount")).scalar()
+    return r.product_sales.agg(F.avg("total_amount")).scalar()
 
 
 @question("q051")
@@ -58,12 +59,12 @@ def products_without_sale(r: Retail, since: dt.date | None = None, until: dt.dat
 
 @question("q055")
 def largest_sale(r: Retail) -> DataFrame:
-    return _sales_of_customers(r, F.col("total_amount") == r.sales.agg(F.max("total_amount")).scalar(), "first_name")
+    return _sales_of_customers(r, F.col("total_amount") == r.product_sales.agg(F.max("total_amount")).scalar(), "first_name")
 
 
 @question("q056")
 def product_sales_above_mean_sale(r: Retail) -> DataFrame:
-    kept = r.sales.filter(F.col("total_amount") > mean_sale(r)).select("product_id", "total_amount")
+    kept = r.product_sales.filter(F.col("total_amount") > mean_sale(r)).select("product_id", "total_amount")
     return r.products.select("product_id", "product_name").join(kept, "product_id")
 
 
@@ -83,7 +84,7 @@ def registered_before_mean(r: Retail) -> DataFrame:
 
 @question("q058")
 def products_above_category_mean(r: Retail) -> DataFrame:
-    means = r.products.groupBy("category").agg(F.avg("price").alias("_mean"))
+    means = pin(r.products.groupBy("category").agg(F.avg("price").alias("_mean")))
     return r.products.join(means, "category").filter(F.col("price") > F.col("_mean")).select(
         "product_id", "product_name", "category", "price"
     )
@@ -105,8 +106,8 @@ def customers_above_customer(r: Retail, customer_id: int = 10) -> DataFrame:
 
 @question("q060")
 def product_sales_above_mean_quantity(r: Retail) -> DataFrame:
-    mean = r.sales.agg(F.avg("quantity_sold")).scalar()
-    kept = r.sales.filter(F.col("quantity_sold") > mean).select("product_id", "quantity_sold")
+    mean = r.product_sales.agg(F.avg("quantity_sold")).scalar()
+    kept = r.product_sales.filter(F.col("quantity_sold") > mean).select("product_id", "quantity_sold")
     return r.products.select("product_id", "product_name").join(kept, "product_id")
 
 
@@ -150,7 +151,7 @@ def repeat_customers(r: Retail, above: int = 1) -> DataFrame:
 
 @question("q065")
 def products_above_mean_sale_quantity(r: Retail) -> DataFrame:
-    mean = r.sales.agg(F.avg("quantity_sold")).scalar()
+    mean = r.product_sales.agg(F.avg("quantity_sold")).scalar()
     return per_product(r, r.product_lines, (), total_quantity_sold=quantity()).filter(
         F.col("total_quantity_sold") > mean
     )

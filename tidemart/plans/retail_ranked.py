@@ -40,7 +40,7 @@ def customers_ranked_by_spend(r: Retail, rows_per_slice: int | None = None) -> D
 
 @question("q072")
 def products_ranked_by_sale_quantity(r: Retail, rows_per_slice: int | None = None) -> DataFrame:
-    quantities = r.sales.select("product_id", "quantity_sold").distinct()
+    quantities = r.product_sales.select("product_id", "quantity_sold").distinct()
     rows = r.products.select("product_id", "product_name").join(quantities, "product_id")
     return ranked(rows, by=-F.col("quantity_sold"), tie="product_id", out="rank_quantity_sold",
                   rows_per_slice=rows_per_slice)
@@ -87,8 +87,8 @@ def _running_by_date(r: Retail, newest_first: bool) -> DataFrame:
     """Running total over dates, given to each sale of the date.
 
     Sales of one date are peers, so the total depends on the date alone: amounts
-    are summed per date first, and the one-task window sees one row per calendar
-    date, which a calendar bounds.
+    are summed per date first, and the one-task window sees one row per date.
+    The calendar bounds that table, so it may be broadcast.
     """
     daily = r.customer_lines.groupBy("sale_date").agg(amount().alias("_day"))
     order = F.col("sale_date").desc_nulls_first() if newest_first else F.col("sale_date").asc_nulls_last()
@@ -96,17 +96,17 @@ def _running_by_date(r: Retail, newest_first: bool) -> DataFrame:
         F.col("sale_date").alias("_date"), F.sum("_day").over(Window.orderBy(order)).alias("running_total")
     )
     sales = r.sales.select("sale_id", "sale_date")
-    return sales.join(totals, sales["sale_date"].eqNullSafe(totals["_date"]), "left").drop("_date")
+    return sales.join(F.broadcast(totals), sales["sale_date"].eqNullSafe(totals["_date"]), "left").drop("_date")
 
 
 @question("q077")
 def running_total_newest_first(r: Retail) -> DataFrame:
-    return _running_by_date(r, newest_first=True).orderBy(F.col("sale_date").desc_nulls_first(), "sale_id")
+    return _running_by_date(r, newest_first=True)
 
 
 @question("q077_intent")
 def running_total(r: Retail) -> DataFrame:
-    return _running_by_date(r, newest_first=False).orderBy(F.col("sale_date").asc_nulls_last(), "sale_id")
+    return _running_by_date(r, newest_first=False)
 
 
 @question("q078")
@@ -276,8 +276,8 @@ def stock_less_sold(r: Retail) -> DataFrame:
 @question("q095")
 def spenders_above_status_mean(r: Retail) -> DataFrame:
     """Spending above the mean over the buyers of the same membership status."""
-    spend = _customer_spend(r, "last_name", "membership_status")
-    means = spend.groupBy("membership_status").agg(F.avg("total_spent").alias("tier_average"))
+    spend = pin(_customer_spend(r, "last_name", "membership_status"))
+    means = pin(spend.groupBy("membership_status").agg(F.avg("total_spent").alias("tier_average")))
     return spend.join(means, "membership_status").filter(F.col("total_spent") > F.col("tier_average")).select(
         "customer_id", "first_name", "last_name", "membership_status", "total_spent", "tier_average"
     )
@@ -285,10 +285,10 @@ def spenders_above_status_mean(r: Retail) -> DataFrame:
 
 def _category_means(r: Retail, per_sale: bool) -> DataFrame:
     """Mean sale per category, or mean product total per category."""
-    sums = per_product(r, r.sales, ("category",), _amount=amount(), _n=F.count("total_amount"))
+    sums = per_product(r, r.product_sales, ("category",), _amount=amount(), _n=F.count("total_amount"))
     weight = F.sum("_n") if per_sale else F.count("_amount")
     mean = F.sum("_amount").cast("double") / weight
-    return sums.groupBy("category").agg(mean.alias("avg_category_sales"))
+    return pin(sums.groupBy("category").agg(mean.alias("avg_category_sales")))
 
 
 def _products_above(r: Retail, means: DataFrame) -> DataFrame:

@@ -52,9 +52,11 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def pin(df: DataFrame, label: str = "pin") -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
-    Used where several passes read the same costly result. The table is plain
-    Parquet, so later passes prune columns, and a lost executor costs a re-read
-    of files instead of a re-run of everything upstream.
+    Used where several passes read the same costly result, or where a small
+    aggregate is joined back: a written table has a known size, so Spark
+    broadcasts it only if it really is small. The table is plain Parquet, so
+    later passes prune columns, and a lost executor costs a re-read of files
+    instead of a re-run of everything upstream.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
