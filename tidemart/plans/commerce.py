@@ -150,11 +150,14 @@ def summarise(enriched: DataFrame, returns: DataFrame) -> Summaries:
 def run_batch(spark: SparkSession, data_dir: str, output_dir: str) -> DataFrame:
     """The whole job from CSV folder to output folder; returns the reject counts.
 
-    Enriched orders and returns are written once, and every summary reads them
-    back, so the joins run once and each summary scans only its columns.
+    Orders and items are cleaned once, enriched orders and returns written
+    once, and every summary reads those back: the CSV files are parsed and the
+    joins run one time, and each summary scans only its columns.
     """
     intake = read_commerce_folder(spark, data_dir)
     tables = clean_tables(intake.kept)
+    for shared in ("orders", "order_items"):  # both feed two outputs
+        tables[shared] = pin(tables[shared], shared)
 
     enriched = enrich(tables["orders"], tables["customers"], tables["order_items"])
     write_partitioned(enriched, f"{output_dir}/enriched", "order_year", "order_month")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -55,14 +56,19 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _money(cents: Column) -> Column:
+    return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+
+
 class StarRetail:
     """The views of ``Retail`` over the star schema, each built when first asked for.
 
     A sale is one part in one order: lines carry no unique key, so ``sales``
     sums the lines of a part in an order. Plain sums need not wait for that.
-    They run on the raw lines (``product_lines``) or on one row per order
+    They start from one row per product (``product_lines``) or per order
     (``customer_lines``), and the order table is joined only where customer or
-    date is asked for.
+    date is asked for. Amounts are summed as whole cents, which is exact and
+    several times faster than decimals, and become decimals after.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
@@ -91,7 +97,7 @@ class StarRetail:
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity_sold"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("total_amount"),
+            F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"),
         )
 
     @cached_property
@@ -104,15 +110,15 @@ class StarRetail:
 
     def _summed(self, *keys: str) -> DataFrame:
         return self._raw.groupBy(*keys).agg(
-            F.sum("quantity_sold").cast("int").alias("quantity_sold"),
-            F.sum("total_amount").cast("decimal(18,2)").alias("total_amount"),
+            F.sum("quantity_sold").alias("quantity_sold"), _money(F.sum("cents")).alias("total_amount")
         )
 
     @cached_property
     def sales(self) -> DataFrame:
         return self._summed("order_id", "product_id").join(self._heads, "order_id", "left").select(
             F.concat_ws("-", "order_id", "product_id").alias("sale_id"),
-            "customer_id", "product_id", "quantity_sold", "sale_date", "total_amount",
+            "customer_id", "product_id", F.col("quantity_sold").cast("int").alias("quantity_sold"), "sale_date",
+            "total_amount",
         )
 
     @cached_property
@@ -121,11 +127,12 @@ class StarRetail:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self._raw.join(self._heads, "order_id", "left").drop("order_id")
+        lines = self._raw.withColumn("total_amount", _money(F.col("cents"))).drop("cents")
+        return lines.join(self._heads, "order_id", "left").drop("order_id")
 
-    @property
+    @cached_property
     def product_lines(self) -> DataFrame:
-        return self._raw.drop("order_id")
+        return self._summed("product_id")
 
     @cached_property
     def customer_lines(self) -> DataFrame:
