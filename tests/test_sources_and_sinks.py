@@ -1,11 +1,12 @@
 import datetime as dt
 import json
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
 from tidemart.schemas import COMMERCE, CONTRACTS, RETAIL
-from tidemart.session import fresh_path, pin, shared_folder
+from tidemart.session import clear_work, fresh_path, pin, shared_folder
 from tidemart.sinks.files import write_csv, write_partitioned, write_rejects, write_summaries, write_table
 from tidemart.sinks.keyed import KeyedTable, of_symbols, recent
 from tidemart.sinks.messages import as_messages, publish, table_append
@@ -94,6 +95,9 @@ def test_upsert_and_replay(spark, rows, tmp_path):
     assert rows(table.read(), "symbol", "price") == expected
     table.upsert(prices(spark, ("a", 3.0), ("c", 4.0)), 1)  # the same batch again
     assert rows(table.read(), "symbol", "price") == expected
+    fresh = table.rewritten(f"{tmp_path}/t2", 1)
+    fresh.upsert(prices(spark, ("b", 9.0)), 2)
+    assert rows(fresh.read(), "symbol", "price") == [("a", 3.0), ("b", 9.0), ("c", 4.0)]
     assert rows(of_symbols(table.read(), ["a", "z"]), "symbol") == [("a",)]
     assert rows(recent(table.read(), LATEST, 2), "symbol") == [("a",), ("b",)]
 
@@ -148,3 +152,12 @@ def test_shared_folder(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
     df = spark.range(3)
     assert pin(df).inputFiles() and pin(df).count() == 3
+
+
+def test_clearing_work_leaves_other_files(spark):
+    pinned = pin(spark.range(3)).inputFiles()
+    other = f"{shared_folder(spark)}/other"
+    spark.range(1).write.mode("overwrite").parquet(other)
+    clear_work(spark)
+    assert not any(Path(f.removeprefix("file://")).exists() for f in pinned)
+    assert spark.read.parquet(other).count() == 1

@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.session import pin
+
 
 def not_in(left: DataFrame, key: str, right: DataFrame, right_key: str | None = None) -> DataFrame:
     """Rows of ``left`` with ``key NOT IN (SELECT right_key FROM right)``.
 
     SQL's rule: one null on the right empties the answer, and a null key is
-    kept only when the right side is empty. The null test is a filter the scan
-    can prune on; the rest is a plain anti join over distinct keys, so a key
-    held by most of the right side is collapsed before the shuffle.
+    kept only when the right side is empty. The right side is evaluated once,
+    down to its distinct keys, so a key held by most of it is collapsed before
+    the shuffle; null tests and a plain anti join read that table.
     """
-    right_key = right_key or key
-    values = right.select(F.col(right_key).alias(key))
-    has_null = values.filter(F.col(key).isNull()).limit(1).exists()
-    is_empty = ~values.limit(1).exists()
-    known = values.filter(F.col(key).isNotNull()).distinct()
+    known = pin(right.select(F.col(right_key or key).alias(key)).distinct(), "keys")
+    has_null = known.filter(F.col(key).isNull()).limit(1).exists()
+    is_empty = ~known.limit(1).exists()
     return left.filter(~has_null).filter(F.col(key).isNotNull() | is_empty).join(known, key, "left_anti")
 
 

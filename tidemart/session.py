@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Window state of many symbols outgrows the heap; RocksDB keeps it on disk.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -44,9 +47,20 @@ def shared_folder(spark: SparkSession) -> str:
     return remembered
 
 
+def work_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark)}/tidemart/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has used yet."""
-    return f"{shared_folder(spark)}/tidemart/{label}-{uuid.uuid4().hex}"
+    """A path in the work folder that nothing has used yet."""
+    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no result needs them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin(df: DataFrame, label: str = "pin") -> DataFrame:

@@ -34,6 +34,15 @@ class KeyedTable:
         stored = StructType([*self.contract.schema.fields, StructField(_BATCH, LongType())])
         return latest_per_key(self.spark.read.schema(stored).parquet(self.path), self.contract, _BATCH)
 
+    def rewritten(self, path: str, batch_id: int) -> KeyedTable:
+        """The current rows as one batch of a new table, for when batches have piled up.
+
+        Later batches go on from ``batch_id`` there; this table stays as it is.
+        """
+        fresh = KeyedTable(self.spark, path, self.contract)
+        fresh.upsert(self.read(), batch_id)
+        return fresh
+
     def stored_batch(self, batch_id: int) -> DataFrame:
         """What one batch wrote."""
         return self.spark.read.schema(self.contract.schema).parquet(f"{self.path}/{_BATCH}={batch_id}")
