@@ -41,29 +41,36 @@ def _cut_points(table: DataFrame, fields: Mapping[str, Column], rows: int, slice
     chosen = entry.sample(fraction=fraction, seed=17).agg(ordered.alias("s")).select(
         F.filter("s", lambda _, i: (i > 0) & (i % step == 0)).alias("cuts")
     )
-    options = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    options = {"timestampFormat": stamp, "timestampNTZFormat": stamp}
     text, count = chosen.select(F.to_json("cuts", options), F.size("cuts")).first()
     shape = T.ArrayType(entry.schema["k"].dataType)
     return F.from_json(F.lit(text), shape, options), count
 
 
-def _slice_of(key: Column, names: Sequence[str], cuts: Column, count: int, cut_opens: bool) -> Column:
-    """How many cuts lie before ``key``, found by halving steps.
+def _passes(cut: Column, keys: Mapping[str, Column], or_equal: bool) -> Column:
+    """Whether the cut lies before the row's key, field by field, nulls lowest."""
+    result = F.lit(or_equal)
+    for name, key in reversed(keys.items()):
+        field = cut[name]
+        lower = F.coalesce(field < key, field.isNull() & key.isNotNull())
+        result = lower | (field.eqNullSafe(key) & result)
+    return result
 
-    ``cut_opens`` says whether a cut row is the first of its slice or the last
-    of the slice before.
-    """
-    steps = [1 << b for b in reversed(range(count.bit_length()))]
 
-    def advance(pos: Column, step: Column) -> Column:
-        cut = F.get(cuts, pos + step - 1)
-        cut_key = F.struct(*(cut[n].alias(n) for n in names))
-        passed = (cut_key <= key) if cut_opens else (cut_key < key)
-        return F.when(cut.isNotNull() & passed, pos + step).otherwise(pos)
+def _with_slice(df: DataFrame, keys: Mapping[str, Column], cuts: Column, count: int, cut_opens: bool) -> DataFrame:
+    """Add ``_slice``: how many cuts lie before the row, found by halving steps.
 
-    if not steps:
-        return F.lit(0)
-    return F.coalesce(F.reduce(F.array(*map(F.lit, steps)), F.lit(0), advance), F.lit(0))
+    ``cut_opens`` says whether a cut row is the first of its slice or the last
+    of the slice before. Each step is a plain compiled expression.
+    """
+    placed = df.withColumn("_slice", F.lit(0))
+    for step in (1 << bit for bit in reversed(range(count.bit_length()))):
+        ahead = F.col("_slice") + step
+        cut = F.get(cuts, ahead - 1)
+        moves = (ahead <= count) & _passes(cut, keys, or_equal=cut_opens)
+        placed = placed.withColumn("_slice", F.when(moves, ahead).otherwise(F.col("_slice")))
+    return placed
 
 
 def strictly_before(
@@ -71,7 +78,7 @@ def strictly_before(
     *,
     by: Column,
     tie: str,
-    measures: Mapping[str, Column],
+    measures: Mapping[str, Column | None],
     within: Sequence[str] = (),
     tie_orders: bool = False,
     pinned: bool = False,
@@ -82,88 +89,99 @@ def strictly_before(
     Rows are ordered by ``by`` ascending, nulls last, inside each ``within``
     group; rows with an equal value are peers and do not count for each other,
     unless ``tie_orders`` makes the tie part of the order. ``tie`` must make
-    ``(within, by, tie)`` unique. With a measure of one this gives
+    ``(within, by, tie)`` unique. The measure ``None`` counts rows, which gives
     ``rank() - 1``, or ``row_number() - 1`` with ``tie_orders``.
     """
     table = df if pinned else pin(df)
     rows = table.count()
-    per_slice = rows_per_slice or ROWS_PER_SLICE
-    work = table.select("*", by.isNull().alias("_n"), by.alias("_v"),
-                        *(F.coalesce(m, F.lit(0)).alias(f"_m_{n}") for n, m in measures.items()))
-    slices = min(MAX_SLICES, math.ceil(rows / per_slice))
-    sliced, cuts = work, None
+    own = {n: F.lit(1) if m is None else F.coalesce(m, F.lit(0)) for n, m in measures.items()}
+    sums = {n: c.alias(f"_m_{n}") for n, c in own.items() if measures[n] is not None}
+    work = table.select("*", by.isNull().alias("_n"), by.alias("_v"), *sums.values())
+    slices = min(MAX_SLICES, math.ceil(rows / (rows_per_slice or ROWS_PER_SLICE)))
+    keys = {**{f"w{i}": F.col(w) for i, w in enumerate(within)}, "n": F.col("_n"), "v": F.col("_v")}
+    group = [*within]
     if slices > 1:
-        fields = {**{f"w{i}": F.col(w) for i, w in enumerate(within)},
-                  "n": F.col("_n"), "v": F.col("_v"), "t": F.col(tie)}
-        cuts, count = _cut_points(work, fields, rows, slices)
-        key = F.struct(*(c.alias(n) for n, c in fields.items()))
-        sliced = work.withColumn("_slice", _slice_of(key, list(fields), cuts, count, cut_opens=True))
-    group = [*within] if cuts is None else ["_slice", *within]
-    order = ["_n", "_v", tie] if tie_orders else ["_n", "_v"]
-    running = Window.partitionBy(*group).orderBy(*order)
-    peers = Window.partitionBy(*group, *order)
-    local = sliced
-    for name in measures:
-        own = F.col(f"_m_{name}") if tie_orders else F.sum(f"_m_{name}").over(peers)
-        local = local.withColumn(name, F.sum(f"_m_{name}").over(running) - own)
-    helpers = ["_n", "_v", *(f"_m_{n}" for n in measures)]
-    if cuts is None:
-        return local.drop(*helpers)
-
-    def same_group(cut: Column) -> Column:
-        pairs = [(f"w{i}", w) for i, w in enumerate(within)] + [("n", "_n"), ("v", "_v")]
-        if tie_orders:
-            pairs.append(("t", tie))
+        keys_and_tie = {**keys, "t": F.col(tie)}
+        cuts, count = _cut_points(work, keys_and_tie, rows, slices)
+        work = _with_slice(work, keys_and_tie, cuts, count, cut_opens=True)
+        group = ["_slice", *within]
+    local = _before_in_group(work, measures, group, tie if tie_orders else None)
+    if slices > 1:
+        peers = keys_and_tie if tie_orders else keys
+        local = _add_earlier_slices(work, local, own, within, peers, cuts)
+    return local.select(*df.columns, *measures)
+
+
+def _before_in_group(work: DataFrame, measures: Mapping[str, Column | None], group: Sequence[str],
+                     tie: str | None) -> DataFrame:
+    """The sums before each row inside its slice and group."""
+    each = Window.partitionBy(*group)
+    counting = each.orderBy(F.col("_v").asc_nulls_last(), *([tie] if tie else []))
+    summing = each.orderBy("_n", "_v", *([tie] if tie else []))
+    peers = Window.partitionBy(*group, "_n", "_v")
+    local = work
+    for name, measure in measures.items():
+        if measure is None:
+            before = (F.row_number() if tie else F.rank()).over(counting) - 1
+        else:
+            mine = F.col(f"_m_{name}")
+            before = F.sum(mine).over(summing) - (mine if tie else F.sum(mine).over(peers))
+        local = local.withColumn(name, before)
+    return local
+
+
+def _add_earlier_slices(sliced: DataFrame, local: DataFrame, own: Mapping[str, Column], within: Sequence[str],
+                        peers: Mapping[str, Column], cuts: Column) -> DataFrame:
+    """Add what earlier slices hold to the sums inside a slice.
+
+    A value that a slice shares with the next is known beforehand: it is that
+    of the cut between them. Its rows in the next slice must not count those in
+    this one, so they take over the sum at which the value began.
+    """
+
+    def shares(cut: Column) -> Column:
         same = cut.isNotNull()
-        for field, column in pairs:
-            same = same & cut[field].eqNullSafe(F.col(column))
+        for field, column in peers.items():
+            same = same & cut[field].eqNullSafe(column)
         return same
 
-    # Per slice and group: the totals, and the part belonging to the value that
-    # the next cut continues.
     next_cut = F.get(cuts, F.col("_slice"))
-    spills = same_group(next_cut)
+    spills = shares(next_cut)
     totals = sliced.groupBy("_slice", *within).agg(
         F.max(spills).alias("_spills"),
-        *(F.sum(f"_m_{n}").alias(f"_all_{n}") for n in measures),
-        *(F.sum(F.when(spills, F.col(f"_m_{n}")).otherwise(0)).alias(f"_tail_{n}") for n in measures),
-    )
-    # One row per slice and group from here on: a bounded table.
-    so_far = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    follows = Window.partitionBy(*within).orderBy("_slice")
-    edge = totals
-    for n in measures:
-        edge = edge.withColumn(f"_off_{n}", F.coalesce(F.sum(f"_all_{n}").over(so_far), F.lit(0)))
-    edge = edge.withColumn("_cn", next_cut["n"]).withColumn("_cv", next_cut["v"])
-    run = Window.partitionBy(*within, "_cn", "_cv", "_spills").orderBy("_slice")
-    for n in measures:
-        started = F.first(F.col(f"_off_{n}") + F.col(f"_all_{n}") - F.col(f"_tail_{n}")).over(run)
-        edge = edge.withColumn(f"_run_{n}", started)
-    edge = edge.withColumn(
-        "_continued", F.coalesce(F.lag("_spills").over(follows) & (F.lag("_slice").over(follows) == F.col("_slice") - 1), F.lit(False))
+        *(F.sum(m).alias(f"_all_{n}") for n, m in own.items()),
+        *(F.sum(F.when(spills, m).otherwise(0)).alias(f"_tail_{n}") for n, m in own.items()),
     )
-    for n in measures:
-        edge = edge.withColumn(f"_carry_{n}", F.lag(f"_run_{n}").over(follows))
-    edge = edge.select(
+    # From here on one row per slice and group: a bounded table.
+    in_order = Window.partitionBy(*within).orderBy("_slice")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    edge = totals.withColumns({f"_off_{n}": F.coalesce(F.sum(f"_all_{n}").over(so_far), F.lit(0)) for n in own})
+    edge = edge.withColumns({f"_c_{f}": next_cut[f] for f in peers})
+    run = Window.partitionBy(*within, *(f"_c_{f}" for f in peers), "_spills").orderBy("_slice")
+    edge = edge.withColumns({
+        f"_run_{n}": F.first(F.col(f"_off_{n}") + F.col(f"_all_{n}") - F.col(f"_tail_{n}")).over(run) for n in own
+    })
+    adjoins = F.lag("_slice").over(in_order) == F.col("_slice") - 1
+    edge = edge.withColumns({
+        "_continued": F.coalesce(F.lag("_spills").over(in_order) & adjoins, F.lit(False)),
+        **{f"_carry_{n}": F.lag(f"_run_{n}").over(in_order) for n in own},
+    }).select(
         F.col("_slice").alias("_es"), *(F.col(w).alias(f"_ew{i}") for i, w in enumerate(within)),
-        "_continued", *(f"_off_{n}" for n in measures), *(f"_carry_{n}" for n in measures),
+        "_continued", *(f"_off_{n}" for n in own), *(f"_carry_{n}" for n in own),
     )
     match = F.col("_slice") == F.col("_es")
     for i, w in enumerate(within):
         match = match & F.col(w).eqNullSafe(F.col(f"_ew{i}"))
-    joined = local.join(edge, match)
-    heads = F.col("_continued") & same_group(F.get(cuts, F.col("_slice") - 1))
-    for n in measures:
-        joined = joined.withColumn(
-            n, F.when(heads, F.col(f"_carry_{n}")).otherwise(F.col(n) + F.col(f"_off_{n}"))
-        )
-    return joined.select(*df.columns, *measures)
+    head = F.col("_continued") & shares(F.get(cuts, F.col("_slice") - 1))
+    return local.join(edge, match).withColumns({
+        n: F.when(head, F.col(f"_carry_{n}")).otherwise(F.col(n) + F.col(f"_off_{n}")) for n in own
+    })
 
 
 def ranked(df: DataFrame, *, by: Column, tie: str, out: str, within: Sequence[str] = (),
            rows_per_slice: int | None = None) -> DataFrame:
     """``rank()`` by ``by`` ascending (negate a number to rank from the top)."""
-    before = strictly_before(df, by=by, tie=tie, within=within, measures={out: F.lit(1)},
+    before = strictly_before(df, by=by, tie=tie, within=within, measures={out: None},
                              rows_per_slice=rows_per_slice)
     return before.withColumn(out, (F.col(out) + 1).cast("int"))
 
@@ -171,7 +189,7 @@ def ranked(df: DataFrame, *, by: Column, tie: str, out: str, within: Sequence[st
 def numbered(df: DataFrame, *, by: Column, tie: str, out: str, within: Sequence[str] = (),
              pinned: bool = False, rows_per_slice: int | None = None) -> DataFrame:
     """``row_number()`` by ``by`` ascending, nulls last, then by the unique ``tie``."""
-    before = strictly_before(df, by=by, tie=tie, within=within, measures={out: F.lit(1)},
+    before = strictly_before(df, by=by, tie=tie, within=within, measures={out: None},
                              tie_orders=True, pinned=pinned, rows_per_slice=rows_per_slice)
     return before.withColumn(out, (F.col(out) + 1).cast("int"))
 
@@ -206,8 +224,7 @@ def neighbour(df: DataFrame, *, by: str, tie: str, value: str, out: str, step: i
         return table.withColumn(out, shift(value).over(order))
     key_fields = {"n": F.col(by).isNull(), "v": F.col(by), "t": F.col(tie)}
     cuts, count = _cut_points(table, {**key_fields, "value": F.col(value)}, rows, slices)
-    key = F.struct(*(c.alias(n) for n, c in key_fields.items()))
-    sliced = table.withColumn("_slice", _slice_of(key, list(key_fields), cuts, count, cut_opens=step > 0))
+    sliced = _with_slice(table, key_fields, cuts, count, cut_opens=step > 0)
     order = Window.partitionBy("_slice").orderBy(F.col(by).asc_nulls_last(), tie)
     inside = shift(F.struct(F.col(value).alias("value"))).over(order)
     beyond = F.get(cuts, F.col("_slice") - 1 if step < 0 else F.col("_slice"))
