@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,48 +29,52 @@ SAMPLES_PER_SLICE = 20
 SALTS = 32
 
 
-def _cut_points(table: DataFrame, fields: Mapping[str, Column], rows: int, slices: int) -> tuple[Column, int]:
-    """Sorted cut rows as a constant array column, and how many there are.
+class Cuts(NamedTuple):
+    """Sorted cut rows as constant arrays: their keys, and what else they carry."""
+
+    keys: Column
+    carried: Column
+    count: int
+
+
+def _cut_points(table: DataFrame, keys: Mapping[str, Column], rows: int, slices: int,
+                carried: Mapping[str, Column] | None = None) -> Cuts:
+    """Cut rows from a seeded sample.
 
     The sample, and so what the driver sees, grows with the number of slices
     and not with the table.
     """
-    entry = table.select(F.struct(*(c.alias(n) for n, c in fields.items())).alias("k"))
+    carried = carried or {}
+    entry = table.select(F.struct(*(c.alias(n) for n, c in {**keys, **carried}.items())).alias("k"))
     fraction = min(1.0, slices * SAMPLES_PER_SLICE / rows)
-    ordered = F.sort_array(F.collect_list("k"))
     step = F.greatest(F.lit(1), F.floor(F.size("s") / F.lit(slices)))
-    chosen = entry.sample(fraction=fraction, seed=17).agg(ordered.alias("s")).select(
-        F.filter("s", lambda _, i: (i > 0) & (i % step == 0)).alias("cuts")
-    )
+    sample = entry.sample(fraction=fraction, seed=17).agg(F.sort_array(F.collect_list("k")).alias("s"))
+    chosen = sample.select(F.filter("s", lambda _, i: (i > 0) & (i % step == 0)).alias("cuts"))
     stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     options = {"timestampFormat": stamp, "timestampNTZFormat": stamp}
     text, count = chosen.select(F.to_json("cuts", options), F.size("cuts")).first()
-    shape = T.ArrayType(entry.schema["k"].dataType)
-    return F.from_json(F.lit(text), shape, options), count
+    fields = entry.schema["k"].dataType
 
+    def constant(names: Mapping[str, Column]) -> Column:
+        shape = T.ArrayType(T.StructType([fields[n] for n in names]))
+        return F.from_json(F.lit(text), shape, options)
 
-def _passes(cut: Column, keys: Mapping[str, Column], or_equal: bool) -> Column:
-    """Whether the cut lies before the row's key, field by field, nulls lowest."""
-    result = F.lit(or_equal)
-    for name, key in reversed(keys.items()):
-        field = cut[name]
-        lower = F.coalesce(field < key, field.isNull() & key.isNotNull())
-        result = lower | (field.eqNullSafe(key) & result)
-    return result
+    return Cuts(constant(keys), constant(carried), count)
 
 
-def _with_slice(df: DataFrame, keys: Mapping[str, Column], cuts: Column, count: int, cut_opens: bool) -> DataFrame:
+def _with_slice(df: DataFrame, keys: Mapping[str, Column], cuts: Cuts, cut_opens: bool) -> DataFrame:
     """Add ``_slice``: how many cuts lie before the row, found by halving steps.
 
     ``cut_opens`` says whether a cut row is the first of its slice or the last
     of the slice before. Each step is a plain compiled expression.
     """
+    key = F.struct(*(c.alias(n) for n, c in keys.items()))
     placed = df.withColumn("_slice", F.lit(0))
-    for step in (1 << bit for bit in reversed(range(count.bit_length()))):
+    for step in (1 << bit for bit in reversed(range(cuts.count.bit_length()))):
         ahead = F.col("_slice") + step
-        cut = F.get(cuts, ahead - 1)
-        moves = (ahead <= count) & _passes(cut, keys, or_equal=cut_opens)
-        placed = placed.withColumn("_slice", F.when(moves, ahead).otherwise(F.col("_slice")))
+        cut = F.get(cuts.keys, ahead - 1)
+        passed = F.coalesce(cut <= key if cut_opens else cut < key, F.lit(False))  # null behind the last cut
+        placed = placed.withColumn("_slice", F.when(passed, ahead).otherwise(F.col("_slice")))
     return placed
 
 
@@ -102,8 +107,8 @@ def strictly_before(
     group = [*within]
     if slices > 1:
         keys_and_tie = {**keys, "t": F.col(tie)}
-        cuts, count = _cut_points(work, keys_and_tie, rows, slices)
-        work = _with_slice(work, keys_and_tie, cuts, count, cut_opens=True)
+        cuts = _cut_points(work, keys_and_tie, rows, slices)
+        work = _with_slice(work, keys_and_tie, cuts, cut_opens=True)
         group = ["_slice", *within]
     local = _before_in_group(work, measures, group, tie if tie_orders else None)
     if slices > 1:
@@ -131,7 +136,7 @@ def _before_in_group(work: DataFrame, measures: Mapping[str, Column | None], gro
 
 
 def _add_earlier_slices(sliced: DataFrame, local: DataFrame, own: Mapping[str, Column], within: Sequence[str],
-                        peers: Mapping[str, Column], cuts: Column) -> DataFrame:
+                        peers: Mapping[str, Column], cuts: Cuts) -> DataFrame:
     """Add what earlier slices hold to the sums inside a slice.
 
     A value that a slice shares with the next is known beforehand: it is that
@@ -140,12 +145,11 @@ def _add_earlier_slices(sliced: DataFrame, local: DataFrame, own: Mapping[str, C
     """
 
     def shares(cut: Column) -> Column:
-        same = cut.isNotNull()
-        for field, column in peers.items():
-            same = same & cut[field].eqNullSafe(column)
-        return same
+        here = F.struct(*(column.alias(field) for field, column in peers.items()))
+        there = F.struct(*(cut[field].alias(field) for field in peers))
+        return cut.isNotNull() & there.eqNullSafe(here)
 
-    next_cut = F.get(cuts, F.col("_slice"))
+    next_cut = F.get(cuts.keys, F.col("_slice"))
     spills = shares(next_cut)
     totals = sliced.groupBy("_slice", *within).agg(
         F.max(spills).alias("_spills"),
@@ -172,7 +176,7 @@ def _add_earlier_slices(sliced: DataFrame, local: DataFrame, own: Mapping[str, C
     match = F.col("_slice") == F.col("_es")
     for i, w in enumerate(within):
         match = match & F.col(w).eqNullSafe(F.col(f"_ew{i}"))
-    head = F.col("_continued") & shares(F.get(cuts, F.col("_slice") - 1))
+    head = F.col("_continued") & shares(F.get(cuts.keys, F.col("_slice") - 1))
     return local.join(edge, match).withColumns({
         n: F.when(head, F.col(f"_carry_{n}")).otherwise(F.col(n) + F.col(f"_off_{n}")) for n in own
     })
@@ -223,11 +227,11 @@ def neighbour(df: DataFrame, *, by: str, tie: str, value: str, out: str, step: i
         order = Window.orderBy(F.col(by).asc_nulls_last(), tie)
         return table.withColumn(out, shift(value).over(order))
     key_fields = {"n": F.col(by).isNull(), "v": F.col(by), "t": F.col(tie)}
-    cuts, count = _cut_points(table, {**key_fields, "value": F.col(value)}, rows, slices)
-    sliced = _with_slice(table, key_fields, cuts, count, cut_opens=step > 0)
+    cuts = _cut_points(table, key_fields, rows, slices, carried={"value": F.col(value)})
+    sliced = _with_slice(table, key_fields, cuts, cut_opens=step > 0)
     order = Window.partitionBy("_slice").orderBy(F.col(by).asc_nulls_last(), tie)
     inside = shift(F.struct(F.col(value).alias("value"))).over(order)
-    beyond = F.get(cuts, F.col("_slice") - 1 if step < 0 else F.col("_slice"))
+    beyond = F.get(cuts.carried, F.col("_slice") - 1 if step < 0 else F.col("_slice"))
     found = F.when(inside.isNotNull(), inside["value"]).otherwise(beyond["value"])
     return sliced.withColumn(out, found).drop("_slice")
 

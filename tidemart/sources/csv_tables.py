@@ -29,19 +29,25 @@ def read_commerce_table(spark: SparkSession, path: str, name: str) -> Split:
 
 @dataclass(frozen=True)
 class Intake:
-    """The commerce tables and their rejected rows, all still lazy."""
+    """The commerce tables as read, all still lazy."""
 
-    kept: dict[str, DataFrame]
-    rejected: dict[str, DataFrame]
+    read: dict[str, DataFrame]
+
+    def split(self, name: str) -> Split:
+        return split_on_key(self.read[name], COMMERCE_KEYS[name])
+
+    @property
+    def kept(self) -> dict[str, DataFrame]:
+        return {name: self.split(name).kept for name in self.read}
+
+    @property
+    def rejected(self) -> dict[str, DataFrame]:
+        return {name: self.split(name).rejected for name in self.read}
 
     def rejects(self) -> DataFrame:
         """Rows and rejected rows per table."""
-        whole = {
-            name: (df.unionAll(self.rejected[name]), COMMERCE_KEYS[name]) for name, df in self.kept.items()
-        }
-        return reject_counts(whole)
+        return reject_counts({name: (df, COMMERCE_KEYS[name]) for name, df in self.read.items()})
 
 
 def read_commerce_folder(spark: SparkSession, folder: str) -> Intake:
-    splits = {name: read_commerce_table(spark, f"{folder}/{name}.csv", name) for name in COMMERCE}
-    return Intake({n: s.kept for n, s in splits.items()}, {n: s.rejected for n, s in splits.items()})
+    return Intake({name: read_csv(spark, f"{folder}/{name}.csv", schema) for name, schema in COMMERCE.items()})
