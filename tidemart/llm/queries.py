@@ -6,14 +6,34 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemart.llm import token_files
+from tidemart.llm import html_text, language, token_files
 from tidemart.llm.text import table
 from tidemart.session import fresh_path
 
 #: Where tokenizers lie on this machine and on its executors.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
+#: Languages are learned from documents whose crc32 of the id leaves another remainder than this one.
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 4, 2
+
+
+def with_languages(docs: DataFrame) -> DataFrame:
+    """``docs`` with held_out, lang_pred and score; learned from the rows that are not held out."""
+    held_out = F.coalesce(language.fold(F.col("doc_id"), LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT, F.lit(False))
+    folds = docs.withColumn("held_out", held_out)
+    learned = folds.filter(~F.col("held_out") & F.col("doc_id").isNotNull())
+    return language.predict(folds, language.learn(learned))
+
+
+def language_of_documents(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return with_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def text_of_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
 
 
 def token_files_of(docs: DataFrame) -> DataFrame:
@@ -26,5 +46,7 @@ def token_files_of(docs: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_language": language_of_documents,
     "op8_token_files": lambda s, f: token_files_of(table(s, f, "documents")),
+    "op9_main_text": text_of_pages,
 }
