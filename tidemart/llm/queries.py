@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import embeddings, html_text, language, token_files
+from tidemart.llm import embeddings, html_text, language, mixing, token_files
 from tidemart.llm.text import table
 from tidemart.session import fresh_path
 
@@ -46,6 +46,9 @@ def token_files_of(docs: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": lambda s, f: mixing.taken_words(table(s, f, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    ),
     "op5_embeddings": lambda s, f: embeddings.near_duplicates(table(s, f, "embeddings")),
     "op6_language": language_of_documents,
     "op8_token_files": lambda s, f: token_files_of(table(s, f, "documents")),
