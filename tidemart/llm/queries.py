@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import embeddings, html_text, jaccard_join, language, mixing, token_files
+from tidemart.llm import embeddings, html_text, jaccard_join, language, mixing, suffix_dedup, token_files
 from tidemart.llm.text import table
 from tidemart.session import fresh_path
 
@@ -54,4 +54,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language": language_of_documents,
     "op8_token_files": lambda s, f: token_files_of(table(s, f, "documents")),
     "op9_main_text": text_of_pages,
+    "op10_suffixes": lambda s, f: suffix_dedup.remove_repeats(table(s, f, "documents")).drop("spans"),
 }

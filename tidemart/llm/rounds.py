@@ -44,10 +44,10 @@ class Chunks:
         return max(1, int(self.weight * share) // RANGE_BYTES)
 
 
-def deal(rows: DataFrame, measure: str, chunk_bytes: int = CHUNK_BYTES) -> Chunks:
+def deal(rows: DataFrame, measure: str) -> Chunks:
     """``rows`` dealt into chunks by a hash of all columns; ``measure`` is the column whose bytes count."""
     weight = rows.agg(F.coalesce(F.sum(F.octet_length(measure)), F.lit(0)).alias("w")).first().w
-    number = max(1, -(-weight // chunk_bytes))
+    number = max(1, -(-weight // CHUNK_BYTES))
     chunk = F.pmod(F.xxhash64(*rows.columns), F.lit(number))
     return Chunks(rows.withColumn("chunk", chunk).repartition(number, "chunk"), number, weight)
 
