@@ -31,14 +31,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm import rounds
 from tidemart.llm.components import components
-from tidemart.llm.text import chained, column, hashes, split_words, texts_of, word_codes
+from tidemart.llm.text import chained, column, hashed_words, texts_of
 from tidemart.session import pin
 
 WIDTH, PERCENT = 4, 85
@@ -50,9 +49,7 @@ BITMAP = 16
 
 def sets_of(texts: pa.Array, width: int) -> list[np.ndarray]:
     """Each text's sorted distinct shingle hashes. Only A-Z are lower-cased."""
-    words, bounds = split_words(pc.ascii_lower(texts))
-    codes, distinct = word_codes(words)
-    marks = hashes(distinct)[codes] if len(codes) else np.empty(0, np.uint64)
+    marks, bounds = hashed_words(texts)
     shingles = chained(marks, width)
     found = []
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import embeddings, html_text, jaccard_join, language, mixing, suffix_dedup, token_files
+from tidemart.llm import embeddings, html_text, jaccard_join, kneser_ney, language, mixing, suffix_dedup, token_files
 from tidemart.llm.text import table
 from tidemart.session import fresh_path
 
@@ -17,6 +17,8 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 #: Languages are learned from documents whose crc32 of the id leaves another remainder than this one.
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 4, 2
+#: The scoring model learns from documents whose crc32 of the id leaves another remainder than this one.
+SCORING_FOLDS, SCORING_HELD_OUT = 10, 0
 
 
 def with_languages(docs: DataFrame) -> DataFrame:
@@ -36,6 +38,14 @@ def text_of_pages(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def scores_of_documents(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    remainder = language.fold(F.col("doc_id"), SCORING_FOLDS)
+    scored = kneser_ney.score(docs, remainder != SCORING_HELD_OUT)
+    held_out = F.coalesce(remainder == SCORING_HELD_OUT, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def token_files_of(docs: DataFrame) -> DataFrame:
     """Write ``docs`` as token files, read them back, and describe each document."""
     spark = docs.sparkSession
@@ -52,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op5_embeddings": lambda s, f: embeddings.near_duplicates(table(s, f, "embeddings")),
     "op6_language": language_of_documents,
+    "op7_kneser_ney": scores_of_documents,
     "op8_token_files": lambda s, f: token_files_of(table(s, f, "documents")),
     "op9_main_text": text_of_pages,
     "op10_suffixes": lambda s, f: suffix_dedup.remove_repeats(table(s, f, "documents")).drop("spans"),

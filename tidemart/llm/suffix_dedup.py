@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm import rounds
-from tidemart.llm.text import column, mix
+from tidemart.llm.text import column, part_hashes
 
 LENGTH, GRAM = 400, 100
 #: Bytes whose grams are hashed at a time.
@@ -48,36 +48,13 @@ SEGMENT = 1 << 20
 #: Classes with more members are matched window place by window place, smaller ones pair by pair.
 PAIRWISE = 12
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse among 64-bit numbers
 _KINDS = {"grams": 0, "texts": 1, "runs": 2, "told grams": 10, "told texts": 11}
 
 
-def _powers(base: int, count: int) -> np.ndarray:
-    powers = np.full(count, base, np.uint64)
-    powers[0] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(powers)
-
-
-class _Powers:
-    """Powers of the base and its inverse, made once per worker."""
-
-    up = down = np.empty(0, np.uint64)
-
-    @classmethod
-    def of(cls, count: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < count:
-            cls.up, cls.down = _powers(_BASE, count), _powers(pow(_BASE, -1, 1 << 64), count)
-        return cls.up[:count], cls.down[:count]
-
-
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """A hash of the ``gram`` bytes at each place where they fit."""
-    up, down = _Powers.of(len(data) + 1)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-        return mix((sums[gram:] - sums[:-gram]) * down[:len(data) - gram + 1])
+    starts = np.arange(len(data) - gram + 1)
+    return part_hashes(data.astype(np.uint64) + np.uint64(1), starts, starts + gram)
 
 
 def least_of_windows(keys: np.ndarray, width: int) -> np.ndarray:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 #: White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -62,11 +61,6 @@ def strings(values: pa.Array) -> list:
     return values.to_numpy(zero_copy_only=False).tolist()
 
 
-def hashes(distinct: pa.Array) -> np.ndarray:
-    """64-bit hashes of strings."""
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, strings(distinct)), np.uint64, len(distinct))
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all."""
     with np.errstate(over="ignore"):
@@ -89,3 +83,68 @@ def chained(words: np.ndarray, width: int) -> np.ndarray:
         for k in range(1, width):
             value = mix(value * np.uint64(0x9E3779B97F4A7C15) + words[k:count + k])
     return value
+
+
+def powers(base: int, count: int) -> np.ndarray:
+    """Powers of an odd number among 64-bit numbers, from the zeroth."""
+    values = np.full(count, base, np.uint64)
+    values[:1] = 1
+    with np.errstate(over="ignore"):
+        return np.multiply.accumulate(values)
+
+
+class Powers:
+    """Powers of a base and of its inverse, made once per worker."""
+
+    BASE = 0x9E3779B97F4A7C15
+    up = down = np.empty(0, np.uint64)
+
+    @classmethod
+    def of(cls, count: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < count:
+            cls.up, cls.down = powers(cls.BASE, count), powers(pow(cls.BASE, -1, 1 << 64), count)
+        return cls.up[:count], cls.down[:count]
+
+
+def part_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the parts of ``values`` (not zero, as unsigned 64-bit numbers) from starts to ends."""
+    up, down = Powers.of(len(values) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * up[:-1], out=sums[1:])
+        return mix((sums[ends] - sums[starts]) * down[starts])
+
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, *range(9, 14)]] = True
+_LOWER = np.arange(1, 257, dtype=np.uint64)
+_LOWER[65:91] += np.uint64(32)
+#: Bytes whose hashes are made at a time; a longer word is taken whole.
+_SEGMENT = 1 << 20
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, A-Z lower-cased, and where each text's words begin and end."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    first, last = int(offsets[0]), int(offsets[-1])
+    if first == last:
+        return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[first:last]
+    edges = (offsets - first)[:-1]
+    edges = edges[edges < len(data)]
+    gap = _IS_SPACE[data]
+    begins = np.ones(len(data), bool)
+    begins[1:] = gap[:-1]
+    begins[edges] = True
+    stops = np.ones(len(data), bool)
+    stops[:-1] = gap[1:]
+    stops[edges[edges > 0] - 1] = True
+    starts, ends = np.flatnonzero(begins & ~gap), np.flatnonzero(stops & ~gap) + 1
+    found = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + _SEGMENT, side="right")))
+        a, b = int(starts[at]), int(ends[to - 1])
+        found[at:to] = part_hashes(_LOWER[data[a:b]], starts[at:to] - a, ends[at:to] - a)
+        at = to
+    return found, np.searchsorted(starts, offsets - first)
