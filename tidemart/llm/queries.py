@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import embeddings, html_text, jaccard_join, kneser_ney, language, mixing, suffix_dedup, token_files
+from tidemart.llm import decontaminate, embeddings, html_text, jaccard_join, kneser_ney, language, mixing, suffix_dedup, token_files
 from tidemart.llm.text import table
 from tidemart.session import fresh_path
 
@@ -57,6 +57,7 @@ def token_files_of(docs: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": lambda s, f: jaccard_join.link(table(s, f, "documents")),
+    "op2_decontaminate": lambda s, f: decontaminate.matches(table(s, f, "documents"), table(s, f, "benchmark")),
     "op3_mixing": lambda s, f: mixing.taken_words(table(s, f, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     ),
