@@ -5,24 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemart.llm import queries
+from tidemart.llm import decontaminate, jaccard_join, language, mixing, queries
 from tidemart.llm.text import table
 from tidemart.session import pin
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Words in a shingle and percent of similarity from which documents are near duplicates.
+SHINGLE_WORDS, SIMILAR = 5, 80
 
-def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reject documents that are like no language: null or without letters, or of cosine 0 with all profiles."""
+    told = queries.with_languages(docs).filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0))
+    return told.select(*docs.columns)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of near duplicates; rows without id stay."""
+    linked = jaccard_join.link(docs, width=SHINGLE_WORDS, percent=SIMILAR)
+    others = pin(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-duplicates")
+    return docs.join(others, docs["doc_id"] == others["_gone"], "left_anti")
+
+
+def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold an item of the benchmark, other numbers, names or units included."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take each document as often as the mix of sources does: not at all, or up to three times."""
+    return mixing.mixed_documents(docs)
+
+
+def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write all documents as token files; a row per document as read back from them."""
     return queries.token_files_of(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("token_output", token_output),
+    ("language", keep_known_languages),
+    ("near_duplicates", keep_one_of_near_duplicates),
+    ("decontamination", remove_benchmark_leaks),
+    ("mixing", mix_sources),
+    ("token_files", write_token_files),
 ]
 
-#: SQL has no tokenizer, so the result is tested against a plain version instead.
+#: SQL has neither the language profiles nor the tokenizer, so stages are tested against plain versions instead.
 ORACLE_SQL: str | None = None
 
 

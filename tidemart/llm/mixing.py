@@ -39,7 +39,7 @@ REPEATS = 3
 BLOCK, SHARD = 32, 2048
 SEED = 3
 #: Documents in a bucket of a running sum, on average.
-BUCKET = 10_000
+BUCKET = 1_000
 #: Sources whose shares are sent to every task; more than these are refused.
 SOURCES = 1_000_000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -221,3 +221,18 @@ def taken_words(docs: DataFrame, **options: object) -> DataFrame:
     mixed = mix_sources(docs, **options)
     sources = mixed.sources.select("rank", "source", "source_size", "target")
     return mixed.taken().join(sources, "rank").select("doc_id", "size", "source", "source_size", "target", "taken")
+
+
+def mixed_documents(docs: DataFrame, *, seed: int = SEED, **options: object) -> DataFrame:
+    """``docs`` in the mix's proportions: each row as often as its words were taken, in whole documents.
+
+    A document taken 1.3 times comes twice for three in ten of such documents,
+    by a hash of its id, and once otherwise; so sources keep their targets.
+    Rows that share an id are taken alike.
+    """
+    taken = mix_sources(docs, seed=seed, **options).taken()
+    chance = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
+    times = taken.groupBy("doc_id").agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("times"))
+    times = times.select(F.col("doc_id").alias("_id"), F.floor(F.col("times") + chance).cast("int").alias("_times")).filter("_times > 0")
+    joined = docs.join(pin(times, "times"), docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])

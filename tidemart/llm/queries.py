@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontaminate, embeddings, html_text, jaccard_join, kneser_ney, language, mixing, suffix_dedup, token_files
+from tidemart.llm import decontaminate, embeddings, html_text, jaccard_join, kneser_ney, language, mixing, quotations, suffix_dedup, token_files
 from tidemart.llm.text import table
 from tidemart.session import fresh_path
 
@@ -61,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": lambda s, f: mixing.taken_words(table(s, f, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     ),
+    "op4_quotations": lambda s, f: quotations.link_quotations(table(s, f, "conversations")),
     "op5_embeddings": lambda s, f: embeddings.near_duplicates(table(s, f, "embeddings")),
     "op6_language": language_of_documents,
     "op7_kneser_ney": scores_of_documents,
