@@ -3,3 +3,119 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_jaccard"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE
+        WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+        ELSE [] END AS s
+    FROM words
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n_a, any_value(b.n) AS n_b, count(*) AS both_have
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM pairs WHERE 100 * both_have >= 85 * (n_a + n_b - both_have)
+), ways AS (
+    SELECT a, b FROM links UNION SELECT b, a FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT r.doc_id, w.b FROM reached r JOIN ways w ON r.other = w.a
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+FROM sets s JOIN reached r ON r.doc_id = s.doc_id
+GROUP BY s.doc_id, s.s
+"""
+
+ORACLES["op4_quotations"] = r"""
+WITH RECURSIVE messages AS (
+    SELECT row_number() OVER () AS id, conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+), lines AS (
+    SELECT id, text, generate_subscripts(l, 1) AS i, unnest(l) AS line
+    FROM (SELECT id, text, regexp_split_to_array(text, '\r\n|\r|\n') AS l FROM messages)
+), levels AS (
+    SELECT id, i, length(regexp_replace(regexp_extract(line, '^(([ \t]{0,3}>)*)', 1), '[^>]', '', 'g')) AS level,
+        regexp_replace(line, '^([ \t]{0,3}>)+[ \t]?', '') AS line
+    FROM lines
+), changes AS (
+    SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY id ORDER BY i) THEN 0 ELSE 1 END AS fresh FROM levels
+), runs AS (
+    SELECT *, sum(fresh) OVER (PARTITION BY id ORDER BY i) AS run FROM changes
+), passages AS (
+    SELECT id, run, level, string_agg(line, chr(10) ORDER BY i) AS text, run < max(max(run)) OVER (PARTITION BY id) AS leads
+    FROM runs GROUP BY id, run, level
+), stripped AS (
+    SELECT id, run, regexp_replace(CASE WHEN leads THEN regexp_replace(text,
+        '(?i)(?:^|\n)[^\n]{0,200}\b(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$', '') ELSE text END,
+        '^\s+|\s+$', '', 'g') AS text
+    FROM passages WHERE level = 0
+), own AS (
+    SELECT m.id, m.conv_id, m.turn, m.role, coalesce(q.quotes, 0) AS n_quotes,
+        CASE WHEN q.quotes > 0 THEN coalesce(o.text, '') ELSE m.text END AS text
+    FROM messages m
+    LEFT JOIN (SELECT id, count(*) FILTER (level > 0) AS quotes FROM passages GROUP BY id) q ON q.id = m.id
+    LEFT JOIN (SELECT id, string_agg(text, chr(10) ORDER BY run) AS text FROM stripped WHERE text <> '' GROUP BY id) o ON o.id = m.id
+), quoted AS (
+    SELECT DISTINCT m.conv_id, m.turn, trim(regexp_replace(lower(p.text), '\s+', ' ', 'g')) AS passage
+    FROM passages p JOIN messages m ON m.id = p.id WHERE p.level = 1
+), held AS (
+    SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS passage
+    FROM (SELECT conv_id, turn, unnest(list_concat([text], list_concat(
+        regexp_split_to_array(text, '\n[ \t]*\n'), regexp_split_to_array(text, '\n')))) AS part FROM own)
+), inside AS (
+    SELECT q.conv_id, q.turn, max(h.turn) AS reply_turn, q.conv_id AS reply_conv
+    FROM quoted q JOIN held h ON h.passage = q.passage AND h.conv_id = q.conv_id AND h.turn < q.turn
+    WHERE q.passage <> '' GROUP BY q.conv_id, q.turn
+), earliest AS (
+    SELECT passage, min({'conv_id': conv_id, 'turn': turn}) AS o FROM held GROUP BY passage
+), outside AS (
+    SELECT q.conv_id, q.turn, min(e.o) AS o FROM quoted q JOIN earliest e ON e.passage = q.passage
+    WHERE q.passage <> '' AND e.o.conv_id <> q.conv_id AND (q.conv_id, q.turn) NOT IN (SELECT (conv_id, turn) FROM inside)
+    GROUP BY q.conv_id, q.turn
+), links AS (
+    SELECT conv_id, turn, reply_turn, reply_conv FROM inside
+    UNION ALL SELECT conv_id, turn, o.turn, o.conv_id FROM outside
+), chains AS (
+    SELECT conv_id, turn, reply_turn AS goal, 1 AS depth FROM inside
+    UNION ALL
+    SELECT c.conv_id, c.turn, i.reply_turn, c.depth + 1 FROM chains c JOIN inside i ON i.conv_id = c.conv_id AND i.turn = c.goal
+), roots AS (
+    SELECT conv_id, turn, min(goal) AS thread_turn, max(depth) AS depth FROM chains GROUP BY conv_id, turn
+)
+SELECT o.conv_id, o.turn, o.role, o.text, o.n_quotes, l.reply_conv, l.reply_turn,
+    coalesce(r.thread_turn, o.turn) AS thread_turn, CAST(coalesce(r.depth, 0) AS BIGINT) AS depth,
+    '<|im_start|>' || replace(coalesce(o.role, ''), '<|', '< |') || chr(10) || replace(o.text, '<|', '< |') || '<|im_end|>' AS chat
+FROM own o
+LEFT JOIN links l ON l.conv_id = o.conv_id AND l.turn = o.turn
+LEFT JOIN roots r ON r.conv_id = o.conv_id AND r.turn = o.turn
+"""
+
+ORACLES["op5_embeddings"] = r"""
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reached AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), classes AS (
+    SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+), counts AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT c.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
+FROM classes c LEFT JOIN counts n ON n.a = c.vec_id
+"""
