@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from oracles import all_statements
+from tidemart.plans.registry import all_queries
 from tools.verify import TABLES, difference, rows_of
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
+QUERIES, STATEMENTS = all_queries(), all_statements()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +22,8 @@ def duck():
 
 def test_every_query_has_a_statement():
     assert set(STATEMENTS) == set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.queries())
     assert {f"q{i:03d}" for i in range(1, 101)} <= set(QUERIES)
 
 
