@@ -43,8 +43,8 @@ from tidemart.session import pin
 WIDTH, PERCENT = 4, 85
 #: How many shared shingles the document filter asks for, as a share of the set.
 FILTER_SHARE = 0.2
-#: 64-bit words of a set's bitmap.
-BITMAP = 16
+#: 64-bit words of a set's bitmap, and of the shorter one it folds to.
+BITMAP, FOLDED = 16, 4
 
 
 def sets_of(texts: pa.Array, width: int) -> list[np.ndarray]:
@@ -251,17 +251,29 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(check, "a long, b long")
 
 
-def _near(bits: str, other: str, n: Column, m: Column, percent: int) -> Column:
+def _near(bits: str, other: str, n: Column, m: Column, percent: int, words: int = BITMAP) -> Column:
+    """Whether the bitmaps of two sets of these sizes differ in no more bits than linked sets may."""
     differ = F.lit(0)
-    for k in range(BITMAP):
+    for k in range(words):
         differ = differ + F.bit_count(F.col(bits)[k].bitwiseXOR(F.col(other)[k]))
     return differ <= n + m - 2 * _overlap(n, m, percent)
 
 
-def _postings(groups: DataFrame) -> DataFrame:
+def _folded(bits: str) -> Column:
+    """The bitmap folded to fewer words, each bit again the parity of its shingles."""
+    words = []
+    for k in range(FOLDED):
+        word = F.col(bits)[k]
+        for more in range(k + FOLDED, BITMAP, FOLDED):
+            word = word.bitwiseXOR(F.col(bits)[more])
+        words.append(word)
+    return F.array(*words)
+
+
+def _postings(groups: DataFrame, *more: str) -> DataFrame:
     each = F.explode(F.arrays_zip("tokens", "places")).alias("e")
-    return groups.select("gid", "component", "n", each).select(
-        "gid", "component", "n", F.col("e.tokens").alias("token"), F.col("e.places").alias("place")
+    return groups.select("gid", "n", *more, each).select(
+        "gid", "n", *more, F.col("e.tokens").alias("token"), F.col("e.places").alias("place")
     )
 
 
@@ -278,8 +290,7 @@ def link(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, id_colu
     # Groups of the same prefix and size, named by their first member.
     names = heads.groupBy("n", "prefix").agg(F.min("doc_id").alias("gid"))
     members = pin(heads.join(names, ["n", "prefix"]), "members")
-    firsts = members.filter("doc_id = gid").withColumn("component", F.lit(None).cast("long"))
-    postings = _postings(firsts)
+    postings = _postings(members.filter("doc_id = gid"))
     least = postings.groupBy("token").agg(F.min("gid").alias("first"), F.count(F.lit(1)).alias("held"))
     shared = postings.join(least.filter("held > 1"), "token").filter("gid > first").groupBy("gid", "first").agg(
         F.count(F.lit(1)).alias("common")
@@ -296,22 +307,31 @@ def link(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, id_colu
     placed = members.join(component.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id")
     )
+    larger = component.select("component", F.lit(True).alias("larger")).distinct()
+    placed = placed.drop("gid").join(larger, "component", "left")
     cut = placed.groupBy("n", "prefix", "component").agg(F.min("doc_id").alias("part"))
-    parts = pin(placed.drop("gid").join(cut, ["n", "prefix", "component"]), "parts")
-    posted = pin(_postings(parts.filter("doc_id = part").withColumnRenamed("part", "gid")), "postings")
-    held = posted.groupBy("token", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    parts = pin(placed.join(cut, ["n", "prefix", "component"]), "parts")
+    # A component of one document has its bitmap beside each of its shingles.
+    alone = F.when(F.col("larger").isNull(), _folded("bits")).alias("fold")
+    posted = pin(_postings(parts.filter("doc_id = part").select("*", F.col("part").alias("gid"), alone), "component", "fold"), "postings")
+    held = posted.groupBy("token", "component").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("reach"), F.first("fold").alias("fold")
+    )
     several = held.groupBy("token").agg(F.count(F.lit(1)).alias("components")).filter("components > 1").select("token")
     held = pin(held.join(several, "token"), "held")
-    one = held.select("token", F.col("component").alias("c"), F.col("low").alias("low_c"), F.col("high").alias("high_c"))
-    two = held.select(F.col("token").alias("token_d"), F.col("component").alias("d"), F.col("low").alias("low_d"), F.col("high").alias("high_d"))
-    meeting = one.join(two, (F.col("token") == F.col("token_d")) & (F.col("c") < F.col("d"))
-                       & (100 * F.col("high_c") >= percent * F.col("low_d")) & (100 * F.col("high_d") >= percent * F.col("low_c")))
+    one = held.select("token", *[F.col(c).alias(f"{c}_c") for c in ("component", "low", "high", "reach", "fold")])
+    two = held.select(F.col("token").alias("token_d"), *[F.col(c).alias(f"{c}_d") for c in ("component", "low", "high", "reach", "fold")])
+    sizes = (100 * F.col("high_c") >= percent * F.col("low_d")) & (100 * F.col("high_d") >= percent * F.col("low_c"))
+    places = F.least("reach_c", "reach_d") >= _overlap(F.col("low_c"), F.col("low_d"), percent)
+    bitmaps = F.col("fold_c").isNull() | F.col("fold_d").isNull() | _near("fold_c", "fold_d", F.col("low_c"), F.col("low_d"), percent, FOLDED)
+    meeting = one.join(two, (F.col("token") == F.col("token_d")) & (F.col("component_c") < F.col("component_d")) & sizes & places & bitmaps)
+    meeting = meeting.select("token", F.col("component_c").alias("c"), F.col("component_d").alias("d"))
     left = posted.select("token", F.col("component").alias("c"), F.col("gid").alias("g"), F.col("n").alias("n_g"), F.col("place").alias("at_g"))
     right = posted.select("token", F.col("component").alias("d"), F.col("gid").alias("h"), F.col("n").alias("n_h"), F.col("place").alias("at_h"))
     possible = (F.least(F.col("n_g") - F.col("at_g"), F.col("n_h") - F.col("at_h"))
                 >= _overlap(F.col("n_g"), F.col("n_h"), percent)) & (
         F.least("n_g", "n_h") >= _overlap(F.col("n_g"), F.col("n_h"), percent))
-    group_pairs = meeting.select("token", "c", "d").join(left, ["token", "c"]).join(right, ["token", "d"]).filter(possible)
+    group_pairs = meeting.join(left, ["token", "c"]).join(right, ["token", "d"]).filter(possible)
     group_pairs = pin(group_pairs.select("g", "h").distinct(), "group-pairs")
     inside = parts.select("part", "doc_id", "n", "bits")
     mine = inside.select(F.col("part").alias("g"), F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
