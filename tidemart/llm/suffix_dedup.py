@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm import rounds
-from tidemart.llm.text import column, part_hashes
+from tidemart.llm.text import column, mix, part_hashes
 
 LENGTH, GRAM = 400, 100
 #: Bytes whose grams are hashed at a time.
@@ -97,7 +97,8 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Ancho
             continue
         data = np.frombuffer(b"".join(texts[k][a:b] for k, a, b in group), np.uint8)
         hashed = gram_hashes(data, gram)
-        # Order by hash, and among equals by place: the low bits hold the place.
+        # Order by hash, and among equals by place: the low bits hold the place. Anchors have small
+        # hashes, so they are mixed again to spread over the ranges.
         bits = np.uint64(max(1, int(len(hashed)).bit_length()))
         keys = ((hashed >> bits) << bits) | np.arange(len(hashed), dtype=np.uint64)
         least = (least_of_windows(keys, length - gram + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
@@ -107,7 +108,7 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Ancho
             change = np.concatenate(([0], np.flatnonzero(np.diff(windows)) + 1))
             place = windows[change]
             found.append((np.full(len(change), k), place - at + a, change + a,
-                          np.append(change[1:], len(windows)) - 1 + a, hashed[place]))
+                          np.append(change[1:], len(windows)) - 1 + a, mix(hashed[place] + np.uint64(1))))
             at += b - a
     return Anchors(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
