@@ -54,7 +54,8 @@ UNITS = (
     "kpa bar k c f degree degrees percent usd eur gbp dollar dollars euro euros cent cents"
 ).split()
 
-_DIGITS = r"[0-9]+(?:[.,:/][0-9]+)*"
+# No repeated groups: on long texts Java would match them by recursion until its stack is full.
+_DIGITS = r"[0-9](?:[0-9.,:/]*[0-9])?"
 
 
 def _plain(text: Column) -> Column:
@@ -64,14 +65,11 @@ def _plain(text: Column) -> Column:
 def template(text: Column) -> Column:
     """The words of a text's template; placeholders are single marks."""
     numbers = F.regexp_replace(_plain(text), _DIGITS, f" {NUMBER} ")
+    words = F.regexp_replace(numbers, rf"(?i)(?<!{_LETTER})(?:{'|'.join(NUMBER_WORDS)})(?!{_LETTER})", NUMBER)
+    units = F.regexp_replace(words, rf"(?i){NUMBER}\s+(?:{'|'.join(UNITS)})(?!{_LETTER})", f"{NUMBER} {UNIT}")
     # A capital letter is looked for first: looking behind at every place would be slow.
-    names = F.regexp_replace(
-        numbers, rf"(?=\p{{Lu}})(?<=[^.!?:\s][\"')\]]{{0,2}}\s{{1,3}}){_LETTER}+", NAME
-    )
-    lower = F.lower(names)
-    words = F.regexp_replace(lower, rf"(?<!{_LETTER})(?:{'|'.join(NUMBER_WORDS)})(?!{_LETTER})", NUMBER)
-    units = F.regexp_replace(words, rf"{NUMBER}\s+(?:{'|'.join(UNITS)})(?!{_LETTER})", f"{NUMBER} {UNIT}")
-    return F.array_remove(F.split(units, rf"[^\p{{L}}\p{{M}}{NUMBER}-{UNIT}]+"), "")
+    names = F.regexp_replace(units, rf"(?=\p{{Lu}})(?<=[^.!?:\s][\"')\]]{{0,2}}\s{{1,3}}){_LETTER}+", NAME)
+    return F.array_remove(F.split(F.lower(names), rf"[^\p{{L}}\p{{M}}{NUMBER}-{UNIT}]+"), "")
 
 
 def values(text: Column) -> Column:

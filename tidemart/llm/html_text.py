@@ -6,7 +6,7 @@ are known by tag, role or class and their lines are set aside. Each line has a
 text-to-tag ratio; the ratios are smoothed with a Gaussian, and lines above
 one standard deviation form the content cluster. The region is the element
 that holds the cluster: the article or main element with most of it or, where
-a page has none, the deepest element that still holds nearly all of it. All
+a page has none, the deepest element of several lines that holds nearly all of it. All
 lines of the region that are not set aside are the text, short ones too.
 
 Null or empty pages and pages without text give an empty string. Whatever the
@@ -207,26 +207,29 @@ def main_text(html: str | None) -> str:
     if not page.lines:
         return ""
     sizes = np.array([len(text) for text, *_ in page.lines], float)
-    means = smoothed(sizes / np.maximum(1, [tags for _, tags, _, _ in page.lines]))
-    content = means >= min(means.max(), np.std(means))
+    ratios = sizes / np.maximum(1, [tags for _, tags, _, _ in page.lines])
+    means = smoothed(ratios)
+    threshold = min(means.max(), np.std(means))
+    content = means >= threshold
     mass: dict[_Element, float] = {}
+    lines: dict[_Element, int] = {}
     for (_, _, _, holder), size, chosen in zip(page.lines, sizes, content, strict=True):
         for element in _chain(holder):
             mass[element] = mass.get(element, 0.0) + size * chosen
+            lines[element] = lines.get(element, 0) + 1
     named = [e for e in mass if e.named_region and mass[e] >= 0.5 * mass[page.root]]
     if named:
         # The innermost of those that hold most of the cluster.
         region = max(named, key=lambda e: sum(1 for _ in _chain(e)))
     else:
         region = page.root
-        while inner := [e for e in region.inner if e.tag not in HEADINGS and e.tag != "p"
-                        and mass.get(e, 0.0) >= NEARLY_ALL * mass[region] > 0]:
+        while inner := [e for e in region.inner if lines.get(e, 0) > 1 and mass[e] >= NEARLY_ALL * mass[region] > 0]:
             region = inner[0]
     chosen = [k for k, line in enumerate(page.lines) if region in _chain(line[3])]
     if not named:
         # Without an article element, lists of links before and after the text are menus.
         def menu(k: int) -> bool:
-            return not content[k] and page.lines[k][2] > 0.5 * sizes[k]
+            return ratios[k] < threshold and page.lines[k][2] > 0.5 * sizes[k]
 
         while chosen and menu(chosen[0]):
             chosen.pop(0)

@@ -43,8 +43,8 @@ WITH RECURSIVE messages AS (
     SELECT id, text, generate_subscripts(l, 1) AS i, unnest(l) AS line
     FROM (SELECT id, text, regexp_split_to_array(text, '\r\n|\r|\n') AS l FROM messages)
 ), levels AS (
-    SELECT id, i, length(regexp_replace(regexp_extract(line, '^(([ \t]{0,3}>)*)', 1), '[^>]', '', 'g')) AS level,
-        regexp_replace(line, '^([ \t]{0,3}>)+[ \t]?', '') AS line
+    SELECT id, i, length(regexp_replace(regexp_extract(line, '^([ \t]{0,3}>[> \t]*)', 1), '[^>]', '', 'g')) AS level,
+        regexp_replace(line, '^[ \t]{0,3}>[> \t]*', '') AS line
     FROM lines
 ), changes AS (
     SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY id ORDER BY i) THEN 0 ELSE 1 END AS fresh FROM levels

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from tidemart.session import pin
 
-_MARKS = r"^((?:[ \t]{0,3}>)+)[ \t]?(.*)$"
+# No repeated groups: on long lines Java would match them by recursion until its stack is full.
+_MARKS = r"(?s)^([ \t]{0,3}>[> \t]*)(.*)$"
 _QUOTED = r"(?m)^[ \t]{0,3}>"
 #: The line before a quotation that names its author.
 _ANNOUNCED = r"(?i)(?:^|\n)[^\n]{0,200}\b(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$"
