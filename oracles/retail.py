@@ -104,8 +104,12 @@ _BODIES = {
     "q051": "SELECT customer_id, first_name, CAST(total_amount AS DOUBLE) AS total_amount FROM sales JOIN customers USING (customer_id) WHERE sales.total_amount > (SELECT avg(total_amount) FROM sales)",
     "q051_intent": "SELECT customer_id, first_name, CAST(total AS DOUBLE) AS total_spent FROM spend WHERE total > (SELECT avg(total) FROM spend)",
     "q052": "SELECT product_id, product_name, CAST(price AS DOUBLE) AS price FROM products WHERE products.price > (SELECT avg(price) FROM products)",
-    "q053": f"SELECT customer_id, first_name FROM customers c WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.customer_id = c.customer_id AND {_1997})",
-    "q054": "SELECT product_id, product_name FROM products p WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.product_id = p.product_id AND s.sale_date BETWEEN DATE '1997-01-01' AND DATE '1997-03-31')",
+    "q053": "SELECT customer_id, first_name FROM customers c WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.customer_id = c.customer_id)",
+    "q053_in_year": f"SELECT customer_id, first_name FROM customers c WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.customer_id = c.customer_id AND {_1997})",
+    "q053_some_without": "SELECT customer_id, first_name FROM customers c WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.customer_id = c.customer_id AND s.customer_id % 7 <> 0 AND s.product_id % 7 <> 0)",
+    "q054": "SELECT product_id, product_name FROM products p WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.product_id = p.product_id)",
+    "q054_in_quarter": "SELECT product_id, product_name FROM products p WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.product_id = p.product_id AND s.sale_date BETWEEN DATE '1997-01-01' AND DATE '1997-03-31')",
+    "q054_some_without": "SELECT product_id, product_name FROM products p WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.product_id = p.product_id AND s.customer_id % 7 <> 0 AND s.product_id % 7 <> 0)",
     "q055": "SELECT customer_id, first_name, CAST(total_amount AS DOUBLE) AS total_amount FROM sales JOIN customers USING (customer_id) WHERE sales.total_amount = (SELECT max(total_amount) FROM sales)",
     "q056": "SELECT product_id, product_name, CAST(total_amount AS DOUBLE) AS total_amount FROM sales JOIN products USING (product_id) WHERE sales.total_amount > (SELECT avg(total_amount) FROM sales)",
     "q056_intent": "SELECT product_id, product_name, CAST(total AS DOUBLE) AS total_amount FROM moved WHERE total > (SELECT avg(total) FROM moved)",
@@ -133,7 +137,8 @@ _BODIES = {
     "q072_intent": "SELECT product_id, product_name, qty AS total_quantity, rank() OVER (ORDER BY qty DESC) AS rank_quantity_sold FROM moved",
     "q073": "SELECT customer_id, first_name, CAST(total_amount AS DOUBLE) AS total_amount, rank() OVER (ORDER BY u.total_amount DESC) AS customer_rank FROM (SELECT DISTINCT customer_id, first_name, total_amount FROM sales JOIN customers USING (customer_id)) u QUALIFY customer_rank = 3",
     "q073_intent": "SELECT customer_id, first_name, CAST(total AS DOUBLE) AS total_spent, rank() OVER (ORDER BY total DESC) AS customer_rank FROM spend QUALIFY customer_rank = 3",
-    "q074": "SELECT product_id, product_name, CAST(price AS DOUBLE) AS price, rank() OVER (ORDER BY products.price DESC) AS price_rank FROM products QUALIFY price_rank = 3",
+    "q074": "SELECT product_id, product_name, CAST(price AS DOUBLE) AS price, rank() OVER (ORDER BY products.price DESC) AS price_rank FROM products QUALIFY price_rank = 2",
+    "q074_third": "SELECT product_id, product_name, CAST(price AS DOUBLE) AS price, rank() OVER (ORDER BY products.price DESC) AS price_rank FROM products QUALIFY price_rank = 3",
     "q075": "SELECT product_id, product_name, category, CAST(price AS DOUBLE) AS price, rank() OVER (PARTITION BY category ORDER BY products.price DESC) AS price_category_rank FROM products",
     "q076": "SELECT customer_id, first_name, n AS purchase_count, rank() OVER (ORDER BY n DESC) AS purchase_rank FROM spend",
     "q077": f"SELECT sale_id, {_day('sale_date')}, CAST(sum(total_amount) OVER (ORDER BY sales.sale_date DESC) AS DOUBLE) AS running_total FROM sales",

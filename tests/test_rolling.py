@@ -35,10 +35,10 @@ def expected(data, tick, span):
     return statistics.fmean(near), statistics.stdev(near) if len(near) > 1 else None
 
 
-@pytest.mark.parametrize("span,chunk", [(60, 60), (60, 600), (900, 1000)])
-def test_against_brute_force(spark, span, chunk):
+@pytest.mark.parametrize("span", [1, 60, 900, 100_000])
+def test_against_brute_force(spark, span):
     data = ticks(1)
-    got = rolling_volatility(frame(spark, data), span, chunk).collect()
+    got = rolling_volatility(frame(spark, data), span).collect()
     assert len(got) == len(data)
     for r in got:
         mean, spread = expected(data, (r["symbol"], r["price"], r["timestamp"]), span)
@@ -50,9 +50,11 @@ def test_against_brute_force(spark, span, chunk):
             assert r["volatility_pct"] == pytest.approx(spread / mean * 100, rel=1e-6, abs=1e-12)
 
 
-def test_chunk_shorter_than_span(spark):
-    with pytest.raises(ValueError):
-        rolling_volatility(frame(spark, ticks(1, 5)), 60, 30)
+def test_equal_prices_have_no_deviation(spark):
+    data = [("a", 1e6 + 0.1, START + dt.timedelta(seconds=7 * i)) for i in range(300)]
+    got = rolling_volatility(frame(spark, data), 60).collect()
+    assert {r["rolling_avg"] for r in got} == {1e6 + 0.1}
+    assert {r["rolling_stddev"] for r in got} == {None, 0.0}
 
 
 def test_ticks_without_time_or_price(spark):

@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-from tidemart.schemas import COMMERCE, CONTRACTS, RETAIL
+from tidemart.schemas import COMMERCE, CONTRACTS, RETAIL, STRING, schema
 from tidemart.session import clear_work, fresh_path, pin, shared_folder
 from tidemart.sinks.files import write_csv, write_partitioned, write_rejects, write_summaries, write_table
 from tidemart.sinks.keyed import KeyedTable, of_symbols, recent
@@ -161,3 +161,11 @@ def test_clearing_work_leaves_other_files(spark):
     clear_work(spark)
     assert not any(Path(f.removeprefix("file://")).exists() for f in pinned)
     assert spark.read.parquet(other).count() == 1
+
+
+def test_csv_folder_with_columns_in_different_orders(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text("customer_id,email,country\nC1,a@x,DE\nC3,,FR\n")
+    (tmp_path / "b.csv").write_text("country,customer_id,email\nBE,C2,b@x\n")
+    (tmp_path / "c.csv").write_text("email,customer_id\nd@x,C4\n")
+    got = read_csv(spark, str(tmp_path), schema(customer_id=STRING, email=STRING))
+    assert rows(got) == [("C1", "a@x"), ("C2", "b@x"), ("C3", None), ("C4", "d@x")]

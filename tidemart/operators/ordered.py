@@ -7,8 +7,8 @@ in a seeded sample, so a slice is a plain column expression: every use of it
 agrees, and rows shuffle once, by slice. Equal values may fall into several
 slices, because a unique ``tie`` column is part of the cut key.
 
-A table of at most ``rows_per_slice`` rows (counted, not guessed) is one slice,
-for which Spark's own window is the right plan.
+There are as many slices as shuffle partitions, so a slice is what a task would
+sort in any other shuffle, and the cuts follow the cluster and not the table.
 """
 
 from __future__ import annotations
@@ -23,10 +23,15 @@ from pyspark.sql import types as T
 
 from tidemart.session import pin
 
-ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 20_000
 SAMPLES_PER_SLICE = 20
-SALTS = 32
+
+
+def _partitions(df: DataFrame) -> int:
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _slices(df: DataFrame, rows: int, rows_per_slice: int | None) -> int:
+    return max(1, math.ceil(rows / rows_per_slice)) if rows_per_slice else _partitions(df)
 
 
 class Cuts(NamedTuple):
@@ -46,7 +51,7 @@ def _cut_points(table: DataFrame, keys: Mapping[str, Column], rows: int, slices:
     """
     carried = carried or {}
     entry = table.select(F.struct(*(c.alias(n) for n, c in {**keys, **carried}.items())).alias("k"))
-    fraction = min(1.0, slices * SAMPLES_PER_SLICE / rows)
+    fraction = min(1.0, slices * SAMPLES_PER_SLICE / max(rows, 1))
     step = F.greatest(F.lit(1), F.floor(F.size("s") / F.lit(slices)))
     sample = entry.sample(fraction=fraction, seed=17).agg(F.sort_array(F.collect_list("k")).alias("s"))
     chosen = sample.select(F.filter("s", lambda _, i: (i > 0) & (i % step == 0)).alias("cuts"))
@@ -102,7 +107,7 @@ def strictly_before(
     own = {n: F.lit(1) if m is None else F.coalesce(m, F.lit(0)) for n, m in measures.items()}
     sums = {n: c.alias(f"_m_{n}") for n, c in own.items() if measures[n] is not None}
     work = table.select("*", by.isNull().alias("_n"), by.alias("_v"), *sums.values())
-    slices = min(MAX_SLICES, math.ceil(rows / (rows_per_slice or ROWS_PER_SLICE)))
+    slices = _slices(table, rows, rows_per_slice)
     keys = {**{f"w{i}": F.col(w) for i, w in enumerate(within)}, "n": F.col("_n"), "v": F.col("_v")}
     group = [*within]
     if slices > 1:
@@ -221,7 +226,7 @@ def neighbour(df: DataFrame, *, by: str, tie: str, value: str, out: str, step: i
     """
     table = pin(df)
     rows = table.count()
-    slices = min(MAX_SLICES, math.ceil(rows / (rows_per_slice or ROWS_PER_SLICE)))
+    slices = _slices(table, rows, rows_per_slice)
     shift = F.lag if step < 0 else F.lead
     if slices <= 1:
         order = Window.orderBy(F.col(by).asc_nulls_last(), tie)
@@ -246,7 +251,7 @@ def top_ranks(df: DataFrame, *, by: str, highest: int, out: str, lowest: int = 1
     how many rows share each, so a value shared by most of the table is one
     row. All tied rows come back.
     """
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(_partitions(df))))
     best = F.col(by).desc_nulls_last()
     near = salted.withColumn("_r", F.rank().over(Window.partitionBy(*within, "_salt").orderBy(best)))
     table = pin(near.filter(F.col("_r") <= highest).select(*df.columns))

@@ -8,21 +8,19 @@ from pyspark.sql import functions as F
 from tidemart.functions.scalars import epoch_second
 
 SPAN = 3600  # seconds looked back, current second included
-CHUNK = 6 * 3600
 
 
-def rolling_seconds(ticks: DataFrame, span: int = SPAN, chunk: int = CHUNK) -> DataFrame:
+def rolling_seconds(ticks: DataFrame, span: int = SPAN) -> DataFrame:
     """Mean and sample deviation of the last ``span`` seconds, per symbol and second.
 
     The frame ends at the current second with all its ticks, so the answer
-    depends on the second only. Ticks are first combined per second (before
-    any shuffle), which bounds a frame at ``span + 1`` rows however busy the
-    symbol. Seconds are then windowed in chunks of time, each chunk preceded by
-    a copy of the ``span`` seconds before it, so a busy symbol spreads over
-    many tasks.
+    depends on the second only. Ticks are first combined per second, before
+    any shuffle. Time is cut into blocks as long as a frame: a frame is then
+    the end of one block and the beginning of the next, whose sums run once
+    over each block, backward and forward. So every second is added twice
+    however long the frame, nothing is ever subtracted, and a busy symbol
+    spreads over as many tasks as it has blocks.
     """
-    if chunk < span:
-        raise ValueError("a chunk must be at least as long as the span")
     seconds = ticks.filter(F.col("timestamp").isNotNull()).groupBy(
         "symbol", epoch_second("timestamp").alias("second")
     ).agg(
@@ -30,36 +28,49 @@ def rolling_seconds(ticks: DataFrame, span: int = SPAN, chunk: int = CHUNK) -> D
         F.avg("price").alias("mean"),
         (F.var_pop("price") * F.count("price")).alias("m2"),
     )
-    home = F.floor(F.col("second") / chunk)
-    placed = seconds.withColumn("home", home).withColumn(
-        "chunk", F.explode(F.sequence(home, F.floor((F.col("second") + span) / chunk)))
+    block = F.floor(F.col("second") / (span + 1))
+    # Each second also asks the block before what it holds from ``span`` seconds ago on.
+    both = F.explode(F.array(F.struct(block.alias("block"), F.col("second").alias("at"), F.lit(False).alias("asks")),
+                             F.struct((block - 1).alias("block"), (F.col("second") - span).alias("at"), F.lit(True).alias("asks"))))
+    placed = seconds.withColumn("e", both).select(
+        "symbol", "second", "e.*", *(F.when(~F.col("e.asks"), F.col(c)).alias(c) for c in ("n", "mean", "m2"))
     )
-    whole = Window.partitionBy("symbol", "chunk")
-    frame = whole.orderBy("second").rangeBetween(-span, 0)
+    whole = Window.partitionBy("symbol", "block")
     # Deviations from a nearby level keep the squares small.
     level = placed.withColumn("level", F.avg("mean").over(whole))
     gap = F.col("mean") - F.col("level")
-    sums = (
-        level.withColumn("s", F.col("n") * gap)
-        .withColumn("q", F.col("m2") + F.col("n") * gap * gap)
-        .select(
-            "symbol", "second", "home", "chunk", "level",
-            F.sum("n").over(frame).alias("fn"), F.sum("s").over(frame).alias("fs"), F.sum("q").over(frame).alias("fq"),
+    moments = level.withColumn("s", F.col("n") * gap).withColumn("q", F.col("m2") + F.col("n") * gap * gap)
+
+    def sums(frame: Window, asks: bool) -> DataFrame:
+        each = [F.sum(c).over(frame).alias(f"f{c}") for c in ("n", "s", "q")]
+        side = moments.select("symbol", "second", "asks", "level", *each).filter(F.col("asks") == asks)
+        mean = F.col("level") + F.col("fs") / F.col("fn")
+        return side.filter((F.col("fn") > 0) | ~F.col("asks")).select(
+            "symbol", "second", F.coalesce("fn", F.lit(0)).alias("n"), F.when(F.col("fn") > 0, mean).alias("mean"),
+            F.greatest(F.col("fq") - F.col("fs") * F.col("fs") / F.col("fn"), F.lit(0.0)).alias("m2"),
         )
-        .filter(F.col("chunk") == F.col("home"))
+
+    forward, backward = whole.orderBy("at"), whole.orderBy(F.desc("at"))
+    halves = sums(forward, asks=False).unionByName(sums(backward, asks=True))
+    # At most two halves each, combined by the distance of their means.
+    part = F.struct("mean", "n")
+    joined = halves.groupBy("symbol", "second").agg(
+        F.sum("n").alias("n"), F.sum("m2").alias("m2"), F.count("mean").alias("halves"),
+        F.min(F.when(F.col("mean").isNotNull(), part)).alias("a"), F.max(F.when(F.col("mean").isNotNull(), part)).alias("b"),
     )
-    spread = F.greatest(F.col("fq") - F.col("fs") * F.col("fs") / F.col("fn"), F.lit(0.0))
-    return sums.select(
+    apart = F.when(F.col("halves") > 1, F.col("b.mean") - F.col("a.mean")).otherwise(F.lit(0.0))
+    spread = F.col("m2") + apart * apart * F.col("a.n") * F.col("b.n") / F.col("n")
+    return joined.select(
         "symbol",
         "second",
-        F.when(F.col("fn") > 0, F.col("level") + F.col("fs") / F.col("fn")).alias("rolling_avg"),
-        F.when(F.col("fn") > 1, F.sqrt(spread / (F.col("fn") - 1))).alias("rolling_stddev"),
+        (F.col("a.mean") + apart * F.col("b.n") / F.col("n")).alias("rolling_avg"),
+        F.when(F.col("n") > 1, F.sqrt(spread / (F.col("n") - 1))).alias("rolling_stddev"),
     )
 
 
-def rolling_volatility(ticks: DataFrame, span: int = SPAN, chunk: int = CHUNK) -> DataFrame:
-    """Every tick with the rolling mean, deviation and volatility in percent."""
-    stats = rolling_seconds(ticks, span, chunk).withColumnsRenamed({"symbol": "_symbol", "second": "_second"})
+def rolling_volatility(ticks: DataFrame, span: int = SPAN) -> DataFrame:
+    """Every tick that has a time with the rolling mean, deviation and volatility in percent."""
+    stats = rolling_seconds(ticks, span).withColumnsRenamed({"symbol": "_symbol", "second": "_second"})
     keyed = ticks.filter(F.col("timestamp").isNotNull()).withColumn("_at", epoch_second("timestamp"))
     joined = keyed.join(stats, keyed["symbol"].eqNullSafe(stats["_symbol"]) & (F.col("_at") == F.col("_second")))
     return joined.withColumn(

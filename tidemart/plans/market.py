@@ -15,9 +15,9 @@ from tidemart.sinks.keyed import of_symbols, recent
 _VOLATILITY = CONTRACTS["volatility_metrics"].schema.names
 
 
-def volatility(ticks: DataFrame) -> DataFrame:
-    """Each tick with the mean, deviation and volatility of its last hour."""
-    return rolling_volatility(ticks).select(*_VOLATILITY)
+def volatility(ticks: DataFrame, span: int = SPAN) -> DataFrame:
+    """Each tick with the mean, deviation and volatility of its last hour, or of ``span`` seconds."""
+    return rolling_volatility(ticks, span).select(*_VOLATILITY)
 
 
 def anomalies(volatility_rows: DataFrame, k: float = 3.0) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,7 +90,7 @@ def _running_by_date(r: Retail, newest_first: bool) -> DataFrame:
 
     Sales of one date are peers, so the total depends on the date alone: amounts
     are summed per date first, and the one-task window sees one row per date.
-    The calendar bounds that table, so it may be broadcast.
+    The calendar bounds that table, so Spark broadcasts it by its size.
     """
     daily = r.customer_lines.groupBy("sale_date").agg(amount().alias("_day"))
     order = F.col("sale_date").desc_nulls_first() if newest_first else F.col("sale_date").asc_nulls_last()
@@ -96,7 +98,7 @@ def _running_by_date(r: Retail, newest_first: bool) -> DataFrame:
         F.col("sale_date").alias("_date"), F.sum("_day").over(Window.orderBy(order)).alias("running_total")
     )
     sales = r.sales.select("sale_id", "sale_date")
-    return sales.join(F.broadcast(totals), sales["sale_date"].eqNullSafe(totals["_date"]), "left").drop("_date")
+    return sales.join(totals, sales["sale_date"].eqNullSafe(totals["_date"]), "left").drop("_date")
 
 
 @question("q077")
@@ -241,7 +243,7 @@ def products_of_half_the_revenue(r: Retail, share: float = 0.5, rows_per_slice:
                               measures={"_smaller": F.col("total_revenue")}, pinned=True,
                               rows_per_slice=rows_per_slice)
     running = grand - F.col("_smaller")
-    return smaller.filter(running - F.col("total_revenue") < grand * F.lit(share).cast("decimal(3,2)")).select(
+    return smaller.filter(running - F.col("total_revenue") < grand * F.lit(Decimal(str(share)))).select(
         "product_name", "total_revenue"
     )
 

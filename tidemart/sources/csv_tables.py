@@ -16,9 +16,37 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A CSV file with a header, in the schema's columns and order.
 
     Everything is read as text and matched by name, so the file's column order
-    is free; text that does not fit a type becomes null.
+    is free; text that does not fit a type becomes null. ``path`` may be a
+    folder whose files have their columns in different orders: files are
+    grouped by their header line, and each group is read with its own.
     """
-    text = spark.read.csv(path, header=True, mode="PERMISSIVE")
+    groups = _by_header(spark, path)
+    parts = [_read_group(spark, files, schema) for files in groups]
+    text = parts[0]
+    for part in parts[1:]:
+        text = text.unionByName(part)
+    return text
+
+
+def _by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """Files below ``path`` grouped by their first line.
+
+    What comes to the driver is a list of file names, as in any listing of a
+    folder. A single file needs no look at its header.
+    """
+    every = spark.read.text(path)
+    if len(every.inputFiles()) < 2:
+        return [[path]]
+    lines = every.where("_metadata.file_block_start = 0")
+    firsts = lines.select(F.col("_metadata.file_path").alias("file"), "value").groupBy("file").agg(
+        F.first("value").alias("header")
+    )
+    groups = firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    return [g.files for g in groups] or [[path]]
+
+
+def _read_group(spark: SparkSession, files: list[str], schema: StructType) -> DataFrame:
+    text = spark.read.csv(files, header=True, mode="PERMISSIVE")
     return text.select(*(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema))
 
 

@@ -58,6 +58,8 @@ class RollingVolatility:
     """
 
     def __init__(self, spark: SparkSession, folder: str, span: int = SPAN) -> None:
+        if dt.timedelta(seconds=span) < LATENESS:
+            raise ValueError("the span must be at least the allowed lateness")
         self.spark, self.span = spark, span
         self._log, self._marks = f"{folder}/tick_log", f"{folder}/tick_marks"
         self.results = KeyedTable(spark, f"{folder}/volatility_metrics", CONTRACTS["volatility_metrics"])
@@ -76,15 +78,17 @@ class RollingVolatility:
         return marks.filter(F.col("batch_id") < batch_id).agg(F.max("high")).first()[0]
 
     def _ticks(self, batch_id: int, start: dt.datetime, end: dt.datetime) -> DataFrame:
-        """Stored ticks of a time range; days are folders, so others stay closed."""
+        """Stored ticks of a time range, for the batch's symbols; days are folders, so others stay closed."""
         log = self.spark.read.schema(
             "symbol STRING, price DOUBLE, timestamp TIMESTAMP, day DATE, batch_id BIGINT"
         ).parquet(self._log)
-        return log.filter(
+        near = log.filter(
             (F.col("batch_id") <= batch_id)
             & F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
             & F.col("timestamp").between(start, end)
         ).select("symbol", "price", "timestamp")
+        symbols = self.spark.read.schema("symbol STRING").parquet(f"{self._log}/batch_id={batch_id}").distinct()
+        return near.join(symbols, near["symbol"].eqNullSafe(symbols["symbol"]), "left_semi")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         ticks = batch.select("symbol", "price", "timestamp")
@@ -101,7 +105,7 @@ class RollingVolatility:
             return
         reach = dt.timedelta(seconds=self.span + 1)
         nearby = self._ticks(batch_id, low - reach, high + reach)
-        changed = volatility(nearby).filter(F.col("timestamp").between(low, high + reach))
+        changed = volatility(nearby, self.span).filter(F.col("timestamp").between(low, high + reach))
         self.results.upsert(changed, batch_id)
         self.latest.upsert(latest_prices(self.results.stored_batch(batch_id)), batch_id)
         marks.write.mode("overwrite").parquet(f"{self._marks}/batch_id={batch_id}")
