@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from tidemart.llm.text import column
 
 #: Bytes of text in a chunk, and of packed hashes in a range, on average.
-CHUNK_BYTES = 8 << 20
-RANGE_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
+RANGE_BYTES = 8 << 20
 
 _ASKED = "range long, chunk long, kind int, blob binary"
 _ANSWERED = "chunk long, range long, kind int, blob binary"
