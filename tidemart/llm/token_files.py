@@ -48,9 +48,9 @@ CHECKSUMS_PRESENT = 0x80
 #: Bytes of token ids, uncompressed, after which a new file begins.
 FILE_BYTES = 32 << 20
 #: Bytes of text encoded at a time.
-STEP_BYTES = 32 << 20
+STEP_BYTES = 16 << 20
 #: Distinct words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 #: A word without special tokens' signs that ends in ASCII punctuation after a letter or digit.
 _TAIL = r"^([^<|]*[a-z0-9])[!-/:-@\[-`{-~]+$"
 
