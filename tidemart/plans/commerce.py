@@ -206,13 +206,15 @@ def run_batch(spark: SparkSession, data_dir: str, output_dir: str) -> DataFrame:
 def main(argv: list[str] | None = None) -> None:
     import argparse
 
-    from tidemart.session import build_session
+    from tidemart.session import build_session, clear_work
 
     parser = argparse.ArgumentParser(description="Commerce batch job: CSV folder to Parquet and summaries.")
     parser.add_argument("--data_dir", default="data")
     parser.add_argument("--output_dir", default="output")
     args = parser.parse_args(argv)
-    run_batch(build_session("commerce"), args.data_dir, args.output_dir).filter("rejected_count > 0").show()
+    spark = build_session("commerce")
+    run_batch(spark, args.data_dir, args.output_dir).filter("rejected_count > 0").show()
+    clear_work(spark)
 
 
 if __name__ == "__main__":

@@ -155,14 +155,40 @@ def _partition_sizes(shop: Shop) -> DataFrame:
     return stored.groupBy("order_year", "order_month").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def _whole_batch(shop: Shop) -> DataFrame:
-    """The whole job from CSV to CSV; its revenue share, read back."""
-    source, target = fresh_path(shop.spark, "shop-in"), fresh_path(shop.spark, "shop-out")
-    for name in star_commerce.RAW:
-        write_csv(shop.raw(name), f"{source}/{name}.csv")
-    commerce.run_batch(shop.spark, source, target)
-    shape = schemas.schema(category=schemas.STRING, total_revenue=schemas.DOUBLE, revenue_share=schemas.DOUBLE)
-    return read_csv(shop.spark, f"{target}/summary_category_revenue_share", shape)
+_BATCHES: dict[tuple[str, str], str] = {}
+
+
+def _batch(shop: Shop) -> str:
+    """The output folder of the whole job from CSV to CSV, run once per application and input."""
+    key = (shop.spark.sparkContext.applicationId, shop.folder)
+    if key not in _BATCHES:
+        source, target = fresh_path(shop.spark, "shop-in"), fresh_path(shop.spark, "shop-out")
+        for name in star_commerce.RAW:
+            write_csv(shop.raw(name), f"{source}/{name}.csv")
+        commerce.run_batch(shop.spark, source, target)
+        _BATCHES[key] = target
+    return _BATCHES[key]
+
+
+_SUMMARIES = {
+    "category_revenue_share": schemas.schema(
+        category=schemas.STRING, total_revenue=schemas.DOUBLE, revenue_share=schemas.DOUBLE),
+    "customer_spend_rank": schemas.schema(
+        customer_id=schemas.STRING, country=schemas.STRING, total_spent=schemas.DOUBLE, rank=T.IntegerType()),
+    "rolling_order_count": schemas.schema(
+        customer_id=schemas.STRING, order_date=T.DateType(), daily_orders=T.LongType(), rolling_7d_orders=T.LongType()),
+    "return_by_category": schemas.schema(category=schemas.STRING, total_returns=T.LongType()),
+    "return_by_tier": schemas.schema(customer_tier=schemas.STRING, total_returns=T.LongType()),
+    "top_refund_customers": schemas.schema(customer_id=schemas.STRING, total_refund=schemas.DOUBLE),
+}
+
+
+def _summary(name: str) -> Callable[[Shop], DataFrame]:
+    return lambda shop: read_csv(shop.spark, f"{_batch(shop)}/summary_{name}", _SUMMARIES[name])
+
+
+def _stored(path: str) -> Callable[[Shop], DataFrame]:
+    return lambda shop: shop.spark.read.parquet(f"{_batch(shop)}/{path}")
 
 
 def _key_check(shop: Shop) -> DataFrame:
@@ -199,7 +225,12 @@ COMMERCE: dict[str, Callable[[Shop], DataFrame]] = {
     "return_rate_by_category": lambda s: commerce.return_rate_by(s.returns(), s.orders_once, "category"),
     "return_rate_by_tier": lambda s: commerce.return_rate_by(s.returns(), s.orders_once, "customer_tier"),
     "top_refund_customers": lambda s: commerce.top_refunds(s.returns()),
-    "commerce_batch": _whole_batch,
+    "commerce_batch": _summary("category_revenue_share"),
+    **{f"batch_{name}": _summary(name) for name in _SUMMARIES if name != "category_revenue_share"},
+    "batch_enriched_orders": _stored("enriched"),
+    "batch_orphaned_items": _stored("orphaned_items"),
+    "batch_returns_enriched": _stored("returns_enriched"),
+    "batch_rejected_orders": lambda s: read_csv(s.spark, f"{_batch(s)}/rejected/rejected_orders", schemas.COMMERCE["orders"]),
 }
 
 # --- market -------------------------------------------------------------------
@@ -238,7 +269,22 @@ def _volume(spark: SparkSession, folder: str) -> DataFrame:
     return bars.trade_volume(star_market.trades(spark, folder))
 
 
+def _rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of which some are cut short and some lack a time: how many are kept and how many set aside."""
+    ticks = star_market.ticks(spark, folder).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    value = F.when(F.col("id") % 10 == 3, F.lit('{"symbol": ')).when(
+        F.col("id") % 10 == 7, F.to_json(F.struct("symbol", "price"))
+    ).otherwise(F.to_json(F.struct("symbol", "price", "timestamp")))
+    messages = ticks.select(value.alias("value"))
+    kept, gone = live.parse_messages(messages, schemas.PRICE_MESSAGE), live.rejected_messages(messages, schemas.PRICE_MESSAGE)
+    counts = messages.agg(F.count(F.lit(1)).alias("messages"))
+    return counts.select(
+        "messages", kept.agg(F.count(F.lit(1))).scalar().alias("kept"), gone.agg(F.count(F.lit(1))).scalar().alias("rejected")
+    )
+
+
 MARKET: dict[str, Query] = {
+    "rejected_messages": _rejected,
     "minute_averages": _minute,
     "hourly_averages": _hourly,
     "trade_volume": _volume,

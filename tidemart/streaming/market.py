@@ -20,15 +20,31 @@ from tidemart.sinks.keyed import KeyedTable
 LATENESS = dt.timedelta(minutes=10)
 
 
+def _timed(messages: DataFrame, schema: StructType) -> DataFrame:
+    rows = messages.withColumn("m", F.from_json(F.col("value").cast("string"), schema))
+    return rows.withColumn("_at", F.try_to_timestamp("m.timestamp"))
+
+
 def parse_messages(messages: DataFrame, schema: StructType) -> DataFrame:
     """JSON messages as rows with an event time.
 
-    A message that is not JSON, or has no readable time, is dropped: it could
-    belong to no window, and must not stop the stream.
+    A message that is not JSON, or has no readable time, could belong to no
+    window and must not stop the stream; ``rejected_messages`` has those.
     """
-    rows = messages.select(F.from_json(F.col("value").cast("string"), schema).alias("m")).select("m.*")
-    timed = rows.withColumn("timestamp", F.try_to_timestamp("timestamp"))
-    return timed.filter(F.col("timestamp").isNotNull())
+    timed = _timed(messages, schema).filter(F.col("_at").isNotNull())
+    fields = [n for n in schema.names if n != "timestamp"]
+    return timed.select(*(F.col(f"m.{n}").alias(n) for n in fields), F.col("_at").alias("timestamp")).select(*schema.names)
+
+
+def rejected_messages(messages: DataFrame, schema: StructType) -> DataFrame:
+    """The messages that ``parse_messages`` leaves out, as they came; on tables and streams."""
+    return _timed(messages, schema).filter(F.col("_at").isNull()).select(*messages.columns)
+
+
+def rejects_writer(messages: DataFrame, schema: StructType, path: str, checkpoint: str) -> DataStreamWriter:
+    """A stream writer that keeps rejected messages as Parquet; the caller starts it."""
+    rejected = rejected_messages(messages, schema).writeStream.format("parquet").outputMode("append")
+    return rejected.option("path", path).option("checkpointLocation", checkpoint)
 
 
 def with_lateness(rows: DataFrame) -> DataFrame:
