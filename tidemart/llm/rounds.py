@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.text import column
 
+#: Bytes that a row counts for besides its text, so that many short texts share no chunk.
+ROW_BYTES = 64
 #: Bytes of text in a chunk, and of packed hashes in a range, on average.
 CHUNK_BYTES = 6 << 20
 RANGE_BYTES = 8 << 20
@@ -33,7 +35,7 @@ _ANSWERED = "chunk long, range long, kind int, blob binary"
 
 @dataclass(frozen=True)
 class Chunks:
-    """Documents dealt by ``chunk``; ``weight`` is the bytes of their texts."""
+    """Documents dealt by ``chunk``; ``weight`` is the bytes of their texts and rows."""
 
     rows: DataFrame
     number: int
@@ -46,7 +48,8 @@ class Chunks:
 
 def deal(rows: DataFrame, measure: str) -> Chunks:
     """``rows`` dealt into chunks by a hash of all columns; ``measure`` is the column whose bytes count."""
-    weight = rows.agg(F.coalesce(F.sum(F.octet_length(measure)), F.lit(0)).alias("w")).first().w
+    each = F.coalesce(F.octet_length(measure), F.lit(0)).cast("long") + ROW_BYTES
+    weight = rows.agg(F.coalesce(F.sum(each), F.lit(0)).alias("w")).first().w
     number = max(1, -(-weight // CHUNK_BYTES))
     chunk = F.pmod(F.xxhash64(*rows.columns), F.lit(number))
     return Chunks(rows.withColumn("chunk", chunk).repartition(number, "chunk"), number, weight)
