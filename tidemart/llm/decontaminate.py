@@ -58,14 +58,22 @@ UNITS = (
 _DIGITS = r"[0-9](?:[0-9.,:/]*[0-9])?"
 
 
+def _spelled() -> str:
+    """Number words by their first letter, in either case, so that most places fail at one look."""
+    letters = dict.fromkeys(word[0] for word in NUMBER_WORDS)
+    groups = [f"[{c}{c.upper()}](?:{'|'.join(w[1:] for w in NUMBER_WORDS if w[0] == c)})" for c in letters]
+    either = "".join(letters) + "".join(letters).upper()
+    return rf"(?=[{either}])(?<!{_LETTER})(?:{'|'.join(groups)})(?!{_LETTER})"
+
+
 def _plain(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), NUMBER + NAME + UNIT, "   ")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), f"[{NUMBER}-{UNIT}]", " ")
 
 
 def template(text: Column) -> Column:
     """The words of a text's template; placeholders are single marks."""
     numbers = F.regexp_replace(_plain(text), _DIGITS, f" {NUMBER} ")
-    words = F.regexp_replace(numbers, rf"(?i)(?<!{_LETTER})(?:{'|'.join(NUMBER_WORDS)})(?!{_LETTER})", NUMBER)
+    words = F.regexp_replace(numbers, _spelled(), NUMBER)
     units = F.regexp_replace(words, rf"(?i){NUMBER}\s+(?:{'|'.join(UNITS)})(?!{_LETTER})", f"{NUMBER} {UNIT}")
     # A capital letter is looked for first: looking behind at every place would be slow.
     names = F.regexp_replace(units, rf"(?=\p{{Lu}})(?<=[^.!?:\s][\"')\]]{{0,2}}\s{{1,3}}){_LETTER}+", NAME)
