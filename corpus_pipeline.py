@@ -19,8 +19,11 @@ SHINGLE_WORDS, SIMILAR = 5, 80
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents that are like no language: null or without letters, or of cosine 0 with all profiles."""
-    told = queries.with_languages(docs).filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0))
-    return told.select(*docs.columns)
+    # Columns of documents that are named like a result step aside meanwhile.
+    aside = {c: f"{c} of documents" for c in docs.columns if c in ("held_out", "lang_pred", "score")}
+    told = queries.with_languages(docs.withColumnsRenamed(aside))
+    known = told.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0))
+    return known.select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

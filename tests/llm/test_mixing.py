@@ -67,7 +67,8 @@ def test_spans_fill_the_slots(spark):
 
 
 def test_mixed_documents_keep_columns_and_limits(spark):
-    docs = documents(spark).filter("doc_id < 600").dropDuplicates(["doc_id"]).withColumn("rank", F.lit("x"))
+    docs = documents(spark).filter("doc_id < 600").dropDuplicates(["doc_id"]).withColumns(
+        {"rank": F.lit("x"), "times": F.lit("y"), "copy": F.lit("z")})
     got = mixing.mixed_documents(docs, block=8, shard=64)
     assert got.columns == docs.columns
     assert got.groupBy("doc_id").count().filter("count > 4").count() == 0

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemart.llm import jaccard_join, queries
@@ -59,6 +60,16 @@ def test_language_rejects_what_has_no_letters(spark):
     assert ids(kept) == ids(docs)
 
 
+def test_stages_keep_columns_named_like_their_results(spark):
+    docs = table(spark, FOLDER, "documents").limit(40)
+    more = {c: F.lit(c) for c in ("score", "held_out", "lang_pred", "component_id", "times", "hash", "chunk", "_gone", "_bad")}
+    docs = pin(docs.withColumns(more), "more-columns")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, FOLDER)
+        assert kept.columns == docs.columns
+        assert {tuple(r) for r in kept.select(*more).collect()} == {tuple(more)}
+
+
 def test_queries_are_named_by_their_operator():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
     assert set(ORACLES) <= set(queries.QUERIES)

@@ -233,6 +233,10 @@ def mixed_documents(docs: DataFrame, *, seed: int = SEED, **options: object) ->
     taken = mix_sources(docs, seed=seed, **options).taken()
     chance = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
     times = taken.groupBy("doc_id").agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("times"))
-    times = times.select(F.col("doc_id").alias("_id"), F.floor(F.col("times") + chance).cast("int").alias("_times")).filter("_times > 0")
-    joined = docs.join(pin(times, "times"), docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])
+    times = times.select("doc_id", F.floor(F.col("times") + chance).cast("int").alias("times"))
+    times = pin(times.filter("times > 0"), "times")
+    # A column name that documents have not got.
+    copy = "copy" + "_" * max(map(len, docs.columns))
+    joined = docs.join(times, docs["doc_id"].cast("long").eqNullSafe(times["doc_id"]))
+    repeated = joined.select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), times["times"])).alias(copy))
+    return repeated.drop(copy)
