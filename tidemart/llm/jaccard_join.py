@@ -259,6 +259,16 @@ def _near(bits: str, other: str, n: Column, m: Column, percent: int, words: int
     return differ <= n + m - 2 * _overlap(n, m, percent)
 
 
+def _may_link(one: str, two: str, percent: int) -> Column:
+    """Whether what is known of two sides allows a link: sizes, shingles left at the shared one, bitmaps."""
+    low_a, high_a, reach_a, fold_a = (F.col(f"{c}{one}") for c in ("low", "high", "reach", "fold"))
+    low_b, high_b, reach_b, fold_b = (F.col(f"{c}{two}") for c in ("low", "high", "reach", "fold"))
+    sizes = (100 * high_a >= percent * low_b) & (100 * high_b >= percent * low_a)
+    places = F.least(reach_a, reach_b) >= _overlap(low_a, low_b, percent)
+    bitmaps = fold_a.isNull() | fold_b.isNull() | _near(f"fold{one}", f"fold{two}", low_a, low_b, percent, FOLDED)
+    return sizes & places & bitmaps
+
+
 def _folded(bits: str) -> Column:
     """The bitmap folded to fewer words, each bit again the parity of its shingles."""
     words = []
@@ -309,30 +319,33 @@ def link(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, id_colu
     )
     larger = component.select("component", F.lit(True).alias("larger")).distinct()
     placed = placed.drop("gid").join(larger, "component", "left")
-    cut = placed.groupBy("n", "prefix", "component").agg(F.min("doc_id").alias("part"))
+    cut = placed.groupBy("n", "prefix", "component").agg(F.min("doc_id").alias("part"), F.count(F.lit(1)).alias("members"))
     parts = pin(placed.join(cut, ["n", "prefix", "component"]), "parts")
-    # A component of one document has its bitmap beside each of its shingles.
-    alone = F.when(F.col("larger").isNull(), _folded("bits")).alias("fold")
-    posted = pin(_postings(parts.filter("doc_id = part").select("*", F.col("part").alias("gid"), alone), "component", "fold"), "postings")
+    # A group of one document has its bitmap beside each of its shingles, a component of one beside each posting.
+    named = parts.filter("doc_id = part").select(
+        "*", F.col("part").alias("gid"), F.when(F.col("members") == 1, _folded("bits")).alias("fold"), F.col("larger").isNull().alias("alone")
+    )
+    posted = pin(_postings(named, "component", "fold", "alone"), "postings")
     held = posted.groupBy("token", "component").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("reach"), F.first("fold").alias("fold")
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("reach"),
+        F.first(F.when(F.col("alone"), F.col("fold"))).alias("fold"),
     )
     several = held.groupBy("token").agg(F.count(F.lit(1)).alias("components")).filter("components > 1").select("token")
     held = pin(held.join(several, "token"), "held")
-    one = held.select("token", *[F.col(c).alias(f"{c}_c") for c in ("component", "low", "high", "reach", "fold")])
-    two = held.select(F.col("token").alias("token_d"), *[F.col(c).alias(f"{c}_d") for c in ("component", "low", "high", "reach", "fold")])
-    sizes = (100 * F.col("high_c") >= percent * F.col("low_d")) & (100 * F.col("high_d") >= percent * F.col("low_c"))
-    places = F.least("reach_c", "reach_d") >= _overlap(F.col("low_c"), F.col("low_d"), percent)
-    bitmaps = F.col("fold_c").isNull() | F.col("fold_d").isNull() | _near("fold_c", "fold_d", F.col("low_c"), F.col("low_d"), percent, FOLDED)
-    meeting = one.join(two, (F.col("token") == F.col("token_d")) & (F.col("component_c") < F.col("component_d")) & sizes & places & bitmaps)
-    meeting = meeting.select("token", F.col("component_c").alias("c"), F.col("component_d").alias("d"))
-    left = posted.select("token", F.col("component").alias("c"), F.col("gid").alias("g"), F.col("n").alias("n_g"), F.col("place").alias("at_g"))
-    right = posted.select("token", F.col("component").alias("d"), F.col("gid").alias("h"), F.col("n").alias("n_h"), F.col("place").alias("at_h"))
-    possible = (F.least(F.col("n_g") - F.col("at_g"), F.col("n_h") - F.col("at_h"))
-                >= _overlap(F.col("n_g"), F.col("n_h"), percent)) & (
-        F.least("n_g", "n_h") >= _overlap(F.col("n_g"), F.col("n_h"), percent))
-    group_pairs = meeting.join(left, ["token", "c"]).join(right, ["token", "d"]).filter(possible)
-    group_pairs = pin(group_pairs.select("g", "h").distinct(), "group-pairs")
+    columns = ("component", "low", "high", "reach", "fold")
+    one = held.select("token", *[F.col(c).alias(f"{c}_c") for c in columns])
+    two = held.select(F.col("token").alias("token_d"), *[F.col(c).alias(f"{c}_d") for c in columns])
+    met = one.join(two, (F.col("token") == F.col("token_d")) & (F.col("component_c") < F.col("component_d"))
+                   & _may_link("_c", "_d", percent)).drop("token_d", "low_c", "high_c", "reach_c", "fold_c")
+    # From components to their groups, one side after the other, each time with what is known of both.
+    exact = [F.col("n").alias("low"), F.col("n").alias("high"), (F.col("n") - F.col("place")).alias("reach"), "fold", "gid"]
+    left = posted.select(F.col("token").alias("token_g"), F.col("component").alias("of_g"), *exact).withColumnsRenamed(
+        {c: f"{c}_g" for c in (*columns[1:], "gid")})
+    right = posted.select(F.col("token").alias("token_h"), F.col("component").alias("of_h"), *exact).withColumnsRenamed(
+        {c: f"{c}_h" for c in (*columns[1:], "gid")})
+    half = met.join(left, (F.col("token") == F.col("token_g")) & (F.col("component_c") == F.col("of_g")) & _may_link("_g", "_d", percent))
+    whole = half.join(right, (F.col("token") == F.col("token_h")) & (F.col("component_d") == F.col("of_h")) & _may_link("_g", "_h", percent))
+    group_pairs = pin(whole.select(F.col("gid_g").alias("g"), F.col("gid_h").alias("h")).distinct(), "group-pairs")
     inside = parts.select("part", "doc_id", "n", "bits")
     mine = inside.select(F.col("part").alias("g"), F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     theirs = inside.select(F.col("part").alias("h"), F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
