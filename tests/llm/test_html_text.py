@@ -51,3 +51,25 @@ def test_every_page_has_a_row(spark, rows):
 def test_very_long_and_deep_pages():
     assert len(html_text.main_text("<p>word</p>" * 20_000)) == 6 * 20_000 - 2
     assert html_text.main_text("<div>" * 5000 + LONG) == LONG
+
+
+@pytest.mark.parametrize("wrap", [
+    "<article class='post comments-open'>{}</article>", "<main class='sidebar-right'>{}</main>", "<div class='content has-sidebar'>{}</div>",
+    "<div class='legal-news'>{}</div>", "<form id='aspnetForm'>{}</form>", "<div class='page with-header'>{}</div>",
+    "<div class='content has-sidebar'><article>{}</article></div><div><p>" + LONG + "</p></div>",
+])
+def test_names_do_not_lose_the_article(wrap):
+    body = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p><div class='sidebar'>box</div><div id='comments'>nice</div><p>{LONG}</p>"
+    got = html_text.main_text(wrap.format(body))
+    assert got.startswith(f"T\n\n{LONG}\n\n{LONG}\n\n{LONG}")
+    assert "box" not in got and "nice" not in got
+
+
+def test_names_on_every_block_do_not_lose_the_article():
+    page = "".join(f"<div class='builder-widget'><p>{LONG}</p></div>" for _ in range(5)) + "<div class='ad'>buy</div>"
+    assert html_text.main_text(page) == "\n\n".join([LONG] * 5)
+
+
+def test_menus_by_name_stay_aside():
+    assert html_text.main_text(f"<div id=menu>{f'<p><a href=1>{LONG}</a></p>' * 9}</div><p>{LONG}</p>") == LONG
+    assert html_text.main_text(f"<article><p>few words</p></article><div id=comments><p>{LONG}</p></div>") == "few words"

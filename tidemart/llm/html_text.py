@@ -1,10 +1,20 @@
 """Main text of web pages from the standard library's parser events.
 
-A page becomes lines, one per block element. Elements that hold no article
-text (menus, sidebars, notices, adverts, forms, reader comments and the like)
-are known by tag, role or class and their lines are set aside. Each line has a
-text-to-tag ratio; the ratios are smoothed with a Gaussian, and lines above
-one standard deviation form the content cluster. The region is the element
+A page becomes lines, one per block element. Elements that by tag or role hold
+no article text (menus, footers, dialogs and the like) or are hidden give no
+lines. Each line has a text-to-tag ratio; the ratios are smoothed with a
+Gaussian, and lines above one standard deviation form the content cluster.
+
+Forms, and elements whose class or id names a sidebar, notice, advert, reader
+comments or the like, are set aside beside an article or main element. Inside
+one, and on pages without, they are set aside only if the cluster allows it: an
+element with half or more of the clustered text outside links stays, and so do
+all elements of a name that together have as much. An article or main element
+is never set aside for its own name, nor is what holds the one with most text.
+Where no such element tells them apart, reader comments longer than all the
+rest therefore stay.
+
+The cluster is then taken of the lines that are left. The region is the element
 that holds the cluster: the article or main element with most of it or, where
 a page has none, the deepest element of several lines that holds nearly all of it. All
 lines of the region that are not set aside are the text, short ones too.
@@ -39,13 +49,15 @@ CLOSES = {
 }
 HOLDS_LISTS = frozenset("ul ol menu dl table select article section div main body nav aside".split())
 NO_TEXT = frozenset(
-    "head title script style noscript template iframe object svg canvas nav footer aside form button select "
+    "head title script style noscript template iframe object svg canvas nav footer aside button select "
     "textarea dialog menu datalist audio video map".split()
 )
 NO_TEXT_ROLES = frozenset(
-    "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar status "
+    "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar status "
     "tablist tooltip".split()
 )
+# Tags, roles and names below are set aside only as far as the cluster allows.
+FORM = "form"
 NO_TEXT_WORDS = frozenset(
     "ad ads adbox adslot adsense adunit aside banner breadcrumb breadcrumbs byline-share consent cookie cookies "
     "copyright dialog disqus footer gdpr hidden legal login masthead menu menus modal nav navbar navigation notice "
@@ -54,6 +66,8 @@ NO_TEXT_WORDS = frozenset(
     "toolbar topbar widget widgets".split()
 )
 NO_TEXT_STARTS = ("advert", "comment", "cookie", "newsletter", "promo", "sidebar", "sponsor")
+#: Of elements with this name headings stay.
+HEADER = "header"
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 REGIONS = frozenset(["article", "main"])
 
@@ -61,53 +75,60 @@ REGIONS = frozenset(["article", "main"])
 SIGMA, REACH = 1.0, 2
 #: Share of an element's clustered text that an inner element must hold to become the region.
 NEARLY_ALL = 0.8
+#: Share of the clustered text from which an element or a name is not set aside.
+MOST = 0.5
 
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
 class _Element:
-    __slots__ = ("inner", "named_region", "parent", "set_aside", "tag")
+    __slots__ = ("inner", "name", "named", "named_region", "parent", "set_aside", "tag")
 
-    def __init__(self, tag: str, parent: _Element | None, set_aside: str, named_region: bool) -> None:
-        self.tag, self.parent, self.set_aside, self.named_region = tag, parent, set_aside, named_region
+    def __init__(self, tag: str, parent: _Element | None, set_aside: str, name: str, named_region: bool) -> None:
+        self.tag, self.parent, self.set_aside, self.name, self.named_region = tag, parent, set_aside, name, named_region
         self.inner: list[_Element] = []
+        #: The innermost element with a name that this one is or lies in.
+        self.named: _Element | None = self if name else parent and parent.named
 
 
-def _aside(tag: str, attrs: list[tuple[str, str | None]], parent: _Element) -> str:
-    """Why an element's text is no article text: "all", "head" (headings stay) or "" if it may be."""
+def _aside(tag: str, attrs: list[tuple[str, str | None]], parent: _Element, named_region: bool) -> tuple[str, str]:
+    """Why an element's text is no article text: "all", "head" (headings stay) or "" if it may be; and by what name it may not be."""
     if parent.set_aside == "all" or tag in NO_TEXT:
-        return "all"
+        return "all", ""
     held = parent.set_aside
     if tag == "header":
         held = "head"
     if tag in ("html", "body"):
-        return held
+        return held, ""
+    named = FORM if tag == "form" else ""
     for name, value in attrs:
         value = (value or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return "all"
+            return "all", ""
         if name == "role" and value in NO_TEXT_ROLES:
-            return "all"
+            return "all", ""
+        if name == "role" and value == "form":
+            named = FORM
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return "all"
-        if name in ("class", "id") and value:
+            return "all", ""
+        if name in ("class", "id") and value and not named_region:
             words = [w for w in _WORDS.split(value) if w]
-            if any(w.startswith(NO_TEXT_STARTS) for w in words):
-                return "all"
-            if tag not in REGIONS and not NO_TEXT_WORDS.isdisjoint(words):
-                return "all"
-            if "header" in words and tag not in REGIONS and tag not in HEADINGS:
-                held = "head"
-    return held
+            told = [w for w in words if w in NO_TEXT_WORDS or w.startswith(NO_TEXT_STARTS)]
+            if told:
+                named = told[0]
+            elif not named and HEADER in words and tag not in HEADINGS:
+                named = HEADER
+    return held, named
 
 
 class _Lines(HTMLParser):
-    """Collects a page's lines: text, number of tags, characters in links, enclosing element."""
+    """Collects a page's lines: text, number of tags, characters in links, enclosing element; and which are headings."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.at = self.root = _Element("", None, "", False)
+        self.at = self.root = _Element("", None, "", "", False)
         self.lines: list[tuple[str, int, int, _Element]] = []
+        self.titles: list[bool] = []
         self.text: list[str] = []
         self.tags = self.linked = 0
         self.links = self.headings = 0
@@ -116,6 +137,7 @@ class _Lines(HTMLParser):
         text = " ".join("".join(self.text).split())
         if text:
             self.lines.append((text, self.tags, self.linked, self.at))
+            self.titles.append(self.headings > 0)
             self.tags = self.linked = 0
         self.text = []
 
@@ -153,7 +175,7 @@ class _Lines(HTMLParser):
         named = tag in REGIONS or any(
             n == "role" and v in ("main", "article") or n == "itemprop" and v == "articleBody" for n, v in attrs
         )
-        element = _Element(tag, self.at, _aside(tag, attrs, self.at), named)
+        element = _Element(tag, self.at, *_aside(tag, attrs, self.at, named), named)
         if tag not in INLINE:
             self.at.inner.append(element)
         self.at = element
@@ -196,6 +218,60 @@ def _chain(element: _Element | None) -> Iterator[_Element]:
         element = element.parent
 
 
+def _cluster(page: _Lines) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+    """Sizes and ratios of a page's lines, the threshold of the smoothed ratios, and which lines reach it."""
+    sizes = np.array([len(text) for text, *_ in page.lines], float)
+    ratios = sizes / np.maximum(1, [tags for _, tags, _, _ in page.lines])
+    means = smoothed(ratios)
+    threshold = min(means.max(), np.std(means))
+    return sizes, ratios, threshold, means >= threshold
+
+
+def _set_aside(page: _Lines) -> None:
+    """Drop the lines of elements that are named like no article text, as far as the cluster allows."""
+    if not any(holder.named for *_, holder in page.lines):
+        return
+    sizes, _, _, content = _cluster(page)
+    mass: dict[_Element, float] = {}
+    for (_, _, linked, holder), size, chosen in zip(page.lines, sizes, content, strict=True):
+        for element in _chain(holder):
+            mass[element] = mass.get(element, 0.0) + max(0.0, size - linked) * chosen
+    most = MOST * mass[page.root]
+    regions = [e for e in mass if e.named_region]
+    stay = set(_chain(max(regions, key=mass.__getitem__))) if regions else set()
+    # Beside an article that lies in no named element, names hold.
+    told = {e for e in regions if e.named is None}
+    beside = {e for e in mass if told and e.name and e not in stay and told.isdisjoint(_chain(e))}
+    aside = {e for e in mass if e.name and e not in stay and (not mass[e] or mass[e] < most)} | beside
+
+    def outermost(element: _Element) -> _Element | None:
+        """The outermost element set aside around this one."""
+        found, element = None, element.named
+        while element is not None:
+            found = element if element in aside else found
+            element = element.parent and element.parent.named
+        return found
+
+    # A name that most of the text has, in many elements, says nothing on this page.
+    of_name: dict[str, float] = {}
+    for element in aside - beside:
+        if outermost(element) is element:
+            of_name[element.name] = of_name.get(element.name, 0.0) + mass[element]
+    aside = beside | {e for e in aside if not of_name.get(e.name) or of_name[e.name] < most}
+
+    def kept(holder: _Element, title: bool) -> bool:
+        element = holder.named
+        while element is not None:
+            if element in aside and not (title and element.name == HEADER):
+                return False
+            element = element.parent and element.parent.named
+        return True
+
+    stays = [kept(line[3], title) for line, title in zip(page.lines, page.titles, strict=True)]
+    page.lines = [line for line, s in zip(page.lines, stays, strict=True) if s]
+    page.titles = [title for title, s in zip(page.titles, stays, strict=True) if s]
+
+
 def main_text(html: str | None) -> str:
     """The text of a page's article, blocks separated by an empty line."""
     if not html:
@@ -204,13 +280,10 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page._end_line()
+    _set_aside(page)
     if not page.lines:
         return ""
-    sizes = np.array([len(text) for text, *_ in page.lines], float)
-    ratios = sizes / np.maximum(1, [tags for _, tags, _, _ in page.lines])
-    means = smoothed(ratios)
-    threshold = min(means.max(), np.std(means))
-    content = means >= threshold
+    sizes, ratios, threshold, content = _cluster(page)
     mass: dict[_Element, float] = {}
     lines: dict[_Element, int] = {}
     for (_, _, _, holder), size, chosen in zip(page.lines, sizes, content, strict=True):
