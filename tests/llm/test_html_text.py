@@ -73,3 +73,28 @@ def test_names_on_every_block_do_not_lose_the_article():
 def test_menus_by_name_stay_aside():
     assert html_text.main_text(f"<div id=menu>{f'<p><a href=1>{LONG}</a></p>' * 9}</div><p>{LONG}</p>") == LONG
     assert html_text.main_text(f"<article><p>few words</p></article><div id=comments><p>{LONG}</p></div>") == "few words"
+
+
+def many(count, mark="P"):
+    return "".join(f"<p>{mark}{k} {LONG}</p>" for k in range(count))
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class=post><h1>Title</h1><p>lead</p><div class=entry>{many(6)}</div></div>",
+    f"<div class=post><h2>Title</h2><div class=entry>{many(6)}</div></div>",
+    f"<div><div>{many(17)}</div><div>{many(3, 'Q')}</div></div>",
+    f"<div>{many(1)}<div>{many(5, 'Q')}<div>{many(30, 'R')}</div></div></div>",
+    f"<main><article>{many(6)}</article><section>{many(4, 'Q')}</section></main>",
+    f"<article>{many(6)}</article><article>{many(4, 'Q')}</article>",
+    f"<article>{many(6)}</article><div>{many(4, 'Q')}</div>",
+    f"<main><h1>Title</h1><div role=main><article>{many(6)}</article></div><p>end</p></main>",
+])
+def test_regions_lose_nothing(page):
+    blocks = re.findall(r"<(?:p|h1|h2)>(.*?)</", page)
+    menu = "<div><a href=1>one</a></div><div><a href=2>two</a></div>"
+    assert html_text.main_text(page) == html_text.main_text(f"<nav>{menu}</nav>{page}<footer>f</footer>") == "\n\n".join(blocks)
+
+
+def test_unnamed_menus_beside_the_region_go():
+    menu = "".join(f"<li><a href={k}>item</a></li>" for k in range(9))
+    assert html_text.main_text(f"<ul>{menu}</ul><div><h1>T</h1>{many(5)}</div><ul>{menu}</ul>") == html_text.main_text(f"<div><h1>T</h1>{many(5)}</div>")

@@ -14,10 +14,12 @@ is never set aside for its own name, nor is what holds the one with most text.
 Where no such element tells them apart, reader comments longer than all the
 rest therefore stay.
 
-The cluster is then taken of the lines that are left. The region is the element
-that holds the cluster: the article or main element with most of it or, where
-a page has none, the deepest element of several lines that holds nearly all of it. All
-lines of the region that are not set aside are the text, short ones too.
+The cluster is then taken of the lines that are left. The text is that of the
+outermost article and main elements, all that have clustered text, if together
+they hold nearly all of the cluster. Otherwise it is that of the lowest element
+of several lines that holds the whole cluster and, if it has no title of its
+own, the last one before it; lists of links at its ends are menus. All lines
+there that are not set aside are the text, short ones too.
 
 Null or empty pages and pages without text give an empty string. Whatever the
 markup, each page gives one row; further columns are not read.
@@ -69,11 +71,12 @@ NO_TEXT_STARTS = ("advert", "comment", "cookie", "newsletter", "promo", "sidebar
 #: Of elements with this name headings stay.
 HEADER = "header"
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+TITLES = frozenset("h1 h2 hgroup".split())
 REGIONS = frozenset(["article", "main"])
 
 #: Lines on either side over which ratios are smoothed, in standard deviations of the Gaussian and lines.
 SIGMA, REACH = 1.0, 2
-#: Share of an element's clustered text that an inner element must hold to become the region.
+#: Share of the clustered text that article and main elements must hold to be the whole text.
 NEARLY_ALL = 0.8
 #: Share of the clustered text from which an element or a name is not set aside.
 MOST = 0.5
@@ -82,11 +85,10 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 
 
 class _Element:
-    __slots__ = ("inner", "name", "named", "named_region", "parent", "set_aside", "tag")
+    __slots__ = ("name", "named", "named_region", "parent", "set_aside", "tag")
 
     def __init__(self, tag: str, parent: _Element | None, set_aside: str, name: str, named_region: bool) -> None:
         self.tag, self.parent, self.set_aside, self.name, self.named_region = tag, parent, set_aside, name, named_region
-        self.inner: list[_Element] = []
         #: The innermost element with a name that this one is or lies in.
         self.named: _Element | None = self if name else parent and parent.named
 
@@ -176,8 +178,6 @@ class _Lines(HTMLParser):
             n == "role" and v in ("main", "article") or n == "itemprop" and v == "articleBody" for n, v in attrs
         )
         element = _Element(tag, self.at, *_aside(tag, attrs, self.at, named), named)
-        if tag not in INLINE:
-            self.at.inner.append(element)
         self.at = element
         self.links += tag == "a"
         self.headings += tag in HEADINGS
@@ -290,15 +290,30 @@ def main_text(html: str | None) -> str:
         for element in _chain(holder):
             mass[element] = mass.get(element, 0.0) + size * chosen
             lines[element] = lines.get(element, 0) + 1
-    named = [e for e in mass if e.named_region and mass[e] >= 0.5 * mass[page.root]]
-    if named:
-        # The innermost of those that hold most of the cluster.
-        region = max(named, key=lambda e: sum(1 for _ in _chain(e)))
-    else:
-        region = page.root
-        while inner := [e for e in region.inner if lines.get(e, 0) > 1 and mass[e] >= NEARLY_ALL * mass[region] > 0]:
-            region = inner[0]
-    chosen = [k for k, line in enumerate(page.lines) if region in _chain(line[3])]
+    inner = {e for e in mass if e.named_region}
+    named = {e for e in inner if mass[e] and inner.isdisjoint(_chain(e.parent))}
+    if sum(mass[e] for e in named) < NEARLY_ALL * mass[page.root]:
+        named = set()
+
+    def around(element: _Element | None, least: float) -> _Element:
+        """The lowest element around this one that holds so much of the cluster and several lines, or the root."""
+        for outer in _chain(element):
+            if mass[outer] >= least and lines[outer] > 1:
+                return outer
+        return page.root
+
+    regions = named
+    if not named:
+        # Sizes are whole numbers, so their sums are exact.
+        region = around(page.lines[int(np.argmax(content))][3], mass[page.root])
+        inside = [k for k, line in enumerate(page.lines) if region in _chain(line[3])]
+        titles = [k for k, line in enumerate(page.lines) if any(e.tag in TITLES for e in _chain(line[3]))]
+        before = [k for k in titles if k < inside[0]]
+        if before and not any(inside[0] <= k <= inside[-1] for k in titles):
+            holders = set(_chain(page.lines[before[-1]][3]))
+            region = next(e for e in _chain(region) if e in holders)
+        regions = {region}
+    chosen = [k for k, line in enumerate(page.lines) if not regions.isdisjoint(_chain(line[3]))]
     if not named:
         # Without an article element, lists of links before and after the text are menus.
         def menu(k: int) -> bool:
