@@ -49,6 +49,33 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert quotations.link_quotations(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_deeper_levels_link(spark):
+    got = linked(spark, [
+        (1, 0, "u", "first thing"), (1, 1, "u", ">> first thing\nx"), (1, 2, "u", "> gone\n>> first thing\ny"), (1, 3, "u", "first thing"),
+        (1, 4, "u", "z"), (1, 5, "u", "> z\n>> first thing\n"), (2, 0, "u", ">>> first thing\n> z"),
+    ])
+    assert [got[1, k].reply_turn for k in range(6)] == [None, 0, 0, None, None, 4]
+    assert (got[2, 0].reply_conv, got[2, 0].reply_turn) == (1, 4)
+
+
+def test_parts_of_messages_link(spark):
+    own = "One line\nTwo line\nthree line\n\nFirst here. Second there! Third\nwhere?\n\nLast part"
+    quoted = ["one line\n> two line", "two line\n> three line", "Second there!", "first  here. second there!", "Second\n> there! Third where?",
+              "three line\n>\n> First here.", "First here. Second there! Third\n> where?\n>\n> Last part"]
+    unlike = ["one line\n> three line", "line", "second there! First here.", "two line\n> three line\n> four", "Second"]
+    got = linked(spark, [(1, 0, "u", own)] + [(1, k + 1, "u", f"> {q}\nm{k}") for k, q in enumerate(quoted + unlike)])
+    assert [got[1, k + 1].reply_turn for k in range(len(quoted))] == [0] * len(quoted)
+    assert [got[1, k + 1 + len(quoted)].reply_turn for k in range(len(unlike))] == [None] * len(unlike)
+
+
+def test_the_first_other_conversation_counts(spark):
+    got = linked(spark, [
+        (1, 0, "u", "> said\nx"), (1, 1, "u", "said"), (2, 4, "u", "said"), (2, 3, "u", "said"), (3, 0, "u", "said"), (4, 0, "u", "> said\nsaid"),
+    ])
+    assert (got[1, 0].reply_conv, got[1, 0].reply_turn) == (2, 3)
+    assert (got[4, 0].reply_conv, got[4, 0].reply_turn) == (1, 1)
+
+
 def test_only_dataframe_functions_on_the_main_path(spark):
     plan = quotations.link_quotations(spark.createDataFrame([(1, 0, "u", "> a")], SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

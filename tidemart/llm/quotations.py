@@ -1,14 +1,17 @@
 """Linking quotations to the messages they quote, in DataFrame functions only.
 
 A line that begins with ``>`` marks is quoted; the number of marks is its
-level. Neighbouring lines of one level are a passage. Passages and the own
-text of messages (its whole, its paragraphs and its lines) are normalised -
-lower case, single spaces - and hashed. A passage of the first level links its
-message to the latest earlier message of the same conversation that holds the
-passage; if there is none, to the first message of any other conversation that
-does. A deeper passage links a quoted message to the message it quotes in turn
-only if that one did not quote it itself, which parsing that message shows, so
-levels beyond the first give counts only.
+level. Neighbouring lines of one level are a passage. A message holds a passage
+if that is its whole own text, a paragraph, or consecutive sentences or lines
+of it, all normalised: lower case, single spaces. Lines that were wrapped anew
+count where they are cut at ends of sentences or paragraphs. Each passage's
+first sentence or line is hashed and joined to those of messages; from there
+as many as the passage has are compared.
+
+Passages of every level link. Inside its conversation a message links with the
+latest earlier one that holds a passage of its lowest level that any holds; if
+there is none, with the first message of any other conversation that does, by
+conversation and turn, again of the lowest level first.
 
 A message that links inside its conversation is a reply. Its thread is named
 by the turn at the root of the chain of replies, so that
@@ -35,6 +38,7 @@ _QUOTED = r"(?m)^[ \t]{0,3}>"
 _ANNOUNCED = r"(?i)(?:^|\n)[^\n]{0,200}\b(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$"
 #: Chains of replies double in reach each round.
 ROUNDS = 40
+_SENTENCE = r"(?<=[.!?])\s+"
 
 
 def normal(text: Column) -> Column:
@@ -91,6 +95,35 @@ def _held(own: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(parts, normal), lambda t: t != ""))
 
 
+def _units(text: Column) -> Column:
+    """Normalised sentences of a text in order: once cut at line ends too, once of the text as one line."""
+    by_line = F.filter(F.transform(F.split(text, rf"[\r\n]+|{_SENTENCE}"), normal), lambda t: t != "")
+    running = F.filter(F.split(normal(text), _SENTENCE), lambda t: t != "")
+    return F.array_distinct(F.array(by_line, running))
+
+
+def _starts(text: Column) -> Column:
+    """Hash of a passage's first unit and number of units, either way of cutting."""
+    return F.transform(F.filter(_units(text), lambda u: F.size(u) > 0), lambda u: F.struct(
+        F.xxhash64(F.get(u, F.lit(0))).alias("first"), F.size(u).alias("length")))
+
+
+def _runs(messages: DataFrame, starts: DataFrame) -> DataFrame:
+    """Consecutive units of messages that begin and are as long as a passage in ``starts``: conv_id, turn, passage."""
+    cut = messages.select("conv_id", "turn", _units(F.col("own")).alias("units"))
+    each = cut.select("conv_id", "turn", F.posexplode("units").alias("way", "u"))
+    each = each.select("conv_id", "turn", "way", F.posexplode(F.transform("u", lambda t: F.xxhash64(t))).alias("at", "first"))
+    hits = each.join(starts, "first").groupBy("conv_id", "turn").agg(F.collect_set(F.struct("way", "at", "lengths")).alias("hits"))
+
+    def texts(hit: Column) -> Column:
+        units = F.get(F.col("units"), hit["way"])
+        fitting = F.filter(hit["lengths"], lambda n: hit["at"] + n <= F.size(units))
+        return F.transform(fitting, lambda n: F.array_join(F.slice(units, hit["at"] + 1, n), " "))
+
+    found = F.array_distinct(F.flatten(F.transform("hits", texts)))
+    return cut.join(hits, ["conv_id", "turn"]).select("conv_id", "turn", F.explode(found).alias("passage"))
+
+
 def link_quotations(messages: DataFrame, *, conversation: str = "conv_id", turn: str = "turn", role: str = "role",
                     text: str = "text") -> DataFrame:
     """One row per message: conv_id, turn, role, text without quotations, n_quotes, reply_conv, reply_turn,
@@ -99,27 +132,38 @@ def link_quotations(messages: DataFrame, *, conversation: str = "conv_id", turn:
                            F.col(f"`{role}`").alias("role"), F.col(f"`{text}`").alias("text"))
     every = pin(parsed(rows).drop("text"), "messages")
     quoting = every.filter((F.size("passages") > 0) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    first = F.filter("passages", lambda p: p["level"] == 1)
-    quotes = quoting.select("conv_id", "turn", F.explode(first).alias("p")).select("conv_id", "turn", normal(F.col("p.text")).alias("passage"))
-    quotes = quotes.filter("passage != ''").select("conv_id", "turn", F.xxhash64("passage").alias("hash"), "passage").distinct()
-    quotes = pin(quotes, "quoted-passages")
+    quotes = quoting.select("conv_id", "turn", F.explode("passages").alias("p")).select(
+        "conv_id", "turn", F.col("p.level").alias("level"), normal(F.col("p.text")).alias("passage"), _starts(F.col("p.text")).alias("starts"))
+    quotes = quotes.filter("passage != ''").groupBy("conv_id", "turn", "passage").agg(
+        F.min("level").alias("level"), F.array_distinct(F.flatten(F.collect_set("starts"))).alias("starts"))
+    quotes = pin(quotes.withColumn("hash", F.xxhash64("passage")), "quoted-passages")
+    starts = quotes.select(F.explode("starts").alias("s")).select("s.first", "s.length").distinct()
+    starts = pin(starts.groupBy("first").agg(F.collect_list("length").alias("lengths")), "quoted-starts")
+    quotes = quotes.drop("starts")
     # Only what is quoted somewhere is looked for in messages.
     wanted = quotes.select("hash").distinct()
-    held = every.filter("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode(_held(F.col("own"))).alias("passage"))
+    placed = every.filter("conv_id is not null and turn is not null")
+    held = placed.select("conv_id", "turn", F.explode(_held(F.col("own"))).alias("passage")).unionByName(_runs(placed, starts))
     held = held.select("conv_id", "turn", F.xxhash64("passage").alias("hash"), "passage").join(wanted, "hash", "left_semi").distinct()
     held = pin(held, "quoted-originals")
     # The latest earlier holder of a passage in a conversation, by one pass over both in order of turns.
-    both = held.withColumn("holder", F.col("turn")).withColumn("asks", F.lit(False)).unionByName(
+    both = held.withColumn("holder", F.col("turn")).withColumn("level", F.lit(None).cast("int")).withColumn("asks", F.lit(False)).unionByName(
         quotes.withColumn("holder", F.lit(None).cast("long")).withColumn("asks", F.lit(True))
     )
     earlier = Window.partitionBy("conv_id", "hash", "passage").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     inside = both.withColumn("from", F.max("holder").over(earlier)).filter("asks and from is not null")
-    inside = inside.groupBy("conv_id", "turn").agg(F.max("from").alias("reply_turn")).withColumn("reply_conv", F.col("conv_id"))
-    earliest = held.groupBy("hash", "passage").agg(F.min(F.struct("conv_id", "turn")).alias("o"))
+    # Of the lowest level that links, the latest.
+    inside = inside.groupBy("conv_id", "turn").agg(F.max(F.struct((-F.col("level")).alias("near"), F.col("from"))).alias("l"))
+    inside = inside.select("conv_id", "turn", F.col("l.from").alias("reply_turn"), F.col("conv_id").alias("reply_conv"))
+    # The first two conversations of a passage: one of them is another than the quoting one's.
+    of_conv = held.groupBy("hash", "passage", "conv_id").agg(F.min("turn").alias("turn"))
+    in_order = Window.partitionBy("hash", "passage").orderBy("conv_id")
+    earliest = of_conv.withColumn("k", F.row_number().over(in_order)).filter("k <= 2").select(
+        "hash", "passage", F.struct("conv_id", "turn").alias("o"))
     alone = quotes.join(inside.select("conv_id", "turn"), ["conv_id", "turn"], "left_anti")
     outside = alone.join(earliest, ["hash", "passage"]).filter(F.col("o.conv_id") != F.col("conv_id"))
-    outside = outside.groupBy("conv_id", "turn").agg(F.min("o").alias("o")).select(
-        "conv_id", "turn", F.col("o.turn").alias("reply_turn"), F.col("o.conv_id").alias("reply_conv")
+    outside = outside.groupBy("conv_id", "turn").agg(F.min(F.struct("level", "o")).alias("l")).select(
+        "conv_id", "turn", F.col("l.o.turn").alias("reply_turn"), F.col("l.o.conv_id").alias("reply_conv")
     )
     links = pin(inside.select("conv_id", "turn", "reply_turn", "reply_conv").unionByName(outside), "replies")
 
