@@ -72,6 +72,19 @@ def test_documents_without_leaks_stay(spark):
     assert decontaminate.without_contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_short_items_leave_other_documents(spark):
+    items = [(1, ITEM), (2, "42"), (3, "Yes"), (4, "In 1990"), (5, "Anna Bo has 7 km, 8 km and 9 km"), (6, "!"), (7, None)]
+    texts = [
+        "He paid 17 of them, yes, and left in 5 hours. Yes.", "42", "A line\r\n  yes!\nmore", "in 1990", "In 1991", "so in 1990 it was",
+        "Anna Bo has 7 km, 8 km and 9 km.", "Anna Bo has 7 km, 8 km and 6 km.", "", None, "42\n42", ITEM,
+    ]
+    got = found(spark, texts, items)
+    assert sorted(got) == [(1, 2), (2, 3), (3, 4), (6, 5), (10, 2), (11, 1)]
+    assert [(r.matched, r.windows, r.coverage) for key, r in got.items() if key[1] != 1] == [(1, 1, 1.0)] * 5
+    assert sorted(found(spark, texts, items[1:])) == [(1, 2), (2, 3), (3, 4), (6, 5), (10, 2)]
+    assert found(spark, texts, items[5:]) == {}
+
+
 def test_only_dataframe_functions_on_the_main_path(spark):
     docs, bench = spark.createDataFrame([(1, ITEM)], "doc_id long, text string"), spark.createDataFrame([(1, ITEM)], SCHEMA)
     plan = decontaminate.matches(docs, bench)._jdf.queryExecution().toString()

@@ -13,9 +13,13 @@ a slot value must always stand for the same value and the other way round: the
 most frequent pairing holds, and windows against it do not count. A document
 is contaminated by an item if the windows left cover enough of the item.
 
-Windows that hold almost only placeholders say nothing and are not used,
-unless the item has no others. Items of fewer words than a window are windows
-of their own length. Texts without words match nothing, nor do null texts.
+Windows with fewer than three plain words say nothing and are not used, whatever
+the item. Items of fewer words than a window are windows of their own length. An
+item without any such window, like "42", "Yes" or "In 1990", contaminates only
+documents that are, as a whole or in one line, the same words and numbers, case
+and punctuation aside; it counts as one matched window of one. An item of three
+or four plain words is one window, so any document with them in a row has it.
+Texts without words match nothing, nor do null texts.
 Rows with the same id are one document, null ids included. Results are empty
 if either table is.
 """
@@ -101,20 +105,32 @@ def _is_slot(word: Column) -> Column:
     return word.isin(NUMBER, NAME, UNIT)
 
 
-def _items(benchmark: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """One row per window of an item: item_id, width, windows (of the item), at, hash, words and values."""
+def _items(benchmark: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """One row per window of an item: item_id, width, windows (of the item), at, hash, words and values.
+
+    And one per item without windows: item_id, hash and values of the whole, and its slots.
+    """
     text = F.col(f"`{text_column}`")
     items = benchmark.select(F.col(f"`{id_column}`").cast("long").alias("item_id"), template(text).alias("w"), values(text).alias("v"))
     items = items.filter(F.size("w") > 0).withColumn("width", F.least(F.lit(WIDTH), F.size("w")))
-    each = items.withColumn("at", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("width") + 1)))
+    of_item = Window.partitionBy("item_id")
+
+    def plain(words: Column) -> Column:
+        return F.size(F.filter(words, lambda w: ~_is_slot(w)))
+
+    starts = F.sequence(F.lit(1), F.size("w") - F.col("width") + 1)
+    most = F.array_max(F.transform(starts, lambda i: plain(F.slice("w", i, F.col("width")))))
+    items = items.withColumn("most", F.max(most).over(of_item))
+    slots = F.filter(F.arrays_zip(F.col("w").alias("kind"), F.col("v").alias("value")), lambda s: _is_slot(s["kind"]))
+    short = items.filter(F.col("most") < PLAIN).select(
+        "item_id", F.xxhash64("v").alias("hash"), F.col("v").alias("values"), F.size(F.array_distinct(slots)).cast("long").alias("slots")
+    ).distinct()
+    each = items.filter(F.col("most") >= PLAIN).withColumn("at", F.explode(starts))
     each = each.select("item_id", "width", "at", F.slice("w", F.col("at"), F.col("width")).alias("words"),
                        F.slice("v", F.col("at"), F.col("width")).alias("values")).distinct()
-    plain = F.size(F.filter("words", lambda w: ~_is_slot(w)))
-    of_item = Window.partitionBy("item_id")
-    each = each.withColumn("plain", plain).withColumn("most", F.max("plain").over(of_item))
-    each = each.filter(F.col("plain") >= F.least(F.lit(PLAIN), F.col("most")))
+    each = each.filter(plain(F.col("words")) >= PLAIN)
     each = each.withColumn("windows", F.size(F.collect_set("at").over(of_item)))
-    return each.select("item_id", "width", "windows", "at", F.xxhash64("words").alias("hash"), "words", "values")
+    return each.select("item_id", "width", "windows", "at", F.xxhash64("words").alias("hash"), "words", "values"), short
 
 
 def _bits(hash_: Column) -> list[Column]:
@@ -146,12 +162,34 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, coverage: float = COVERAGE
             id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id",
             item_text_column: str = "text") -> DataFrame:
     """Pairs of a contaminated document and an item: doc_id, item_id, matched, windows, coverage and slots."""
-    windows = pin(_items(benchmark, item_column, item_text_column), "item-windows")
-    widths = [r.width for r in windows.select("width").distinct().orderBy("width").collect()]
-    if not widths:
-        return docs.sparkSession.createDataFrame([], RESULT)
+    windows, short = _items(benchmark, item_column, item_text_column)
+    windows, short = pin(windows, "item-windows"), pin(short, "short-items")
     text = F.col(f"`{text_column}`")
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), text.alias("text"))
+    found = docs.sparkSession.createDataFrame([], RESULT)
+    if not windows.isEmpty():
+        found = _by_windows(rows, windows, coverage, least)
+    if not short.isEmpty():
+        found = found.unionByName(_by_lines(rows, short))
+    return found
+
+
+def _by_lines(rows: DataFrame, short: DataFrame) -> DataFrame:
+    """Documents that are an item of ``short`` as a whole or in one line."""
+    bloom = _filter_of(short)
+    lines = F.concat(F.array("text"), F.split("text", r"\r\n|\r|\n"))
+    hashed = F.filter(F.transform(lines, lambda line: F.struct(F.xxhash64(values(line)).alias("hash"), line.alias("line"))),
+                      lambda s: _may_hold(bloom, s["hash"]))
+    each = rows.select("doc_id", F.explode(hashed).alias("s")).select("doc_id", "s.hash", values(F.col("s.line")).alias("doc_values"))
+    hits = each.join(short, "hash").filter(F.col("doc_values") == F.col("values"))
+    one = F.lit(1).cast("long")
+    return hits.groupBy("doc_id", "item_id").agg(F.max("slots").alias("slots")).select(
+        "doc_id", "item_id", one.alias("matched"), one.alias("windows"), F.lit(1.0).alias("coverage"), "slots")
+
+
+def _by_windows(rows: DataFrame, windows: DataFrame, coverage: float, least: int) -> DataFrame:
+    """Documents that hold enough windows of an item."""
+    widths = [r.width for r in windows.select("width").distinct().orderBy("width").collect()]
     bloom = _filter_of(windows)
 
     def passing(words: Column) -> Column:
