@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidemart.llm import suffix_dedup
+from tidemart.llm import rounds, suffix_dedup
 
 
 def plain(texts, length):
@@ -46,6 +46,32 @@ def test_same_as_every_window(spark, rows, many_chunks, length, gram):
     assert got == [(k, *r) for k, r in enumerate(plain(data, length))]
 
 
+@pytest.mark.parametrize("hot", [0, 3, 15])
+def test_very_frequent_grams_give_the_same(spark, rows, many_chunks, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    for length, gram in ((40, 10), (12, 5)):
+        data = texts(length)
+        df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string").repartition(4)
+        got = rows(suffix_dedup.remove_repeats(df, length=length, gram=gram).drop("spans"))
+        assert got == [(k, *r) for k, r in enumerate(plain(data, length))]
+
+
+def test_contexts_of_a_frequent_gram_do_not_meet(spark, rows, many_chunks, monkeypatch):
+    rng = random.Random(4)
+    passage, length, gram = "".join(rng.choice("abcdefgh") for _ in range(60)), 40, 10
+    data = ["".join(rng.choice("ijklmnop") for _ in range(50)) + passage + str(k) * 30 for k in range(200)]
+    asked, answer = [], rounds.answer
+    monkeypatch.setattr(rounds, "answer", lambda rows_, how: (asked.append(rows_), answer(rows_, how))[1])
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    df = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    got = rows(suffix_dedup.remove_repeats(df, length=length, gram=gram).drop("spans"))
+    assert got == [(k, *r) for k, r in enumerate(plain(data, length))]
+    met = Counter()
+    for row in asked[1].filter("kind = 2").collect():
+        met.update(s[:gram] for s in suffix_dedup.Run.unpack(bytes(row.blob))[0].after)
+    assert max(met.values(), default=0) <= 20
+
+
 def test_kept_bytes_spans_null_ids_and_repeated_rows(spark):
     text = "0123456789" * 3
     df = spark.createDataFrame([(None, text), (None, text), (4, text[:20] + "xyz")], "doc_id long, text string")

@@ -10,8 +10,9 @@ its k-byte grams with the least hash; it depends on the window's bytes alone,
 so equal windows have their anchors at equal places. Windows with the same
 anchor are neighbours, and about one suffix in 150 is an anchor's.
 
-1. Chunks ask which of their anchors' grams occur elsewhere, and which of their
-   texts do. Repeated texts are removed whole; one of each goes on.
+1. Chunks ask which of their anchors' grams occur elsewhere, which occur very
+   often, and which of their texts do. Repeated texts are removed whole; one of
+   each goes on.
 2. Each chunk sorts the suffixes at anchors that occur elsewhere, with what
    stands before the anchor, and sends them as front-coded sorted runs.
 3. The runs of a range of grams are merged by a loser tree that keeps, for each
@@ -20,6 +21,8 @@ anchor are neighbours, and about one suffix in 150 is an anchor's.
    equal are never compared again. The merge yields the common prefixes of
    neighbours, and with the left contexts sorted the same way, the windows
    that are equal.
+   All contexts of a gram meet in one task. Of grams that occur very often chunks
+   send 128-bit prints of their distinct windows instead, over all ranges.
 4. Chunks get back which of their windows occur elsewhere.
 
 Null texts are empty; texts shorter than ``length`` lose nothing of their own.
@@ -47,8 +50,10 @@ LENGTH, GRAM = 400, 100
 SEGMENT = 1 << 20
 #: Classes with more members are matched window place by window place, smaller ones pair by pair.
 PAIRWISE = 12
+#: Anchors of a gram, in all chunks, above which its windows are printed: contexts have up to 0.7 KB each.
+HOT = 1 << 13
 
-_KINDS = {"grams": 0, "texts": 1, "runs": 2, "told grams": 10, "told texts": 11}
+_KINDS = {"grams": 0, "texts": 1, "runs": 2, "windows": 3, "told grams": 10, "told texts": 11}
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -294,6 +299,46 @@ def _solve(blobs: list[bytes], length: int, gram: int) -> list[bytes]:
     return [rounds.squeeze(np.packbits(np.concatenate(f)).tobytes()) for f in found]
 
 
+def _distinct(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of 128-bit prints: first row of each distinct one in sorted order, each row's place there, how often each occurs."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    new = np.ones(len(order), bool)
+    new[1:] = (pairs[order[1:]] != pairs[order[:-1]]).any(axis=1)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[new], place, np.bincount(place, minlength=int(new.sum()))
+
+
+@dataclass
+class Windows:
+    """A chunk's windows at anchors of very frequent grams.
+
+    ``pairs`` are their distinct prints in order, ``twice`` whether the chunk
+    has one twice; ``place`` says for the windows of each context where they
+    are there, and ``stands`` which anchors a context stands for.
+    """
+
+    pairs: np.ndarray
+    twice: np.ndarray
+    place: list[np.ndarray]
+    stands: list[list[int]]
+
+    @staticmethod
+    def of(texts: list[bytes], found: Anchors, use: np.ndarray, length: int) -> Windows:
+        held: dict[tuple[bytes, int], list[int]] = {}
+        for i in use.tolist():
+            first, last = int(found.first[i]), int(found.last[i])
+            # Contexts also differ if the same bytes have their anchor elsewhere.
+            held.setdefault((texts[found.text[i]][first:last + length], int(found.place[i]) - first), []).append(i)
+        prints = [xxhash.xxh3_128_digest(b[k:k + length]) for b, _ in held for k in range(len(b) - length + 1)]
+        pairs = np.frombuffer(b"".join(prints), "<u8").reshape(-1, 2).astype(np.uint64)
+        sizes = [len(b) - length + 1 for b, _ in held]
+        first, place, _ = _distinct(pairs)
+        stands = list(held.values())
+        times = np.bincount(place, np.repeat([len(x) for x in stands], sizes) if stands else None, len(first))
+        return Windows(pairs[first], times > 1, np.split(place, np.cumsum(sizes)[:-1]) if stands else [], stands)
+
+
 def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, id_column: str = "doc_id",
                    text_column: str = "text", with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (starts and ends).
@@ -305,6 +350,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, i
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit("")).cast("binary")
     chunks = rounds.deal(docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), text.alias("text")), "text")
     gram_ranges, run_ranges = chunks.ranges(0.06), chunks.ranges(1.0)
+    hot = HOT
 
     def texts_in(table: pa.Table) -> list[bytes]:
         return [t.as_py() for t in column(table, "text")]
@@ -325,13 +371,12 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, i
     def questions(table: pa.Table) -> Iterator[tuple[int, int, bytes]]:
         texts = texts_in(table)
         _, keys, at = whole(texts)
-        twice = np.bincount(at, minlength=len(keys)) > 1
+        counts = np.bincount(at, minlength=len(keys)).astype(np.uint32)
         cut = rounds.cuts(keys, gram_ranges)
         for k in range(gram_ranges):
             some = slice(cut[k], cut[k + 1])
             if cut[k] < cut[k + 1]:
-                yield _KINDS["grams"], k, rounds.join_blobs(
-                    [rounds.pack_sorted(keys[some]), rounds.squeeze(np.packbits(twice[some]).tobytes())])
+                yield _KINDS["grams"], k, rounds.join_blobs([rounds.pack_sorted(keys[some]), rounds.pack(counts[some])])
         pairs, twice, _, _ = prints(texts)
         cut = rounds.cuts(pairs[:, 0], gram_ranges)
         for k in range(gram_ranges):
@@ -351,11 +396,16 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, i
         parts = [rounds.split_blobs(b) for b in blobs]
         if kind == _KINDS["grams"]:
             asked = [rounds.unpack_sorted(p[0]) for p in parts]
-            twice = [bits(p[1], len(a)) for p, a in zip(parts, asked, strict=True)]
-            _, place, times = np.unique(np.concatenate(asked), return_inverse=True, return_counts=True)
-            shared = times > 1
-            shared[place[np.concatenate(twice)]] = True
-            told = shared[place]
+            counts = np.concatenate([rounds.unpack(p[1], np.uint32) for p in parts])
+            _, place = np.unique(np.concatenate(asked), return_inverse=True)
+            times = np.bincount(place, counts)[place]
+            # Twice as many bits: whether the gram occurs elsewhere, and whether very often.
+            told = np.stack([times > 1, times > hot], 1)
+        elif kind == _KINDS["windows"]:
+            asked = [rounds.unpack(p[0], np.uint64).reshape(2, -1).T for p in parts]
+            twice = np.concatenate([bits(p[1], len(a)) for p, a in zip(parts, asked, strict=True)])
+            _, place, times = _distinct(np.concatenate(asked))
+            told = (times[place] > 1) | twice
         else:
             pairs = [rounds.unpack(p[0], np.uint64).reshape(2, -1).T for p in parts]
             asked = [p[:, 0] for p in pairs]
@@ -370,14 +420,18 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, i
         ends = np.cumsum([len(a) for a in asked])
         return [rounds.squeeze(np.packbits(told[e - len(a):e]).tobytes()) for a, e in zip(asked, ends, strict=True)]
 
-    def contexts(texts: list[bytes], told: rounds.Answers) -> tuple[list[tuple[int, Run, list[list[int]]]], Anchors, np.ndarray]:
-        """Runs by range with the anchors that each context stands for, all anchors, and which texts are repeated."""
+    def contexts(texts: list[bytes], told: rounds.Answers) -> tuple[
+            list[tuple[int, Run, list[list[int]]]], Windows, Anchors, np.ndarray]:
+        """Runs by range with the anchors that each context stands for, windows of very frequent grams, all anchors,
+        and which texts are repeated."""
         found, keys, at = whole(texts)
-        shared = _by_range(told.get(_KINDS["told grams"], []), rounds.cuts(keys, gram_ranges), 1, bits).ravel()
+        of_gram = _by_range(told.get(_KINDS["told grams"], []), rounds.cuts(keys, gram_ranges), 2, bits)
         pairs, _, place, _ = prints(texts)
         about = _by_range(told.get(_KINDS["told texts"], []), rounds.cuts(pairs[:, 0], gram_ranges), 2, bits)
         again, mine = about[place, 0], about[place, 1]
-        use = np.flatnonzero(shared[at] & (mine | ~again)[found.text]) if len(at) else np.empty(0, np.int64)
+        use = np.flatnonzero(of_gram[at, 0] & (mine | ~again)[found.text]) if len(at) else np.empty(0, np.int64)
+        often = of_gram[at[use], 1]
+        windows, use = Windows.of(texts, found, use[often], length), use[~often]
         use = use[np.argsort(found.gram[use], kind="stable")]
         cut = rounds.cuts(found.gram[use], run_ranges)
         runs = []
@@ -391,13 +445,19 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, i
                 ordered = sorted(held)
                 stands = [held[key] for key in ordered]
                 runs.append((k, Run([a for a, _ in ordered], [b for _, b in ordered], np.array([len(x) > 1 for x in stands])), stands))
-        return runs, found, again
+        return runs, windows, found, again
 
     def send_runs(table: pa.Table, told: rounds.Answers) -> pa.Table:
         passed = rounds.Answers.__new__(rounds.Answers)
         passed.update({_KINDS["told grams"]: told.get(0, []), _KINDS["told texts"]: told.get(1, [])})
-        runs, _, _ = contexts(texts_in(table), passed)
+        runs, windows, _, _ = contexts(texts_in(table), passed)
         rows = [(k, _KINDS["runs"], run.pack()) for k, run, _ in runs]
+        cut = rounds.cuts(windows.pairs[:, 0], run_ranges)
+        for k in range(run_ranges):
+            some = slice(cut[k], cut[k + 1])
+            if cut[k] < cut[k + 1]:
+                rows.append((k, _KINDS["windows"], rounds.join_blobs(
+                    [rounds.pack(windows.pairs[some].T.ravel()), rounds.squeeze(np.packbits(windows.twice[some]).tobytes())])))
         chunk = int(column(table, "chunk")[0].as_py())
         # What was told comes along, under a range of the chunk's own.
         rows += [(-1 - chunk, kind, rounds.join_blobs(blobs)) for kind, blobs in passed.items()]
@@ -410,8 +470,13 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, i
         texts = texts_in(table)
         for kind in (_KINDS["told grams"], _KINDS["told texts"]):
             told[kind] = rounds.split_blobs(told[kind][0])
-        runs, found, again = contexts(texts, told)
+        runs, windows, found, again = contexts(texts, told)
         starts: dict[int, list[np.ndarray]] = {}
+        elsewhere = _by_range(told.get(_KINDS["windows"], []), rounds.cuts(windows.pairs[:, 0], run_ranges), 1, bits).ravel()
+        for place, stands in zip(windows.place, windows.stands, strict=True):
+            places = np.flatnonzero(elsewhere[place])
+            for i in stands if len(places) else []:
+                starts.setdefault(int(found.text[i]), []).append(found.first[i] + places)
         for (_, run, stands), blob in zip(runs, told.get(_KINDS["runs"], []), strict=True):
             sizes = np.array([len(b) - (length - len(a)) + 1 for a, b in zip(run.after, run.before, strict=True)])
             ends = np.cumsum(sizes)
