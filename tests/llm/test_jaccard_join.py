@@ -3,9 +3,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
-from tidemart.llm import jaccard_join
+from tidemart.llm import jaccard_join, rounds
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -73,6 +74,26 @@ def test_null_ids_repeated_rows_and_other_columns(spark, rows):
     assert rows(jaccard_join.link(df)) == [(None, 2, None), (2, 2, 2), (2, 2, 2), (3, 2, 2), (9, 0, 9)]
 
 
+@pytest.mark.parametrize("chunks", [False, True])
+def test_rows_of_one_id_with_other_texts_are_one_node(spark, rows, monkeypatch, chunks):
+    if chunks:
+        monkeypatch.setattr(rounds, "CHUNK_BYTES", 600)
+        monkeypatch.setattr(rounds, "RANGE_BYTES", 300)
+    data = [(k * 7 % 31, t) for k, t in enumerate(texts(random.Random(5)))]
+    data += [(40, "p q r s t"), (41, "p q r s t"), (41, "u v w x y"), (42, "u v w x y"), (43, ""), (43, "u v w x y")]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    assert rows(jaccard_join.link(df), "doc_id", "n_shingles", "component_id") == plain(data, 4, 85)
+
+
+def test_a_set_is_named_once_per_chunk(spark, rows, monkeypatch):
+    asked, answer = [], rounds.answer
+    monkeypatch.setattr(rounds, "answer", lambda rows_, how: (asked.append(rows_), answer(rows_, how))[1])
+    df = spark.createDataFrame([(k, "a b c d e") for k in range(200)] + [(200, "x")], "doc_id long, text string")
+    assert rows(jaccard_join.link(df)) == [(k, 2, 0) for k in range(200)] + [(200, 1, 200)]
+    named = asked[0].filter("kind = 1").collect()
+    assert sum(rounds.unpack(bytes(r.blob), np.uint64).size // 3 for r in named) == 2
+
+
 def test_empty_table(spark):
     assert jaccard_join.link(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -8,7 +8,7 @@ of each, in an order common to all, must then meet.
 1. Document filter. In hash order, linked documents share a known number of
    the shingles of slightly longer prefixes. Documents in whose prefix too few
    shingles occur anywhere else have no link and leave. Documents with the
-   same set are one from here on.
+   same set are one from here on; a chunk names each of its sets once.
 2. Prefixes. Among the rest shingles are ordered by frequency, rarest first.
    Documents with the same prefix and size form a group.
 3. Stars. Each group is verified against the first group of the posting it
@@ -22,7 +22,8 @@ of each, in an order common to all, must then meet.
 
 Texts that are null or have no words have an empty set and link with nothing.
 Rows with a null id link with nothing and have no component. Rows with the
-same id are one node. Further columns are not read.
+same id are one node, also if their texts differ: all that any of them links
+with is one component. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -91,13 +92,19 @@ def _filtered(docs: DataFrame, width: int, percent: int) -> DataFrame:
         heads = np.concatenate([s[:k] for s, k in zip(sets, lengths, strict=True)]) if sets else np.empty(0, np.uint64)
         return sets, lengths, heads
 
-    def prints(table: pa.Table, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit prints of the sets that may link, and their ids."""
+    def prints(table: pa.Table, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct 128-bit prints of the sets that may link, the smallest id of each, and each row's place there or -1."""
         ids = column(table, "doc_id").to_pylist()
-        rows = [(xxhash.xxh3_128_digest(s.tobytes()), i) for s, i in zip(sets, ids, strict=True) if len(s) and i is not None]
-        pairs = np.frombuffer(b"".join(p for p, _ in rows), "<u8").reshape(-1, 2).astype(np.uint64)
-        order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-        return pairs[order], np.array([i for _, i in rows], np.int64)[order]
+        rows = [k for k, (s, i) in enumerate(zip(sets, ids, strict=True)) if len(s) and i is not None]
+        digests = b"".join(xxhash.xxh3_128_digest(sets[k].tobytes()) for k in rows)
+        pairs = np.frombuffer(digests, "<u8").reshape(-1, 2).astype(np.uint64)
+        some = np.array([ids[k] for k in rows], np.int64)
+        order = np.lexsort((some, pairs[:, 1], pairs[:, 0]))
+        new = np.ones(len(order), bool)
+        new[1:] = (pairs[order[1:]] != pairs[order[:-1]]).any(axis=1)
+        place = np.full(len(sets), -1, np.int64)
+        place[np.array(rows, np.int64)[order]] = np.cumsum(new) - 1
+        return pairs[order[new]], some[order[new]], place
 
     def questions(table: pa.Table) -> Iterator[tuple[int, int, bytes]]:
         sets, _, heads = prefixes(table)
@@ -107,7 +114,7 @@ def _filtered(docs: DataFrame, width: int, percent: int) -> DataFrame:
             some = slice(at[k], at[k + 1])
             if at[k] < at[k + 1]:
                 yield 0, k, rounds.join_blobs([rounds.pack_sorted(keys[some]), rounds.squeeze(np.packbits(counts[some] > 1).tobytes())])
-        pairs, ids = prints(table, sets)
+        pairs, ids, _ = prints(table, sets)
         at = rounds.cuts(pairs[:, 0], ranges)
         for k in range(ranges):
             some = slice(at[k], at[k + 1])
@@ -146,15 +153,19 @@ def _filtered(docs: DataFrame, width: int, percent: int) -> DataFrame:
         ends = np.cumsum(lengths)
         counts = marks[ends] - marks[ends - lengths]
         sizes = np.array([len(s) for s in sets], np.int64)
-        _, ids = prints(table, sets)
+        _, ids, place = prints(table, sets)
         reps = np.concatenate([rounds.unpack(b, np.int64) for b in answered.get(1, [])]) if len(ids) else ids
-        rep_of = dict(zip(ids.tolist(), reps.tolist(), strict=True))
         doc_ids = column(table, "doc_id").to_pylist()
+        rep_of = [int(reps[p]) if p >= 0 else i for p, i in zip(place, doc_ids, strict=True)]
         may = [i is not None and n > 0 and c >= filter_need(int(n), percent) for i, n, c in zip(doc_ids, sizes, counts, strict=True)]
-        kept = [rounds.pack_sorted(s) if m and rep_of[i] == i else None for s, m, i in zip(sets, may, doc_ids, strict=True)]
+        kept, done = [], set()
+        for s, m, i, r, p in zip(sets, may, doc_ids, rep_of, place.tolist(), strict=True):
+            kept.append(rounds.pack_sorted(s) if m and r == i and p not in done else None)
+            if r == i:
+                done.add(p)
         return pa.table({
             "doc_id": pa.array(doc_ids, pa.int64()), "n": pa.array(sizes, pa.int64()),
-            "rep": pa.array([rep_of.get(i, i) if n else i for i, n in zip(doc_ids, sizes, strict=True)], pa.int64()),
+            "rep": pa.array(rep_of, pa.int64()),
             "shingles": pa.array(kept, pa.binary()),
         })
 
@@ -328,7 +339,8 @@ def link(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, id_colu
     posted = pin(_postings(named, "component", "fold", "alone"), "postings")
     held = posted.groupBy("token", "component").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("place")).alias("reach"),
-        F.first(F.when(F.col("alone"), F.col("fold"))).alias("fold"),
+        # Rows of one id may have several sets.
+        F.when(F.count(F.lit(1)) == 1, F.first(F.when(F.col("alone"), F.col("fold")))).alias("fold"),
     )
     several = held.groupBy("token").agg(F.count(F.lit(1)).alias("components")).filter("components > 1").select("token")
     held = pin(held.join(several, "token"), "held")
@@ -353,7 +365,10 @@ def link(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT, id_colu
         theirs, (group_pairs.h == theirs.h) & _near("bits_a", "bits_b", F.col("n_a"), F.col("n_b"), percent)
     ).select("a", "b")
     more_links = verified(expanded, sets, percent)
-    final = components(first_links.unionByName(more_links))
+    # Ids whose rows have different sets hold together what those link with.
+    unlike = every.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least < most").select("doc_id")
+    same_id = every.join(unlike, "doc_id").filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
+    final = components(first_links.unionByName(more_links).unionByName(same_id))
     of_rep = final.select(F.col("node").alias("rep"), F.col("component").alias("found"))
     return every.join(of_rep, "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("found", "rep").alias("component_id")
