@@ -119,3 +119,37 @@ WITH RECURSIVE vectors AS (
 SELECT c.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, c.vec_id = c.component_id AS kept
 FROM classes c LEFT JOIN counts n ON n.a = c.vec_id
 """
+
+ORACLES["op13_ranked_search"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), wanted AS (
+  SELECT item_id, term, count(*) AS often FROM asked GROUP BY ALL
+), totals AS (
+  SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM words
+), postings AS (
+  SELECT row_id, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row_id, doc_id, len(terms) AS n, unnest(terms) AS term FROM words)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term, n_docs
+), gains AS (
+  SELECT row_id, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))) AS gain
+  FROM postings JOIN weights USING (term), totals
+), scored AS (
+  SELECT item_id, row_id, doc_id, sum(often * gain)::BIGINT AS score
+  FROM wanted JOIN gains USING (term) GROUP BY item_id, row_id, doc_id HAVING sum(often * gain) > 0
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM scored)
+WHERE rank <= 20
+"""

@@ -8,12 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import decontaminate, embeddings, html_text, jaccard_join, kneser_ney, language, mixing, quotations, suffix_dedup, token_files
+from tidemart.llm import (
+    alignment,
+    bpe_stream,
+    decontaminate,
+    embeddings,
+    html_text,
+    jaccard_join,
+    kneser_ney,
+    language,
+    mixing,
+    quotations,
+    ranked_search,
+    suffix_dedup,
+    token_files,
+)
 from tidemart.llm.text import table
 from tidemart.session import fresh_path
 
 #: Where tokenizers lie on this machine and on its executors.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: The two vocabularies that are aligned.
+MERGES, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 1
 #: Languages are learned from documents whose crc32 of the id leaves another remainder than this one.
 LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 4, 2
@@ -55,6 +71,20 @@ def token_files_of(docs: DataFrame) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def encoded_and_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_stream.digests(bpe_stream.encode(table(spark, folder, "documents"), TOKENIZER))
+
+
+def alignments_of(docs: DataFrame) -> DataFrame:
+    """Counts of each document's aligned tokens, and a digest of its groups."""
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return alignment.align(docs, MERGES, PIECES, notes={"groups_sha256": digest})
+
+
+def best_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": lambda s, f: jaccard_join.link(table(s, f, "documents")),
     "op2_decontaminate": lambda s, f: decontaminate.matches(table(s, f, "documents"), table(s, f, "benchmark")),
@@ -68,4 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": lambda s, f: token_files_of(table(s, f, "documents")),
     "op9_main_text": text_of_pages,
     "op10_suffixes": lambda s, f: suffix_dedup.remove_repeats(table(s, f, "documents")).drop("spans"),
+    "op11_bpe_stream": encoded_and_decoded,
+    "op12_alignment": lambda s, f: alignments_of(table(s, f, "documents")),
+    "op13_ranked_search": best_documents,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]"
+#: The same as a table of bytes.
+SPACE_BYTES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +41,26 @@ def slices(lengths: np.ndarray, most: int) -> list[tuple[int, int]]:
     return cuts
 
 
+def windows(text: pa.Buffer | bytes, most: int, gap: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Byte ranges of one long text, each of up to ``most`` bytes and ending after a ``gap`` byte.
+
+    A longer stretch without any gap is a range of its own.
+    """
+    data, at = np.frombuffer(text, np.uint8), 0
+    while at < len(data):
+        end = at + most
+        if end >= len(data):
+            end = len(data)
+        elif len(found := np.flatnonzero(gap[data[at:end]])):
+            end = at + int(found[-1]) + 1
+        else:
+            while end < len(data) and not len(found := np.flatnonzero(gap[data[end:end + most]])):
+                end += most
+            end = min(len(data), end + int(found[0]) + 1) if end < len(data) else len(data)
+        yield at, end
+        at = end
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in order, and where each text's words begin and end."""
     parts = pc.ascii_split_whitespace(texts)
@@ -115,8 +139,7 @@ def part_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         return mix((sums[ends] - sums[starts]) * down[starts])
 
 
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[32, *range(9, 14)]] = True
+_IS_SPACE = SPACE_BYTES
 _LOWER = np.arange(1, 257, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 #: Bytes whose hashes are made at a time; a longer word is taken whole.
