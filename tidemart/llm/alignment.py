@@ -7,7 +7,7 @@ tokens between two anchors are a window. A window's alignment depends on its
 token ids alone, so it is remembered under them: byte ends that both share cut
 it into groups, and at each shared end one token of A links to one of B.
 Before anything is aligned, the bytes of A's and of B's tokens are verified
-against the text; a text that either does not give back has no tokens here.
+against the text, stretch by stretch; a text that either does not give back has no tokens here.
 
 How often a pair of ids is linked in the corpus is asked once per chunk of
 documents: chunks send their distinct pairs with counts, Spark adds them up and
@@ -31,13 +31,14 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +46,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from tokenizers import Tokenizer
 
-from tidemart.llm.bpe_stream import token_bytes
+from tidemart.llm.bpe_stream import Merges, token_bytes
 from tidemart.llm.rounds import pack, unpack
 from tidemart.llm.text import column, slices, texts_of
 from tidemart.session import pin
@@ -53,9 +54,12 @@ from tidemart.session import pin
 #: Bytes of text in a chunk, and tokenised at a time.
 CHUNK_BYTES, STEP_BYTES = 16 << 20, 2 << 20
 #: Distinct stretches and windows that a worker remembers, and the bytes of ids in the longest window.
-REMEMBERED, LONG = 200_000, 256
+REMEMBERED, LONG = 300_000, 256
 #: A single space that ends a token of both sides: between letters, digits or printable ASCII.
 _CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+# The setting and the pattern of byte-level pieces.
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -71,6 +75,7 @@ class Pair:
         a_bytes = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             a_bytes[i] = token_bytes(token)
+        self.plain = _same_merges(merges_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
         b_bytes = []
         for i in range(self.b.get_piece_size()):
@@ -84,14 +89,27 @@ class Pair:
         self.lengths = tuple(np.array(side, np.int64) for side in self.sizes)
         self.names = [str(i) for i in range(max(map(len, self.bytes)))]
         self.spaced = tuple(np.array([t[:1] == b" " for t in side]) for side in self.bytes)
-        self.stretches: dict[str, tuple[bytes, bytes]] = {}
-        self.known: dict[tuple[bytes, bytes], tuple[int, str, bytes, bytes]] = {}
+        self.stretches: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.known: dict[tuple[bytes, bytes], tuple[int, str, bytes]] = {}
+
+    def remember(self, new: list[str]) -> None:
+        """A's and B's packed ids of stretches, and whether both give their bytes back."""
+        spaced = [f" {s}" for s in new]
+        quick = [self.plain is not None and s.isascii() for s in new]
+        rest = iter(self.a.encode_batch_fast([s for s, q in zip(spaced, quick, strict=True) if not q], add_special_tokens=False))
+        side_a, side_b = self.bytes
+        for s, own, q, b in zip(new, spaced, quick, self.b.encode(new, num_threads=1), strict=True):
+            a = self.plain(own) if q else next(rest).ids
+            content = own.encode()
+            fits = content == b"".join([side_a[i] for i in a]) and content == b"".join([side_b[i] for i in b])
+            self.stretches[s] = array("i", a).tobytes(), array("i", b).tobytes(), fits
 
-    def tokenise(self, texts: list[str]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-        """Ids of A and of B for all texts, each with every text's number of tokens.
+    def tokenise(self, texts: list[str]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Which texts both sides give back; for these texts, ids of A and of B, each with every text's number of tokens.
 
         Both tokenise the stretches between single spaces apart, so equal ones
-        are tokenised once; A's space stands before a stretch, B adds it.
+        are tokenised and verified once; A's space stands before a stretch, B
+        adds it.
         """
         cut = [_CUT.split(text) if text else [] for text in texts]
         places: dict[str, int] = {}
@@ -99,43 +117,40 @@ class Pair:
         if new := [s for s in places if s not in self.stretches]:
             if len(self.stretches) + len(new) > REMEMBERED:
                 self.stretches = {s: self.stretches[s] for s in places if s in self.stretches}
-            a = [array("i", e.ids).tobytes() for e in self.a.encode_batch_fast([f" {s}" for s in new], add_special_tokens=False)]
-            b = [array("i", ids).tobytes() for ids in self.b.encode(new, num_threads=1)]
-            self.stretches.update(zip(new, zip(a, b, strict=True), strict=True))
+            self.remember(new)
         known = [self.stretches[s] for s in places]
         of = np.repeat(np.arange(len(texts)), [len(own) for own in cut])
+        fails = ~np.array([k[2] for k in known], bool)[codes]
+        fits = np.array([bool(text) for text in texts], bool)
+        fits[of[fails]] = False
+        codes, of = codes[fits[of]], of[fits[of]]
         sides = []
         for side in range(2):
             pieces = [k[side] for k in known]
             sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
             ids = gather(np.frombuffer(b"".join(pieces), np.int32), sizes, codes)
             sides.append((ids, np.bincount(of, sizes[codes], len(texts)).astype(np.int64)))
-        return tuple(sides)
+        return fits, *sides
 
-    def window(self, key: tuple[bytes, bytes]) -> tuple[int, str, bytes, bytes]:
-        """Groups of a window, their notation, its links as packed pairs of ids, and its bytes."""
+    def window(self, key: tuple[bytes, bytes]) -> tuple[int, str, bytes]:
+        """Groups of a window, their notation and its links as packed pairs of ids."""
         a, b = (memoryview(k).cast("i").tolist() for k in key)
-        side_a, side_b = self.bytes
-        content = b"".join([side_a[i] for i in a])
-        if content != b"".join([side_b[i] for i in b]):
-            found = (0, "", b"", b"\xff")  # no text holds this byte, so its document is found not to match
-        else:
-            groups, links = [], []
-            names, size_a, size_b = self.names, self.sizes[0], self.sizes[1]
-            ahead, first_a, first_b, at_b = 0, 0, 0, 0  # bytes by which A's tokens so far go beyond B's
-            for at_a, i in enumerate(a, 1):
-                ahead += size_a[i]
-                while ahead > 0:
-                    ahead -= size_b[b[at_b]]
-                    at_b += 1
-                if not ahead:
-                    left = names[i] if at_a - first_a == 1 else ",".join([names[t] for t in a[first_a:at_a]])
-                    last = b[at_b - 1]
-                    right = names[last] if at_b - first_b == 1 else ",".join([names[t] for t in b[first_b:at_b]])
-                    groups.append(f"{left}|{right}")
-                    links.append(i | last << 32)
-                    first_a, first_b = at_a, at_b
-            found = len(links), ";".join(groups), array("Q", links).tobytes(), content
+        groups, links = [], []
+        names, size_a, size_b = self.names, self.sizes[0], self.sizes[1]
+        ahead, first_a, first_b, at_b = 0, 0, 0, 0  # bytes by which A's tokens so far go beyond B's
+        for at_a, i in enumerate(a, 1):
+            ahead += size_a[i]
+            while ahead > 0:
+                ahead -= size_b[b[at_b]]
+                at_b += 1
+            if not ahead:
+                left = names[i] if at_a - first_a == 1 else ",".join([names[t] for t in a[first_a:at_a]])
+                last = b[at_b - 1]
+                right = names[last] if at_b - first_b == 1 else ",".join([names[t] for t in b[first_b:at_b]])
+                groups.append(f"{left}|{right}")
+                links.append(i | last << 32)
+                first_a, first_b = at_a, at_b
+        found = len(links), ";".join(groups), array("Q", links).tobytes()
         if len(key[0]) + len(key[1]) <= LONG:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
@@ -145,13 +160,7 @@ class Pair:
     def align(self, texts: pa.Array) -> dict[str, np.ndarray | pa.Array]:
         """Per text: numbers of tokens and groups (as many links) and the groups' notation; all texts' links."""
         plain = texts.to_pylist()
-        (a, in_a), (b, in_b) = self.tokenise(plain)
-        want = np.asarray(pc.binary_length(texts)) + 1
-        fits = (want > 1) & (in_a > 0) & (in_b > 0)
-        texts_a, texts_b = np.repeat(np.arange(len(plain)), in_a), np.repeat(np.arange(len(plain)), in_b)
-        fits &= np.bincount(texts_a, self.lengths[0][a], len(plain)) == want
-        fits &= np.bincount(texts_b, self.lengths[1][b], len(plain)) == want
-        a, b = a[fits[texts_a]], b[fits[texts_b]]
+        fits, (a, in_a), (b, in_b) = self.tokenise(plain)
         rows = np.flatnonzero(fits)
         ends_a, ends_b = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
         at = np.searchsorted(ends_b, ends_a)
@@ -168,22 +177,33 @@ class Pair:
         known = self.known
         windows = [known.get(key) or self.window(key) for key in distinct]
         codes = np.array(codes, np.int64)
-        listed = [
-            pc.binary_join(pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), pa.array(values, kind).take(pa.array(codes))), sep)
-            for values, kind, sep in (([w[1] for w in windows], pa.string(), ";"), ([w[3] for w in windows], pa.binary(), b""))
-        ]
-        space = pa.scalar(" ", pa.large_string())
-        spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts.take(pa.array(rows)), space).cast(pa.binary())
-        same = np.asarray(pc.equal(listed[1], spaced))
-        groups = np.add.reduceat(np.append([w[0] for w in windows], 0)[codes], per_text[:-1]) if len(rows) else np.zeros(0, np.int64)
-        sizes = np.array([len(w[2]) // 8 for w in windows], np.int64)
-        codes = codes[np.repeat(same, np.diff(per_text))]
+        notes = pa.array([w[1] for w in windows], pa.string()).take(pa.array(codes))
+        listed = pc.binary_join(pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), notes), ";")
+        sizes = np.array([w[0] for w in windows], np.int64)
         links = gather(np.frombuffer(b"".join([w[2] for w in windows]), np.uint64), sizes, codes)
-        notes = np.full(len(plain), "", object)
-        notes[rows[same]] = listed[0].filter(pa.array(same)).to_numpy(zero_copy_only=False)
+        groups = np.full(len(plain), "", object)
+        groups[rows] = listed.to_numpy(zero_copy_only=False)
         counts = np.zeros((3, len(plain)), np.int64)
-        counts[:, rows[same]] = in_a[rows][same], in_b[rows][same], groups[same]
-        return {"n_a": counts[0], "n_b": counts[1], "n_groups": counts[2], "groups": pa.array(notes, pa.string()), "links": links}
+        counts[:, rows] = in_a[rows], in_b[rows], np.diff(np.concatenate(([0], np.cumsum(sizes[codes])))[per_text])
+        return {"n_a": counts[0], "n_b": counts[1], "n_groups": counts[2], "groups": pa.array(groups, pa.string()), "links": links}
+
+
+def _same_merges(path: str) -> Callable[[str], list[int]] | None:
+    """A quicker encoder of ASCII texts, if it provably does the same as the file.
+
+    It joins any two tokens that together are a token, by that token's id. The
+    rules do the same if ids follow rank and every token's own text comes out
+    as this one token: tokens x, y that together are t, with nothing across
+    t's ends, arise from t's own text alone, and there t's rule is the last.
+    """
+    merges = Merges.load(path)
+    made = [merges.pairs[merges.vocab[x], merges.vocab[y]][1] for x, y in merges.rules]
+    if merges.suffix or made != sorted(made) or json.loads(Path(path).read_text(encoding="utf-8"))["pre_tokenizer"] != _BYTE_LEVEL:
+        return None
+    if any(merges.merge(merges.symbols(token, True)) != [i] for token, i in merges.vocab.items()):
+        return None
+    ranks = {token_bytes(token): i for token, i in merges.vocab.items()}
+    return tiktoken.Encoding("merges", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 def gather(flat: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
