@@ -106,10 +106,8 @@ _BODIES = {
     "q052": "SELECT product_id, product_name, CAST(price AS DOUBLE) AS price FROM products WHERE products.price > (SELECT avg(price) FROM products)",
     "q053": "SELECT customer_id, first_name FROM customers c WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.customer_id = c.customer_id)",
     "q053_in_year": f"SELECT customer_id, first_name FROM customers c WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.customer_id = c.customer_id AND {_1997})",
-    "q053_some_without": "SELECT customer_id, first_name FROM customers c WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.customer_id = c.customer_id AND s.customer_id % 7 <> 0 AND s.product_id % 7 <> 0)",
     "q054": "SELECT product_id, product_name FROM products p WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.product_id = p.product_id)",
     "q054_in_quarter": "SELECT product_id, product_name FROM products p WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.product_id = p.product_id AND s.sale_date BETWEEN DATE '1997-01-01' AND DATE '1997-03-31')",
-    "q054_some_without": "SELECT product_id, product_name FROM products p WHERE NOT EXISTS (SELECT 1 FROM sales s WHERE s.product_id = p.product_id AND s.customer_id % 7 <> 0 AND s.product_id % 7 <> 0)",
     "q055": "SELECT customer_id, first_name, CAST(total_amount AS DOUBLE) AS total_amount FROM sales JOIN customers USING (customer_id) WHERE sales.total_amount = (SELECT max(total_amount) FROM sales)",
     "q056": "SELECT product_id, product_name, CAST(total_amount AS DOUBLE) AS total_amount FROM sales JOIN products USING (product_id) WHERE sales.total_amount > (SELECT avg(total_amount) FROM sales)",
     "q056_intent": "SELECT product_id, product_name, CAST(total AS DOUBLE) AS total_amount FROM moved WHERE total > (SELECT avg(total) FROM moved)",

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 from decimal import Decimal
 from pathlib import Path
 
@@ -119,6 +120,26 @@ def test_weather_table(spark, rows, tmp_path):
     assert rows(table.read(), "city", "temperature_c") == [("x", 9.0), ("y", 1.0)]
 
 
+def test_keyed_tables_merge_their_batches(spark, rows, tmp_path):
+    table = KeyedTable(spark, f"{tmp_path}/t", LATEST)
+    expected, most = {}, 0
+    for k in range(30):
+        new = {f"s{k % 5}": float(k), f"t{k}": 1.0}
+        expected |= new
+        table.upsert(prices(spark, *new.items()), k)
+        if k % 9 == 0:
+            table.upsert(prices(spark, *new.items()), k)  # replayed
+        most = max(most, len(table.folders()))
+    assert most <= 8 + 3 and rows(table.read(), "symbol", "price") == sorted(expected.items())
+    # One upsert later the folders that a merged one covers are gone, and a replay of those is refused.
+    assert len(os.listdir(f"{tmp_path}/t")) <= 8 + 8 + 3
+    with pytest.raises(ValueError, match="merged"):
+        table.upsert(prices(spark, ("a", 1.0)), 2)
+    # A merge that was cut off half way is as if it had not been.
+    (tmp_path / "t" / "batches=0-29").mkdir()
+    assert rows(table.read(), "symbol", "price") == sorted(expected.items())
+
+
 def test_messages(spark, tmp_path):
     df = spark.createDataFrame([("a", Decimal("1.50"), dt.datetime(2024, 1, 1, 1, 2, 3))], "symbol STRING, price DECIMAL(10,2), timestamp TIMESTAMP")
     assert json.loads(as_messages(df).first()[0]) == {"symbol": "a", "price": 1.5, "timestamp": "2024-01-01T01:02:03.000000"}

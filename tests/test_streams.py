@@ -1,8 +1,10 @@
 import datetime as dt
 import json
 import os
+import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemart.operators.bars import hourly_prices, minute_prices, trade_volume
@@ -11,7 +13,9 @@ from tidemart.schemas import CONTRACTS
 from tidemart.sinks.keyed import KeyedTable
 from tidemart.sinks.messages import console_sink, message_sink
 from tidemart.sources.streams import text_messages
+from tidemart.streaming import supervised
 from tidemart.streaming.market import RollingVolatility, price_stream, start_all, trade_stream
+from tidemart.streaming.rolling import joined_volatility, released_volatility
 
 START = dt.datetime(2024, 1, 1)
 
@@ -105,7 +109,9 @@ def test_replayed_batch_changes_nothing(spark, rows, tmp_path):
 def test_four_streams(spark, rows, topic, tmp_path):
     topic.land(*[price("a", float(i), i * 3) for i in range(60)])
     running = start_all(spark, topic.stream(spark), topic.stream(spark), f"{tmp_path}/out", f"{tmp_path}/check", {"availableNow": True})
-    assert sorted(running) == ["hourly_price_avg", "minute_price_avg", "trade_volume", "volatility_metrics"]
+    assert sorted(running) == [
+        "hourly_price_avg", "minute_price_avg", "rejected_prices", "rejected_trades", "trade_volume", "volatility_metrics"
+    ]
     for query in running.values():
         query.awaitTermination()
     data = [("a", float(i), 2.0, START + dt.timedelta(minutes=i * 3)) for i in range(60)]
@@ -128,3 +134,90 @@ def test_message_sink_and_update_mode(spark, topic, tmp_path):
     assert sorted(m["price"] for m in sent) == [1.0, 2.0, 6.0] and sent[0]["quantity"] == 2.0
     run(console_sink(minute_prices(price_stream(topic.stream(spark))), "changes", "memory"))
     assert sorted(r["avg_price"] for r in spark.table("changes").collect()) == [1.5, 3.0]
+
+
+@pytest.mark.parametrize("shape, reads", [(joined_volatility, 2), (released_volatility, 1)])
+def test_final_statistics_inside_the_stream(spark, rows, topic, tmp_path, shape, reads):
+    rng = random.Random(7)
+    moments = sorted(rng.sample(range(0, 6 * 3600), 200))
+    sent = [price(rng.choice("ab"), 100 + rng.random(), 0, at) for at in moments] + [price("a", None, 100), price(None, 5.0, 101)]
+    near = sorted(sent, key=lambda m: dt.datetime.fromisoformat(m["timestamp"]) + dt.timedelta(seconds=rng.random() * 500))
+    for i in range(0, len(near), 40):
+        topic.land(*near[i:i + 40])
+    topic.land(price("b", 1.0, 6 * 60 + 200))  # moves the watermark on
+    topic.land(price("a", 777.0, 10))  # far too late
+    table = KeyedTable(spark, f"{tmp_path}/out", CONTRACTS["volatility_metrics"])
+    query = run(table.sink(shape(price_stream(topic.stream(spark))), f"{tmp_path}/check"))
+    data = [(m["symbol"], m["price"], dt.datetime.fromisoformat(m["timestamp"])) for m in sent]
+    whole = volatility(spark.createDataFrame(data, "symbol STRING, price DOUBLE, timestamp TIMESTAMP"))
+    columns = ["symbol", "timestamp", "price"] + [F.round(c, 7) for c in ("rolling_avg", "rolling_stddev", "volatility_pct")]
+    assert rows(table.read(), *columns) == rows(whole, *columns) and len(sent) == 202
+    assert supervised.rows_seen(query.recentProgress) == reads * 204 and supervised.rows_late(query.recentProgress) >= 1
+    # What is remembered is bounded by the span, not by what went by.
+    assert query.recentProgress[-1].stateOperators[-1].numRowsTotal <= 8
+
+
+def test_log_and_tables_do_not_grow_with_batches(spark, rows, tmp_path):
+    rolling = RollingVolatility(spark, f"{tmp_path}/rolling", span=600)
+    every, listed = [], []
+    for k in range(50):
+        at = START + dt.timedelta(hours=8 * k)
+        data = [("a", float(k), at), ("b", float(k % 7), at + dt.timedelta(seconds=k))]
+        every += data
+        rolling.process(spark.createDataFrame(data, "symbol STRING, price DOUBLE, timestamp TIMESTAMP"), k)
+        listed.append(len(rolling.days()))
+    assert max(listed) <= 3 and len(os.listdir(f"{tmp_path}/rolling/tick_marks")) <= 3
+    assert len(rolling.results.folders()) <= 2 * 8
+    late = spark.createDataFrame([("a", 9.0, START)], "symbol STRING, price DOUBLE, timestamp TIMESTAMP")
+    rolling.process(late, 50)
+    assert rows(rolling.late()) == [("a", 9.0, START)]
+    whole = volatility(spark.createDataFrame(every, "symbol STRING, price DOUBLE, timestamp TIMESTAMP"), 600)
+    assert rows(rolling.results.read(), "symbol", "timestamp", "rolling_avg") == rows(whole, "symbol", "timestamp", "rolling_avg")
+
+
+def test_a_crash_between_write_and_commit(spark, rows, topic, tmp_path):
+    for i in range(4):
+        topic.land(*[price("a", float(i * 10 + k), i * 30 + k) for k in range(10)])
+    rolling = RollingVolatility(spark, f"{tmp_path}/rolling")
+    crashes = [1, 3]
+
+    def process(batch, batch_id):
+        rolling.process(batch, batch_id)
+        if crashes and batch_id == crashes[0]:
+            crashes.pop(0)
+            raise RuntimeError("lost before the commit")
+
+    writer = price_stream(topic.stream(spark)).writeStream.option("checkpointLocation", f"{tmp_path}/check").foreachBatch(process)
+    failures = 0
+    for _ in range(3):
+        try:
+            run(writer)
+        except StreamingQueryException:
+            failures += 1
+    assert failures == 2 and not crashes
+    data = [("a", float(i * 10 + k), START + dt.timedelta(minutes=i * 30 + k)) for i in range(4) for k in range(10)]
+    whole = volatility(spark.createDataFrame(data, "symbol STRING, price DOUBLE, timestamp TIMESTAMP"))
+    columns = ["timestamp", F.round("rolling_avg", 9), F.round("rolling_stddev", 9)]
+    assert rows(rolling.results.read(), *columns) == rows(whole, *columns)
+
+
+def test_a_failed_stream_stops_the_others(spark, topic, tmp_path):
+    topic.land(price("a", 1.0, 0))
+
+    def fail(batch, batch_id):
+        raise RuntimeError("broken sink")
+
+    ticks = price_stream(topic.stream(spark))
+    good = ticks.writeStream.option("checkpointLocation", f"{tmp_path}/c1").format("noop").queryName("good").start()
+    bad = ticks.writeStream.option("checkpointLocation", f"{tmp_path}/c2").foreachBatch(fail).queryName("bad").start()
+    with pytest.raises(RuntimeError, match="stream bad failed"):
+        supervised.await_all({"good": good, "bad": bad})
+    assert not good.isActive and not bad.isActive
+
+
+def test_supervision_counts_rows_and_rejects_are_kept(spark, topic, tmp_path):
+    topic.land(price("a", 1.0, 0), price("a", 2.0, 1), "not json")
+    running = start_all(spark, topic.stream(spark), topic.stream(spark), f"{tmp_path}/out", f"{tmp_path}/check", {"availableNow": True})
+    supervised.await_all(running)
+    assert [r.value for r in spark.read.parquet(f"{tmp_path}/out/rejected_prices").collect()] == ["not json"]
+    assert spark.read.parquet(f"{tmp_path}/out/rejected_trades").count() == 1

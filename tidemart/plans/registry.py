@@ -9,13 +9,15 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from tidemart import schemas
 from tidemart.operators import bars, quality, reshape
 from tidemart.plans import (  # noqa: F401
     commerce, market, marts, retail_basic, retail_nested, retail_ranked, star_commerce, star_market,
 )
-from tidemart.plans.retail import QUESTIONS, Retail
+from tidemart.plans.retail import QUESTIONS
 from tidemart.session import fresh_path
 from tidemart.sinks.files import write_csv, write_partitioned
 from tidemart.sinks.keyed import KeyedTable
@@ -23,7 +25,9 @@ from tidemart.sinks.messages import as_messages, message_sink
 from tidemart.sources.csv_tables import read_commerce_table, read_csv
 from tidemart.sources.documents import parse_documents
 from tidemart.sources.relational import after_mark
+from tidemart.sources.streams import text_messages
 from tidemart.streaming import market as live
+from tidemart.streaming import rolling, supervised
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -91,20 +95,6 @@ def _variant(question: str, parameters: dict) -> Query:
     return lambda spark, folder: QUESTIONS[question](marts.retail(spark, folder), **parameters)
 
 
-def _unsold(question: str) -> Query:
-    """The written question on sales of customers and products whose keys are not divisible by seven.
-
-    Every test customer and product has sales; this gives both questions a full answer.
-    """
-
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        shop = marts.retail(spark, folder)
-        sales = shop.sales.filter((F.col("customer_id") % 7 != 0) & (F.col("product_id") % 7 != 0))
-        return QUESTIONS[question](Retail(shop.customers, shop.products, sales, shop.inventory))
-
-    return run
-
-
 def _retail_query(name: str) -> Query:
     return lambda spark, folder: QUESTIONS[name](marts.retail(spark, folder), **PARAMETERS.get(name, {}))
 
@@ -355,24 +345,64 @@ def _stream_messages(spark: SparkSession, folder: str) -> DataFrame:
     return parse_documents(spark.read.text(path), schemas.CONTRACTS["minute_price_avg"].schema).kept
 
 
+def _stepwise(spark: SparkSession, folder: str, start: Callable[[DataFrame], DataStreamWriter]) -> list[StreamingQueryProgress]:
+    """Messages land step by step; the stream runs to the end of each and goes on from its checkpoint."""
+    landing, progress = fresh_path(spark, "landing"), []
+    for step in star_market.landing_steps(spark, folder):
+        step.write.mode("append").text(landing)
+        query = start(live.price_stream(text_messages(spark, landing))).trigger(**_ONCE).start()
+        query.awaitTermination()
+        progress += query.recentProgress
+    return progress
+
+
+def _final(shape: Callable[[DataFrame], DataFrame]) -> Query:
+    """Final rolling statistics of ticks that land in steps, some of them late."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        target = KeyedTable(spark, fresh_path(spark, "final"), schemas.CONTRACTS["volatility_metrics"])
+        checkpoint = fresh_path(spark, "final-checkpoint")
+        _stepwise(spark, folder, lambda ticks: target.sink(shape(ticks), checkpoint))
+        return target.read()
+
+    return run
+
+
+def _corrected(spark: SparkSession, folder: str) -> live.RollingVolatility:
+    corrected = live.RollingVolatility(spark, fresh_path(spark, "corrected"))
+    checkpoint = fresh_path(spark, "corrected-checkpoint")
+    _stepwise(spark, folder, lambda ticks: corrected.writer(ticks, checkpoint))
+    return corrected
+
+
+def _late_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What the progress of the stream with timers says of its rows, beside the rows that it gave out."""
+    target = KeyedTable(spark, fresh_path(spark, "counted"), schemas.CONTRACTS["volatility_metrics"])
+    checkpoint = fresh_path(spark, "counted-checkpoint")
+    progress = _stepwise(spark, folder, lambda ticks: target.sink(rolling.released_volatility(ticks), checkpoint))
+    seen, late = supervised.rows_seen(progress), supervised.rows_late(progress)
+    given = target.read().agg(F.count(F.lit(1)).alias("released_rows"))
+    return given.select(F.lit(seen).alias("input_rows"), F.lit(late).alias("late_rows"), "released_rows")
+
+
 def _four_streams(spark: SparkSession, folder: str) -> DataFrame:
-    """All four market streams at once; rows per stored table."""
+    """All four market streams at once, under supervision; every value of every stored table."""
     target, checkpoints = fresh_path(spark, "market"), fresh_path(spark, "market-checkpoints")
     running = live.start_all(
         spark, star_market.price_messages(spark, folder), star_market.trade_messages(spark, folder),
         target, checkpoints, _ONCE,
     )
-    for query in running.values():
-        query.awaitTermination()
-    counts = [
-        KeyedTable(spark, f"{target}/{name}", schemas.CONTRACTS[name]).read().agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")
-        )
-        for name in running
-    ]
-    result = counts[0]
-    for each in counts[1:]:
-        result = result.unionByName(each)
+    supervised.await_all(running)
+    result = None
+    for name in sorted(set(running) & set(schemas.CONTRACTS)):
+        table = KeyedTable(spark, f"{target}/{name}", schemas.CONTRACTS[name]).read()
+        at = schemas.CONTRACTS[name].key[1]
+        values = [c for c in table.columns if c not in ("symbol", "window_start", "window_end", "timestamp")]
+        long = table.select(
+            F.lit(name).alias("table_name"), "symbol", F.col(at).alias("at"),
+            F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in values))).alias("v"),
+        ).select("table_name", "symbol", "at", "v.*")
+        result = long if result is None else result.unionByName(long)
     return result
 
 
@@ -385,6 +415,11 @@ STREAMS: dict[str, Query] = {
     "stream_latest_prices": lambda s, f: _rolled(s, f).latest.read(),
     "stream_messages": _stream_messages,
     "stream_market": _four_streams,
+    "stream_joined_volatility": _final(rolling.joined_volatility),
+    "stream_released_volatility": _final(rolling.released_volatility),
+    "stream_corrected_volatility": lambda s, f: _corrected(s, f).results.read(),
+    "stream_late_ticks": lambda s, f: _corrected(s, f).late(),
+    "stream_late_counts": _late_counts,
 }
 
 
@@ -396,6 +431,5 @@ def all_queries() -> dict[str, Query]:
     shop = {n: (lambda spark, folder, build=build: build(Shop(spark, folder))) for n, build in COMMERCE.items()}
     retail = {n: _retail_query(n) for n in sorted(QUESTIONS)}
     retail |= {n: _variant(*v) for n, v in VARIANTS.items()}
-    retail |= {"q053_some_without": _unsold("q053"), "q054_some_without": _unsold("q054")}
     named = {**retail, **shop, **MARKET, **STREAMS}
     return {name: _compared(query) for name, query in named.items()}

@@ -55,6 +55,22 @@ def trade_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Message files land in so many steps; every ``LATE``-th tick comes one step late.
+STEPS, LATE = 4, 50
+
+
+def landing_steps(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """All price messages in the steps in which they land: equal parts of the time, some ticks a step late."""
+    events = table(spark, folder, "events")
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    if low is None:
+        return []
+    step = F.floor((at - low) / ((high - low) // STEPS + 1)) + F.when(F.col("event_id") % LATE == 0, 1).otherwise(0)
+    message = _message(F.col("event_type").alias("symbol"), F.col("value").alias("price"))
+    return [events.filter(F.least(step, F.lit(STEPS - 1)) == k).select(message) for k in range(STEPS)]
+
+
 # --- API documents, as JSON text ----------------------------------------------
 
 

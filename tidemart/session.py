@@ -57,10 +57,30 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if there is no such folder."""
+    files, place = _place(spark, path)
+    return sorted(c.getPath().getName() for c in files.listStatus(place)) if files.exists(place) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once no result needs them."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, work_folder(spark))
 
 
 def pin(df: DataFrame, label: str = "pin") -> DataFrame:
