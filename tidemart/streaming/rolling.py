@@ -80,17 +80,37 @@ def seconds_of(us: np.ndarray, price: np.ndarray) -> np.ndarray:
 
 
 def rolled(rows: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and sample deviation of the last ``span`` seconds at each of the rows' seconds."""
+    """Mean and sample deviation of the last ``span`` seconds at each of the rows' seconds.
+
+    A frame is the beginning of its block of ``span + 1`` seconds and the end
+    of the block before. Sums run over each block once, forward and backward,
+    about the block's own level, so nothing is subtracted from longer sums.
+    """
     second, n, mean, m2 = rows.T
-    level = (n * mean).sum() / max(n.sum(), 1)
-    gap = mean - level
-    total = np.concatenate([np.zeros((1, 3)), np.cumsum(np.column_stack([n, n * gap, m2 + n * gap * gap]), axis=0)])
-    first = np.searchsorted(second, second - span)
-    count, s, q = (total[1:] - total[first]).T
-    with np.errstate(divide="ignore", invalid="ignore"):
-        average = np.where(count > 0, level + s / count, np.nan)
-        deviation = np.where(count > 1, np.sqrt(np.maximum(q - s * s / count, 0) / (count - 1)), np.nan)
-    return average, deviation
+    _, first, place = np.unique(second // (span + 1), return_index=True, return_inverse=True)
+    level = np.bincount(place, mean) / np.bincount(place)
+    gap = mean - level[place]
+    moments = np.column_stack([n, n * gap, m2 + n * gap * gap])
+    forward, backward = np.empty_like(moments), np.empty_like(moments)
+    for a, b in zip(first, [*first[1:], len(rows)], strict=True):
+        forward[a:b] = np.cumsum(moments[a:b], axis=0)
+        backward[a:b] = np.cumsum(moments[a:b][::-1], axis=0)[::-1]
+    begin = np.searchsorted(second, second - span)
+    before = np.where((begin < first[place])[:, None], backward[begin], 0.0)
+
+    def part(sums: np.ndarray, about: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        count, s, q = sums.T
+        some = np.maximum(count, 1)
+        return count, about + s / some, np.maximum(q - s * s / some, 0.0)
+
+    (n1, mean1, q1), (n2, mean2, q2) = part(forward, level[place]), part(before, level[place[begin]])
+    count = n1 + n2
+    apart = np.where((n1 > 0) & (n2 > 0), mean2 - mean1, 0.0)
+    some = np.maximum(count, 1)
+    middle = np.where(n1 > 0, mean1 + apart * n2 / some, mean2)
+    spread = q1 + q2 + apart * apart * n1 * n2 / some
+    deviation = np.sqrt(spread / np.maximum(count - 1, 1))
+    return np.where(count > 0, middle, np.nan), np.where(count > 1, deviation, np.nan)
 
 
 class ReleaseInOrder(StatefulProcessor):
