@@ -91,7 +91,7 @@ def test_counts_over_many_chunks(spark):
 def test_nothing_depends_on_what_is_remembered(monkeypatch):
     some = pa.array([t or "" for t in [*EDGES, *texts(100)]], pa.large_string())
     want = alignment.Pair(MERGES, PIECES).align(some)
-    for limits in ({"REMEMBERED": 3}, {"LONG": 0}):
+    for limits in ({"REMEMBERED": 3}, {"WINDOWS": 2}, {"LONG": 0}):
         for name, value in limits.items():
             monkeypatch.setattr(alignment, name, value)
         own = alignment.Pair(MERGES, PIECES)

@@ -53,8 +53,8 @@ from tidemart.session import pin
 
 #: Bytes of text in a chunk, and tokenised at a time.
 CHUNK_BYTES, STEP_BYTES = 16 << 20, 2 << 20
-#: Distinct stretches and windows that a worker remembers, and the bytes of ids in the longest window.
-REMEMBERED, LONG = 300_000, 256
+#: Distinct stretches and windows that a worker remembers, and the ids in the longest window.
+REMEMBERED, WINDOWS, LONG = 250_000, 60_000, 64
 #: A single space that ends a token of both sides: between letters, digits or printable ASCII.
 _CUT = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
 # The setting and the pattern of byte-level pieces.
@@ -86,14 +86,13 @@ class Pair:
             raise ValueError(f"{pieces_path} has pieces with a space after other characters")
         self.bytes = a_bytes, b_bytes
         self.sizes = tuple([len(t) for t in side] for side in self.bytes)
-        self.lengths = tuple(np.array(side, np.int64) for side in self.sizes)
         self.names = [str(i) for i in range(max(map(len, self.bytes)))]
-        self.spaced = tuple(np.array([t[:1] == b" " for t in side]) for side in self.bytes)
-        self.stretches: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.known: dict[tuple[bytes, bytes], tuple[int, str, bytes]] = {}
+        self.spaced = tuple([t[:1] == b" " for t in side] for side in self.bytes)
+        self.stretches: dict[str, tuple[int, int, int, str, bytes] | None] = {}
+        self.known: dict[tuple[tuple[int, ...], tuple[int, ...]], tuple[str, bytes]] = {}
 
     def remember(self, new: list[str]) -> None:
-        """A's and B's packed ids of stretches, and whether both give their bytes back."""
+        """Tokenise, verify and align stretches that are not known yet."""
         spaced = [f" {s}" for s in new]
         quick = [self.plain is not None and s.isascii() for s in new]
         rest = iter(self.a.encode_batch_fast([s for s, q in zip(spaced, quick, strict=True) if not q], add_special_tokens=False))
@@ -101,42 +100,35 @@ class Pair:
         for s, own, q, b in zip(new, spaced, quick, self.b.encode(new, num_threads=1), strict=True):
             a = self.plain(own) if q else next(rest).ids
             content = own.encode()
-            fits = content == b"".join([side_a[i] for i in a]) and content == b"".join([side_b[i] for i in b])
-            self.stretches[s] = array("i", a).tobytes(), array("i", b).tobytes(), fits
-
-    def tokenise(self, texts: list[str]) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-        """Which texts both sides give back; for these texts, ids of A and of B, each with every text's number of tokens.
+            if content == b"".join([side_a[i] for i in a]) == b"".join([side_b[i] for i in b]):
+                groups, links = self.aligned(a, b)
+                self.stretches[s] = len(a), len(b), len(links) // 8, groups, links
+            else:
+                self.stretches[s] = None
+
+    def aligned(self, a: list[int], b: list[int]) -> tuple[str, bytes]:
+        """Groups and links of verified tokens, window by window."""
+        spaced_a, spaced_b = self.spaced
+        if not any([spaced_a[i] for i in a[1:]]):  # no anchor but the end
+            return self.window(tuple(a), tuple(b))
+        size_a, size_b = self.sizes
+        found, ahead, first_a, first_b, at_b = [], 0, 0, 0, 0
+        for at_a, i in enumerate(a, 1):
+            ahead += size_a[i]
+            while ahead > 0:
+                ahead -= size_b[b[at_b]]
+                at_b += 1
+            if not ahead and (at_a == len(a) or spaced_a[a[at_a]] and spaced_b[b[at_b]]):
+                found.append(self.window(tuple(a[first_a:at_a]), tuple(b[first_b:at_b])))
+                first_a, first_b = at_a, at_b
+        return ";".join([groups for groups, _ in found]), b"".join([links for _, links in found])
 
-        Both tokenise the stretches between single spaces apart, so equal ones
-        are tokenised and verified once; A's space stands before a stretch, B
-        adds it.
-        """
-        cut = [_CUT.split(text) if text else [] for text in texts]
-        places: dict[str, int] = {}
-        codes = np.array([places.setdefault(s, len(places)) for own in cut for s in own], np.int64)
-        if new := [s for s in places if s not in self.stretches]:
-            if len(self.stretches) + len(new) > REMEMBERED:
-                self.stretches = {s: self.stretches[s] for s in places if s in self.stretches}
-            self.remember(new)
-        known = [self.stretches[s] for s in places]
-        of = np.repeat(np.arange(len(texts)), [len(own) for own in cut])
-        fails = ~np.array([k[2] for k in known], bool)[codes]
-        fits = np.array([bool(text) for text in texts], bool)
-        fits[of[fails]] = False
-        codes, of = codes[fits[of]], of[fits[of]]
-        sides = []
-        for side in range(2):
-            pieces = [k[side] for k in known]
-            sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-            ids = gather(np.frombuffer(b"".join(pieces), np.int32), sizes, codes)
-            sides.append((ids, np.bincount(of, sizes[codes], len(texts)).astype(np.int64)))
-        return fits, *sides
-
-    def window(self, key: tuple[bytes, bytes]) -> tuple[int, str, bytes]:
-        """Groups of a window, their notation and its links as packed pairs of ids."""
-        a, b = (memoryview(k).cast("i").tolist() for k in key)
+    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, bytes]:
+        """A window's groups in notation, and its links as packed pairs of ids."""
+        if found := self.known.get((a, b)):
+            return found
         groups, links = [], []
-        names, size_a, size_b = self.names, self.sizes[0], self.sizes[1]
+        names, (size_a, size_b) = self.names, self.sizes
         ahead, first_a, first_b, at_b = 0, 0, 0, 0  # bytes by which A's tokens so far go beyond B's
         for at_a, i in enumerate(a, 1):
             ahead += size_a[i]
@@ -150,42 +142,41 @@ class Pair:
                 groups.append(f"{left}|{right}")
                 links.append(i | last << 32)
                 first_a, first_b = at_a, at_b
-        found = len(links), ";".join(groups), array("Q", links).tobytes()
-        if len(key[0]) + len(key[1]) <= LONG:
-            if len(self.known) >= REMEMBERED:
+        found = ";".join(groups), array("Q", links).tobytes()
+        if len(a) + len(b) <= LONG:
+            if len(self.known) >= WINDOWS:
                 self.known.clear()
-            self.known[key] = found
+            self.known[a, b] = found
         return found
 
     def align(self, texts: pa.Array) -> dict[str, np.ndarray | pa.Array]:
-        """Per text: numbers of tokens and groups (as many links) and the groups' notation; all texts' links."""
-        plain = texts.to_pylist()
-        fits, (a, in_a), (b, in_b) = self.tokenise(plain)
-        rows = np.flatnonzero(fits)
-        ends_a, ends_b = np.cumsum(self.lengths[0][a]), np.cumsum(self.lengths[1][b])
-        at = np.searchsorted(ends_b, ends_a)
-        shared = ends_b[np.minimum(at, max(len(b) - 1, 0))] == ends_a if len(b) else np.zeros(0, bool)
-        # A text's first token always begins with the added space, so every text ends at an anchor.
-        i, j = np.flatnonzero(shared), at[shared]
-        anchor = np.append(self.spaced[0][a], True)[i + 1] & np.append(self.spaced[1][b], True)[j + 1]
-        cut_a, cut_b = (np.concatenate(([0], cut[anchor] + 1)) for cut in (i, j))
-        per_text = np.searchsorted(cut_a, np.concatenate(([0], np.cumsum(in_a[rows]))))
-        pieces, distinct, codes = (a.tobytes(), b.tobytes()), {}, []
-        bounds = (4 * cut for cut in (cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:]))
-        for s, e, u, v in zip(*(cut.tolist() for cut in bounds), strict=True):
-            codes.append(distinct.setdefault((pieces[0][s:e], pieces[1][u:v]), len(distinct)))
-        known = self.known
-        windows = [known.get(key) or self.window(key) for key in distinct]
-        codes = np.array(codes, np.int64)
-        notes = pa.array([w[1] for w in windows], pa.string()).take(pa.array(codes))
-        listed = pc.binary_join(pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), notes), ";")
-        sizes = np.array([w[0] for w in windows], np.int64)
-        links = gather(np.frombuffer(b"".join([w[2] for w in windows]), np.uint64), sizes, codes)
-        groups = np.full(len(plain), "", object)
-        groups[rows] = listed.to_numpy(zero_copy_only=False)
-        counts = np.zeros((3, len(plain)), np.int64)
-        counts[:, rows] = in_a[rows], in_b[rows], np.diff(np.concatenate(([0], np.cumsum(sizes[codes])))[per_text])
-        return {"n_a": counts[0], "n_b": counts[1], "n_groups": counts[2], "groups": pa.array(groups, pa.string()), "links": links}
+        """Per text: numbers of tokens and groups (as many links) and the groups' notation; all texts' links.
+
+        Both tokenise the stretches between single spaces apart, and each such
+        space is an anchor, so equal stretches are tokenised, verified and
+        aligned once; A's space stands before a stretch, B adds it.
+        """
+        cut = [_CUT.split(text) if text else [] for text in texts.to_pylist()]
+        places: dict[str, int] = {}
+        codes = np.array([places.setdefault(s, len(places)) for own in cut for s in own], np.int64)
+        if new := [s for s in places if s not in self.stretches]:
+            if len(self.stretches) + len(new) > REMEMBERED:
+                self.stretches = {s: self.stretches[s] for s in places if s in self.stretches}
+            self.remember(new)
+        known = [self.stretches[s] or (0, 0, 0, "", b"") for s in places]
+        of = np.repeat(np.arange(len(cut)), [len(own) for own in cut])
+        fits = np.array([bool(own) for own in cut], bool)
+        fits[of[np.array([k[0] == 0 for k in known], bool)[codes]]] = False
+        codes, of = codes[fits[of]], of[fits[of]]
+        sizes = np.array([k[:3] for k in known], np.int64).reshape(-1, 3)
+        n_a, n_b, n_groups = (np.bincount(of, sizes[codes, c], len(cut)).astype(np.int64) for c in range(3))
+        notes = pa.array([k[3] for k in known], pa.string()).take(pa.array(codes))
+        per_text = np.searchsorted(of, np.arange(len(cut) + 1))
+        return {
+            "n_a": n_a, "n_b": n_b, "n_groups": n_groups,
+            "groups": pc.binary_join(pa.ListArray.from_arrays(pa.array(per_text, pa.int32()), notes), ";"),
+            "links": gather(np.frombuffer(b"".join([k[4] for k in known]), np.uint64), sizes[:, 2], codes),
+        }
 
 
 def _same_merges(path: str) -> Callable[[str], list[int]] | None:
