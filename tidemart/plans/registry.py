@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -375,6 +376,32 @@ def _corrected(spark: SparkSession, folder: str) -> live.RollingVolatility:
     return corrected
 
 
+def _recovered(spark: SparkSession, folder: str) -> DataFrame:
+    """The corrected statistics of a stream that fails in every second batch after its write, before its commit."""
+    corrected = live.RollingVolatility(spark, fresh_path(spark, "recovered"))
+    landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "recovered-checkpoint")
+    failed: set[int] = set()
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        corrected.process(batch, batch_id)
+        if batch_id % 2 == 0 and batch_id not in failed:
+            failed.add(batch_id)
+            raise RuntimeError(f"batch {batch_id} is lost before its commit")
+
+    for step in star_market.landing_steps(spark, folder):
+        step.write.mode("append").text(landing)
+        while True:
+            ticks = live.price_stream(text_messages(spark, landing)).writeStream.foreachBatch(process)
+            known = len(failed)
+            try:
+                ticks.option("checkpointLocation", checkpoint).trigger(**_ONCE).start().awaitTermination()
+                break
+            except StreamingQueryException:
+                if len(failed) == known:  # not the fault above
+                    raise
+    return corrected.results.read()
+
+
 def _late_counts(spark: SparkSession, folder: str) -> DataFrame:
     """What the progress of the stream with timers says of its rows, beside the rows that it gave out."""
     target = KeyedTable(spark, fresh_path(spark, "counted"), schemas.CONTRACTS["volatility_metrics"])
@@ -418,6 +445,7 @@ STREAMS: dict[str, Query] = {
     "stream_joined_volatility": _final(rolling.joined_volatility),
     "stream_released_volatility": _final(rolling.released_volatility),
     "stream_corrected_volatility": lambda s, f: _corrected(s, f).results.read(),
+    "stream_recovered_volatility": _recovered,
     "stream_late_ticks": lambda s, f: _corrected(s, f).late(),
     "stream_late_counts": _late_counts,
 }
