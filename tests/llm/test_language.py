@@ -1,5 +1,11 @@
 """Language profiles: held-out accuracy, and the rules for odd texts."""
 
+import subprocess
+import sys
+
+import numpy as np
+import pyarrow as pa
+
 from tidemart.llm import language, queries
 from tidemart.llm.text import table
 
@@ -37,6 +43,38 @@ def test_nothing_learned_and_no_rows(spark):
 
 
 def test_counts_of_a_text_do_not_depend_on_its_neighbours():
-    alone, among = language.Grams(["ab  c"]), language.Grams(["xx", "ab, c", "...", "ab c"])
-    assert sorted(alone.texts[0][1].tolist()) == sorted(among.texts[1][1].tolist()) == sorted(among.texts[3][1].tolist())
-    assert len(among.texts[2][0]) == 0
+    alone, _ = language.counted([" ab  c "])
+    among, _ = language.counted([" xx ", " ab, c ", " ... ", " ab c "])
+    assert alone[0][1].tolist() == among[1][1].tolist() == among[3][1].tolist()
+    assert alone[0][0].tolist() == among[1][0].tolist() and len(among[2][0]) == 0
+
+
+def test_parts_and_blocks_change_nothing(monkeypatch):
+    texts = pa.array(["Ein Hund, ΟΔΟΣ und İ 日本語" * 9, "", "the dog...  " * 20, "x", "..." * 30], pa.large_string())
+    whole = {}
+    for start, counts in language.steps(texts):
+        whole.update({start + k: v for k, v in enumerate(language.bundle(counts))})
+    for step, block in ((7, 3), (40, 5)):
+        monkeypatch.setattr(language, "STEP_BYTES", step)
+        monkeypatch.setattr(language, "BLOCK", block)
+        parts = {k: np.zeros(language.DIMENSIONS) for k in whole}
+        for start, counts in language.steps(texts):
+            for k, vector in enumerate(language.bundle(counts)):
+                parts[start + k] += vector
+        assert all((parts[k] == whole[k]).all() for k in whole)
+
+
+def test_a_text_of_100_mb_takes_a_bounded_amount_of_memory():
+    code = """
+import numpy as np, pyarrow as pa, resource
+from tidemart.llm import language
+word = np.random.default_rng(1).integers(97, 123, (1 << 20, 5), np.uint8)
+word[:, 4] = 32
+texts = pa.array([word.tobytes() * 20], pa.large_binary()).cast(pa.large_string())
+del word
+total = sum(language.bundle(counts)[0] for _, counts in language.steps(texts))
+assert len(total) == language.DIMENSIONS and np.linalg.norm(total) > 0
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(done.stdout.split()[-1]) < 500

@@ -8,7 +8,9 @@ text's language is the prototype with the greatest cosine.
 
 Texts are lower-cased; whatever is not a letter is a gap, and gaps count as
 one. Bundling is linear, so learning sums n-gram counts per language in each
-task and binds once; Spark then sums the languages' vectors by dimension.
+step; Spark then sums the languages' vectors by dimension. For the same reason
+a very long text is taken in parts whose vectors are added: memory is that of
+a step of text and a block of n-gram vectors, whatever the text's length.
 
 Nulls and texts without letters have language ``und`` and score 0, as has
 every text if nothing could be learned. Texts or languages that are null are
@@ -37,8 +39,12 @@ GRAM = 3
 SEED = 6
 #: Languages whose prototypes are sent to every task; more than these are refused.
 LANGUAGES = 4096
-#: Bytes of text taken at a time.
-STEP_BYTES = 4 << 20
+#: Bytes of text taken at a time; a row counts for some bytes besides, as it has a vector.
+STEP_BYTES, ROW_BYTES = 1 << 20, 1 << 10
+#: N-grams whose vectors are bound at a time.
+BLOCK = 4096
+#: What stands for whatever is not a letter, and bits of a code point in an n-gram's number.
+GAP, CODE_BITS = 32, 21
 
 
 @functools.lru_cache(maxsize=20_000)
@@ -52,68 +58,113 @@ def is_letter(code: int) -> bool:
     return chr(code).isalpha()
 
 
-class Grams:
-    """The distinct n-grams of some texts with their vectors, and each text's counts of them."""
-
-    def __init__(self, texts: list[str]) -> None:
-        padded = [f" {t.lower()} " for t in texts]
-        codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
-        seen = np.flatnonzero(np.bincount(codes)) if len(codes) else np.empty(0, np.int64)
-        alphabet = [32, *(int(c) for c in seen if is_letter(int(c)))]
-        places = np.zeros(int(seen[-1]) + 1 if len(seen) else 1, np.int64)
-        places[alphabet[1:]] = np.arange(1, len(alphabet))
-        marks = places[codes]
-        keep = np.ones(len(marks), bool)
-        keep[1:] = (marks[1:] > 0) | (marks[:-1] > 0)
-        before = np.concatenate(([0], np.cumsum(keep)))
-        ends = before[np.concatenate(([0], np.cumsum([len(t) for t in padded]))).astype(np.int64)]
-        marks, base = marks[keep], len(alphabet)
-        grams = marks[:max(0, len(marks) - GRAM + 1)].copy()
-        for k in range(1, GRAM):
-            grams = grams * base + marks[k:k + len(grams)]
-        self.texts = []
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
-            # A text begins and ends with a gap, which the text before it may have given.
-            a = max(0, a - 1)
-            own = np.unique(grams[a:max(a, b - GRAM + 1)], return_counts=True)
-            self.texts.append(own if marks[a:b].any() else (own[0][:0], own[1][:0]))
-        self.distinct = np.unique(np.concatenate([g for g, _ in self.texts])) if self.texts else grams[:0]
-        table = np.stack([letter(c) for c in alphabet])
-        vectors = np.ones((len(self.distinct), DIMENSIONS), np.int8)
-        rest = self.distinct
-        for k in range(GRAM):
-            rest, place = np.divmod(rest, base)
-            vectors *= np.roll(table, k, axis=1)[place]
-        self.vectors = vectors.astype(np.float32)
-
-    def counted(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        grams, counts = self.texts[k]
-        return np.searchsorted(self.distinct, grams), counts.astype(np.float32)
+#: The distinct n-grams of a text in order, and how often each occurs.
+Counts = tuple[np.ndarray, np.ndarray]
+
+
+def lowered(text: str) -> str:
+    # Lower case depends on a letter's neighbours for this letter alone; so texts may be cut anywhere.
+    return text.replace("\u03a3", "\u03c3").lower()
+
+
+def counted(padded: list[str]) -> tuple[list[Counts], np.ndarray]:
+    """N-grams of texts that begin and end with a gap, and the letters and gaps of all of them."""
+    codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32)
+    if not len(codes):
+        return [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in padded], np.empty(0, np.int64)
+    seen = np.flatnonzero(np.bincount(codes))
+    letters = np.full(int(seen[-1]) + 1, GAP, np.int64)
+    known = [int(c) for c in seen if is_letter(int(c))]
+    letters[known] = known
+    marks = letters[codes]
+    keep = np.ones(len(marks), bool)
+    keep[1:] = (marks[1:] != GAP) | (marks[:-1] != GAP)
+    before = np.concatenate(([0], np.cumsum(keep)))
+    ends = before[np.cumsum([0, *map(len, padded)])]
+    marks = marks[keep]
+    grams = marks[:max(0, len(marks) - GRAM + 1)].copy()
+    for k in range(1, GRAM):
+        grams = (grams << CODE_BITS) | marks[k:k + len(grams)]
+    counts = []
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        # The gap that a text begins with may be the one that ends the text before it.
+        a = max(0, a - 1)
+        counts.append(np.unique(grams[a:max(a, b - GRAM + 1)], return_counts=True))
+    return counts, marks
+
+
+def steps(texts: pa.Array) -> Iterator[tuple[int, list[Counts]]]:
+    """N-gram counts of neighbouring texts, with the first one's row.
+
+    A text longer than a step comes in several steps, each with its row; the
+    last letters of one step stand before the next, so no n-gram is lost.
+    """
+    sizes = np.asarray(pc.binary_length(texts))
+    for start, end in slices(sizes + ROW_BYTES, STEP_BYTES):
+        if end - start > 1 or sizes[start] <= STEP_BYTES:
+            yield start, counted([f" {lowered(t)} " for t in strings(texts.slice(start, end - start))])[0]
+            continue
+        data, at, before = memoryview(texts[start].as_buffer()), 0, " "
+        while at < len(data):
+            to = min(len(data), at + STEP_BYTES)
+            while to < len(data) and data[to] & 0xC0 == 0x80:  # inside a character
+                to -= 1
+            after = " " if to == len(data) else ""
+            counts, marks = counted([before + lowered(str(data[at:to], "utf-8")) + after])
+            yield start, counts
+            before, at = "".join(map(chr, marks[1 - GRAM:])), to
+
+
+def bind(grams: np.ndarray) -> np.ndarray:
+    """The vectors of n-grams: their letters' vectors, rotated by the distance from the end and multiplied."""
+    vectors = np.ones((len(grams), DIMENSIONS), np.int8)
+    for k in range(GRAM):
+        letters, place = np.unique((grams >> (CODE_BITS * k)) & ((1 << CODE_BITS) - 1), return_inverse=True)
+        vectors *= np.roll(np.stack([letter(int(c)) for c in letters]), k, axis=1)[place]
+    return vectors.astype(np.float32)
+
+
+def bundle(texts: list[Counts]) -> np.ndarray:
+    """A vector per text: the sum of its n-grams' vectors, which are bound in blocks and not kept."""
+    sums = np.zeros((len(texts), DIMENSIONS))
+    distinct = np.unique(np.concatenate([g for g, _ in texts])) if texts else np.empty(0, np.int64)
+    for at in range(0, len(distinct), BLOCK):
+        block = distinct[at:at + BLOCK]
+        vectors = bind(block)
+        for k, (grams, counts) in enumerate(texts):
+            a, b = np.searchsorted(grams, (block[0], block[-1] + 1))
+            if a < b:
+                sums[k] += counts[a:b].astype(np.float32) @ vectors[np.searchsorted(block, grams[a:b])]
+    return sums
+
+
+def merged(texts: list[Counts]) -> Counts:
+    """The counts of several texts as those of one."""
+    grams, place = np.unique(np.concatenate([g for g, _ in texts]), return_inverse=True)
+    return grams, np.bincount(place, np.concatenate([c for _, c in texts]), len(grams)).astype(np.int64)
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:
     """Prototypes of the languages of ``docs``: one vector per language, summed over all rows."""
 
-    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            texts, langs = texts_of(batch), column(batch, "lang").to_pylist()
-            for start, end in slices(np.asarray(pc.binary_length(texts)), STEP_BYTES):
-                grams = Grams(strings(texts.slice(start, end - start)))
-                counts: dict[str, np.ndarray] = {}
-                for k in range(end - start):
-                    of = counts.setdefault(langs[start + k], np.zeros(len(grams.distinct), np.float32))
-                    rows, seen = grams.counted(k)
-                    of[rows] += seen
-                for name, of in counts.items():
-                    sums[name] = sums.get(name, 0) + (of @ grams.vectors).astype(np.float64)
+            langs = column(batch, "lang").to_pylist()
+            for start, texts in steps(texts_of(batch)):
+                of: dict[str, list[Counts]] = {}
+                for k, counts in enumerate(texts):
+                    of.setdefault(langs[start + k], []).append(counts)
+                vectors = bundle([merged(counts) for counts in of.values()])
+                for name, vector in zip(of, vectors, strict=True):
+                    sums[name] = sums.get(name, 0) + vector
         if sums:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums)), pa.array(list(sums.values()), pa.list_(pa.float64()))], ["lang", "vector"]
             )
 
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).dropna()
-    parts = rows.mapInArrow(bundle, "lang string, vector array<double>")
+    parts = rows.mapInArrow(summed, "lang string, vector array<double>")
     by_place = parts.select("lang", F.posexplode("vector").alias("place", "value"))
     sums = by_place.groupBy("lang", "place").agg(F.sum("value").alias("value"))
     vectors = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("vector"))
@@ -129,25 +180,28 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     units = np.stack([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-300) for n in names]) if names else None
     docs = docs.drop("lang_pred", "score")
 
+    def told(vectors: np.ndarray) -> Iterator[tuple[str, float]]:
+        if units is None:
+            yield from [(UNKNOWN, 0.0)] * len(vectors)
+            return
+        sizes = np.linalg.norm(vectors, axis=1)
+        cosines = (vectors @ units.T) / np.maximum(sizes, 1e-300)[:, None]
+        for size, row, best in zip(sizes, cosines, np.argmax(cosines, axis=1), strict=True):
+            yield (names[best], min(1.0, max(0.0, float(row[best])))) if size > 0 else (UNKNOWN, 0.0)
+
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, preds, scores = texts_of(batch, text), [], []
-            for start, end in slices(np.asarray(pc.binary_length(texts)), STEP_BYTES):
-                grams = Grams(strings(texts.slice(start, end - start)))
-                along = grams.vectors @ units.T.astype(np.float32) if names else None
-                for k in range(end - start):
-                    rows, seen = grams.counted(k)
-                    size = float(np.linalg.norm(seen @ grams.vectors[rows])) if names and len(rows) else 0.0
-                    if size > 0:
-                        cosines = (seen @ along[rows]) / size
-                        best = int(np.argmax(cosines))
-                        preds.append(names[best])
-                        scores.append(min(1.0, max(0.0, float(cosines[best]))))
-                    else:
-                        preds.append(UNKNOWN)
-                        scores.append(0.0)
+            found: list[tuple[str, float]] = []
+            rest = None
+            for start, counts in steps(texts_of(batch, text)):
+                vectors = bundle(counts)
+                if start < len(found):  # more of a long text
+                    vectors[0] += rest
+                    found.pop()
+                rest = vectors[-1]
+                found.extend(told(vectors))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(preds, pa.string()), pa.array(scores, pa.float64())],
+                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
                 [*batch.schema.names, "lang_pred", "score"],
             )
 

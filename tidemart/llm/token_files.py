@@ -48,9 +48,9 @@ CHECKSUMS_PRESENT = 0x80
 #: Bytes of token ids, uncompressed, after which a new file begins.
 FILE_BYTES = 32 << 20
 #: Bytes of text encoded at a time.
-STEP_BYTES = 16 << 20
-#: Distinct words whose ids a worker remembers.
-REMEMBERED = 600_000
+STEP_BYTES = 4 << 20
+#: Distinct words whose ids a task remembers, at most.
+REMEMBERED = 200_000
 #: A word without special tokens' signs that ends in ASCII punctuation after a letter or digit.
 _TAIL = r"^([^<|]*[a-z0-9])[!-/:-@\[-`{-~]+$"
 
@@ -75,21 +75,27 @@ class WordEncoder:
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
+    def _remembered(self, word: str) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
+            if len(self.known) >= REMEMBERED:
+                self.forget()
+            ids = self.known[word] = self._ids(word)
+        return ids
+
+    def forget(self) -> None:
+        """Give back what words took; a worker that Spark uses again does other work next."""
+        self.known = {"": b""}
+
     def distinct(self, words: pa.Array) -> list[bytes]:
         # The strings of special tokens count as they are written.
         lower = pc.if_else(pc.match_substring(words, "<|"), words, pc.ascii_lower(words))
         heads = strings(pc.replace_substring_regex(lower, _TAIL, r"\1"))
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known, found = self.known, []
+        found = []
         for head, word in zip(heads, strings(lower), strict=True):
-            if (ids := known.get(head)) is None:
-                ids = known[head] = self._ids(head)
+            ids = self._remembered(head)
             if len(head) < len(word):
-                tail = word[len(head):]
-                if (more := known.get(tail)) is None:
-                    more = known[tail] = self._ids(tail)
-                ids += more
+                ids += self._remembered(word[len(head):])
             found.append(ids)
         return found
 
@@ -170,7 +176,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
         ids: list[int | None] = []
         documents: list[bytes] = []
         held = 0
-        encode = encoder(tokenizer).encode
+        own = encoder(tokenizer)
 
         def row() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([pack_file((part, number), ids, documents)], pa.binary())], ["blob"])
@@ -178,7 +184,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
         for batch in batches:
             keys, texts = column(batch, "key").to_pylist(), texts_of(batch)
             for start, end in slices(np.asarray(pc.binary_length(texts)), STEP_BYTES):
-                tokens, bounds = encode(texts.slice(start, end - start), end_id)
+                tokens, bounds = own.encode(texts.slice(start, end - start), end_id)
                 for k in range(end - start):
                     documents.append(tokens[bounds[k]:bounds[k + 1]].astype("<u4").tobytes())
                     ids.append(keys[start + k])
@@ -188,6 +194,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, *
                         ids, documents, held, number = [], [], 0, number + 1
         if documents:
             yield row()
+        own.forget()
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("key"), F.col(f"`{text_column}`").alias("text"))
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
