@@ -129,7 +129,7 @@ _BODIES = {
 # The batch job's outputs answer the same questions, through CSV files.
 _BODIES |= {f"batch_{name}": _BODIES[name] for name in (
     "customer_spend_rank", "rolling_order_count", "return_by_category", "return_by_tier", "top_refund_customers",
-    "enriched_orders", "orphaned_items", "returns_enriched", "rejected_orders",
+    "enriched_orders", "orphaned_items", "returns_enriched", "rejected_orders", "reject_counts",
 )}
 
 

@@ -11,7 +11,8 @@ from tidemart.session import clear_work, fresh_path, pin, shared_folder
 from tidemart.sinks.files import write_csv, write_partitioned, write_rejects, write_summaries, write_table
 from tidemart.sinks.keyed import KeyedTable, of_symbols, recent
 from tidemart.sinks.messages import as_messages, publish, table_append
-from tidemart.sources.csv_tables import read_commerce_folder, read_csv
+from tidemart.sources.csv_tables import land, read_commerce_folder, read_csv
+from tidemart.sources.keyset import BEFORE, KeysetSource, keyset_stream
 from tidemart.sources.relational import (
     KeysetReader, after_mark, jdbc_table, literal_table, register, replay, retail_from_parquet,
 )
@@ -75,10 +76,26 @@ def test_writes_replace(spark, rows, tmp_path):
     assert (tmp_path / "summary_x" / "_SUCCESS").exists()
 
 
-def test_rejects_only_where_any(spark, tmp_path):
-    some = spark.createDataFrame([(None, 1)], "k STRING, v INT")
-    assert write_rejects({"some": some, "none": some.limit(0)}, str(tmp_path)) == ["some"]
-    assert (tmp_path / "rejected" / "some").exists() and not (tmp_path / "rejected" / "none").exists()
+def test_rejects_only_where_any(spark, rows, tmp_path):
+    intake = read_commerce_folder(spark, commerce_folder(tmp_path))
+    assert set(intake.rejected) == {"customers"}
+    write_rejects(intake.rejected, str(tmp_path))
+    assert (tmp_path / "rejected" / "customers").exists() and not (tmp_path / "rejected" / "orders").exists()
+
+
+def test_text_is_parsed_once(spark, rows, tmp_path):
+    """After landing, neither rows nor counts need the CSV file; an empty table lands too."""
+    folder = commerce_folder(tmp_path)
+    intake = read_commerce_folder(spark, folder)
+    for name in COMMERCE:
+        (tmp_path / f"{name}.csv").write_text("gone\n")
+    assert rows(intake.rejects())[0] == ("customers", 3, 1)
+    assert rows(intake.kept["customers"], "customer_id") == [("C1",), ("C2",)]
+    assert rows(intake.rejected["customers"], "customer_tier") == [("Gold",)]
+    plan = intake.rejected["customers"]._jdf.queryExecution().toString()
+    assert "IsNull(customer_id)" in plan and "csv" not in plan.lower().replace("csv-customers", "")
+    nothing = land(spark.createDataFrame([], COMMERCE["orders"]), "order_id", "nothing")
+    assert (nothing.row_count, nothing.rejected_count, nothing.kept.count()) == (0, 0, 0)
 
 
 LATEST = CONTRACTS["latest_prices"]
@@ -190,3 +207,49 @@ def test_csv_folder_with_columns_in_different_orders(spark, rows, tmp_path):
     (tmp_path / "c.csv").write_text("email,customer_id\nd@x,C4\n")
     got = read_csv(spark, str(tmp_path), schema(customer_id=STRING, email=STRING))
     assert rows(got) == [("C1", "a@x"), ("C2", "b@x"), ("C3", None), ("C4", "d@x")]
+
+
+def keyed(spark, *ids):
+    return spark.createDataFrame([(i, f"v{i}", dt.datetime(2024, 1, 1)) for i in ids], "id LONG, v STRING, at TIMESTAMP")
+
+
+def test_keyset_ranges(spark, tmp_path):
+    """Offsets follow the largest key; a range is cut by row groups and read whole."""
+    path = f"{tmp_path}/t"
+    schema = keyed(spark).schema
+
+    def reader(**options):
+        return KeysetSource({"path": path, "key": "id", **options}).streamReader(schema)
+
+    assert reader().latestOffset() == reader().initialOffset() == {"key": BEFORE}
+    assert reader().partitions({"key": BEFORE}, {"key": BEFORE}) == []
+    keyed(spark, *range(40), None).repartition(4).write.parquet(path)
+    (tmp_path / "t" / "_temporary").mkdir()
+    (tmp_path / "t" / "_temporary" / "half.parquet").write_text("not yet")
+    first = reader(rows_per_task="1")
+    assert first.latestOffset() == {"key": 39}
+    parts = first.partitions({"key": 5}, {"key": 39})
+    assert len(parts) == 4
+    got = [r["id"] for part in parts for batch in first.read(part) for r in batch.to_pylist()]
+    assert sorted(got) == list(range(6, 40))
+    assert len(reader().partitions({"key": 5}, {"key": 39})) == 1
+    with pytest.raises(ValueError, match="again"):
+        first.partitions({"key": 50}, {"key": 39})
+    with pytest.raises(ValueError, match="whole number"):
+        KeysetSource({"path": path, "key": "v"}).streamReader(schema)
+
+
+def test_keyset_stream_goes_on_from_its_checkpoint(spark, rows, tmp_path):
+    path, out = f"{tmp_path}/t", f"{tmp_path}/out"
+
+    def run(**options):
+        stream = keyset_stream(spark, path, keyed(spark).schema, "id", **options).select("id", "v")
+        writer = stream.writeStream.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True)
+        writer.format("parquet").start(out).awaitTermination()
+        return [r[0] for r in rows(spark.read.schema("id LONG, v STRING").parquet(out), "id")]
+
+    keyed(spark, -3, 1, 2, 7).write.parquet(path)
+    assert run(after=-3) == [1, 2, 7]
+    assert run() == [1, 2, 7]
+    keyed(spark, 8, 9, None).write.mode("append").parquet(path)
+    assert run() == [1, 2, 7, 8, 9]

@@ -7,10 +7,13 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.scalars import mixed_date
+from tidemart.schemas import (
+    COMMERCE_ALSO_REQUIRED, COMMERCE_DATES, COMMERCE_KEYS, COMMERCE_LOWERED, COMMERCE_NOT_BELOW_ZERO,
+)
 
 
 class Split(NamedTuple):
@@ -35,10 +38,13 @@ class Rule:
 
 
 RULES: Mapping[str, Rule] = {
-    "orders": Rule(dates=("order_date",), required=("order_id", "customer_id"), flag_below_zero="total_amount"),
-    "order_items": Rule(required=("item_id",)),
-    "customers": Rule(dates=("signup_date",), lowered=("customer_tier",), required=("customer_id",)),
-    "returns": Rule(dates=("return_date",), required=("return_id",)),
+    name: Rule(
+        COMMERCE_DATES.get(name, ()),
+        COMMERCE_LOWERED.get(name, ()),
+        (key, *COMMERCE_ALSO_REQUIRED.get(name, ())),
+        COMMERCE_NOT_BELOW_ZERO.get(name),
+    )
+    for name, key in COMMERCE_KEYS.items()
 }
 
 
@@ -80,13 +86,14 @@ def too_long(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return counts.unpivot([], list(limits), "column_name", "too_long")
 
 
+def reject_measures(key: str) -> tuple[Column, Column]:
+    """How many rows there are, and how many of them lack the key."""
+    return F.count(F.lit(1)).alias("row_count"), F.count_if(F.col(key).isNull()).alias("rejected_count")
+
+
 def reject_counts(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows and rejected rows per table, one pass over each."""
-    parts = [
-        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
-               F.count_if(F.col(key).isNull()).alias("rejected_count"))
-        for name, (df, key) in tables.items()
-    ]
+    parts = [df.agg(F.lit(name).alias("table_name"), *reject_measures(key)) for name, (df, key) in tables.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

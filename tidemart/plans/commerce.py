@@ -179,9 +179,11 @@ def summarise(enriched: DataFrame, returns: DataFrame) -> Summaries:
 def run_batch(spark: SparkSession, data_dir: str, output_dir: str) -> DataFrame:
     """The whole job from CSV folder to output folder; returns the reject counts.
 
-    Orders and items are cleaned once, enriched orders and returns written
-    once, and every summary reads those back: the CSV files are parsed and the
-    joins run one time, and each summary scans only its columns.
+    Each CSV file is parsed once, by the pass that writes it as Parquet and
+    counts its rows and rejects. Orders and items are cleaned once, enriched
+    orders and returns written once, and every summary reads those back, so the
+    joins run one time and each summary scans only its columns. Rejected orders
+    and items are written where their counts are above zero.
     """
     intake = read_commerce_folder(spark, data_dir)
     tables = clean_tables(intake.kept)
@@ -199,7 +201,8 @@ def run_batch(spark: SparkSession, data_dir: str, output_dir: str) -> DataFrame:
     returns = spark.read.schema(returns.schema).parquet(f"{output_dir}/returns_enriched")
 
     write_summaries(summarise(enriched, returns)._asdict(), output_dir, SMALL)
-    write_rejects({f"rejected_{n}": intake.rejected[n] for n in ("orders", "order_items")}, output_dir)
+    written = ("orders", "order_items")
+    write_rejects({f"rejected_{n}": df for n, df in intake.rejected.items() if n in written}, output_dir)
     return intake.rejects()
 
 

@@ -20,11 +20,12 @@ from tidemart.plans import (  # noqa: F401
 )
 from tidemart.plans.retail import QUESTIONS
 from tidemart.session import fresh_path
-from tidemart.sinks.files import write_csv, write_partitioned
+from tidemart.sinks.files import write_csv, write_partitioned, write_table
 from tidemart.sinks.keyed import KeyedTable
 from tidemart.sinks.messages import as_messages, message_sink
 from tidemart.sources.csv_tables import read_commerce_table, read_csv
 from tidemart.sources.documents import parse_documents
+from tidemart.sources.keyset import keyset_stream
 from tidemart.sources.relational import after_mark
 from tidemart.sources.streams import text_messages
 from tidemart.streaming import market as live
@@ -156,7 +157,7 @@ def _batch(shop: Shop) -> str:
         source, target = fresh_path(shop.spark, "shop-in"), fresh_path(shop.spark, "shop-out")
         for name in star_commerce.RAW:
             write_csv(shop.raw(name), f"{source}/{name}.csv")
-        commerce.run_batch(shop.spark, source, target)
+        write_table(commerce.run_batch(shop.spark, source, target), f"{target}/reject_counts")
         _BATCHES[key] = target
     return _BATCHES[key]
 
@@ -218,6 +219,7 @@ COMMERCE: dict[str, Callable[[Shop], DataFrame]] = {
     "top_refund_customers": lambda s: commerce.top_refunds(s.returns()),
     "commerce_batch": _summary("category_revenue_share"),
     **{f"batch_{name}": _summary(name) for name in _SUMMARIES if name != "category_revenue_share"},
+    "batch_reject_counts": _stored("reject_counts"),
     "batch_enriched_orders": _stored("enriched"),
     "batch_orphaned_items": _stored("orphaned_items"),
     "batch_returns_enriched": _stored("returns_enriched"),
@@ -376,32 +378,55 @@ def _corrected(spark: SparkSession, folder: str) -> live.RollingVolatility:
     return corrected
 
 
-def _recovered(spark: SparkSession, folder: str) -> DataFrame:
-    """The corrected statistics of a stream that fails in every second batch after its write, before its commit."""
-    corrected = live.RollingVolatility(spark, fresh_path(spark, "recovered"))
-    landing, checkpoint = fresh_path(spark, "landing"), fresh_path(spark, "recovered-checkpoint")
+def _through_faults(process: Callable[[DataFrame, int], None], checkpoint: str) -> Callable[[DataFrame], None]:
+    """Runs a stream to its end, failing once in every second batch after its write and before its commit."""
     failed: set[int] = set()
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        corrected.process(batch, batch_id)
+    def failing(batch: DataFrame, batch_id: int) -> None:
+        process(batch, batch_id)
         if batch_id % 2 == 0 and batch_id not in failed:
             failed.add(batch_id)
             raise RuntimeError(f"batch {batch_id} is lost before its commit")
 
-    for step in star_market.landing_steps(spark, folder):
-        step.write.mode("append").text(landing)
+    def run(rows: DataFrame) -> None:
         while True:
-            ticks = live.price_stream(text_messages(spark, landing)).writeStream.foreachBatch(process)
             known = len(failed)
             try:
-                ticks.option("checkpointLocation", checkpoint).trigger(**_ONCE).start().awaitTermination()
-                break
+                writer = rows.writeStream.foreachBatch(failing).option("checkpointLocation", checkpoint)
+                return writer.trigger(**_ONCE).start().awaitTermination()
             except StreamingQueryException:
                 if len(failed) == known:  # not the fault above
                     raise
+
+    return run
+
+
+def _recovered(spark: SparkSession, folder: str) -> DataFrame:
+    """The corrected statistics of a stream that loses every second batch's commit."""
+    corrected = live.RollingVolatility(spark, fresh_path(spark, "recovered"))
+    landing, run = fresh_path(spark, "landing"), _through_faults(corrected.process, fresh_path(spark, "recovered-checkpoint"))
+    for step in star_market.landing_steps(spark, folder):
+        step.write.mode("append").text(landing)
+        run(live.price_stream(text_messages(spark, landing)))
     return corrected.results.read()
 
 
+def _replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Ticks read by their key as their table grows, by a stream that loses every second batch's commit."""
+    source, target = fresh_path(spark, "keyed-ticks"), fresh_path(spark, "replayed-ticks")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_table(batch, f"{target}/batch={batch_id}")
+
+    run = _through_faults(write, fresh_path(spark, "replayed-checkpoint"))
+    ticks = star_market.ticks(spark, folder)
+    for step in star_market.key_steps(ticks):
+        step.write.mode("append").parquet(source)
+        run(keyset_stream(spark, source, ticks.schema, "id"))
+    stored = spark.read.schema(T.StructType([*ticks.schema.fields, T.StructField("batch", T.LongType())])).parquet(target)
+    return stored.select(*ticks.columns)
+
+
 def _late_counts(spark: SparkSession, folder: str) -> DataFrame:
     """What the progress of the stream with timers says of its rows, beside the rows that it gave out."""
     target = KeyedTable(spark, fresh_path(spark, "counted"), schemas.CONTRACTS["volatility_metrics"])
@@ -446,6 +471,7 @@ STREAMS: dict[str, Query] = {
     "stream_released_volatility": _final(rolling.released_volatility),
     "stream_corrected_volatility": lambda s, f: _corrected(s, f).results.read(),
     "stream_recovered_volatility": _recovered,
+    "stream_keyset_replay": _replayed,
     "stream_late_ticks": lambda s, f: _corrected(s, f).late(),
     "stream_late_counts": _late_counts,
 }

@@ -71,6 +71,15 @@ def landing_steps(spark: SparkSession, folder: str) -> list[DataFrame]:
     return [events.filter(F.least(step, F.lit(STEPS - 1)) == k).select(message) for k in range(STEPS)]
 
 
+def key_steps(rows: DataFrame, key: str = "id") -> list[DataFrame]:
+    """``rows`` in the steps in which their table grows: equal parts of the keys."""
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return [rows]
+    step = F.floor((F.col(key) - low) / ((high - low) // STEPS + 1))
+    return [rows.filter(step == k) for k in range(STEPS)]
+
+
 # --- API documents, as JSON text ----------------------------------------------
 
 

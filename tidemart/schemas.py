@@ -59,6 +59,14 @@ COMMERCE = {
 }
 COMMERCE_KEYS = {"orders": "order_id", "order_items": "item_id", "customers": "customer_id", "returns": "return_id"}
 
+# What cleaning does to which columns, beside requiring the key.
+COMMERCE_DATES = {"orders": ("order_date",), "customers": ("signup_date",), "returns": ("return_date",)}
+COMMERCE_LOWERED = {"customers": ("customer_tier",)}
+COMMERCE_ALSO_REQUIRED = {"orders": ("customer_id",)}
+COMMERCE_NOT_BELOW_ZERO = {"orders": "total_amount"}
+
+REJECT_COUNTS = schema(table_name=STRING, row_count=BIGINT, rejected_count=BIGINT)
+
 # --- market messages --------------------------------------------------------
 PRICE_MESSAGE = schema(symbol=STRING, price=DOUBLE, timestamp=STRING)
 TRADE_MESSAGE = schema(symbol=STRING, price=DOUBLE, quantity=DOUBLE, timestamp=STRING)

@@ -33,9 +33,7 @@ def write_summaries(tables: Mapping[str, DataFrame], folder: str, small: frozens
         write_csv(df, f"{folder}/summary_{name}", single_file=name in small)
 
 
-def write_rejects(tables: Mapping[str, DataFrame], folder: str) -> list[str]:
-    """Rejected rows per table, only where there are any; the names written."""
-    written = [name for name, df in tables.items() if not df.isEmpty()]
-    for name in written:
-        write_csv(tables[name], f"{folder}/rejected/{name}")
-    return written
+def write_rejects(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Rejected rows per table; the caller names only tables that have some."""
+    for name, df in tables.items():
+        write_csv(df, f"{folder}/rejected/{name}")

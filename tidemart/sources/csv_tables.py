@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemart.operators.quality import Split, reject_counts, split_on_key
-from tidemart.schemas import COMMERCE, COMMERCE_KEYS
+from tidemart.operators.quality import Split, reject_measures, split_on_key
+from tidemart.schemas import COMMERCE, COMMERCE_KEYS, REJECT_COUNTS
+from tidemart.session import pin
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -56,26 +57,53 @@ def read_commerce_table(spark: SparkSession, path: str, name: str) -> Split:
 
 
 @dataclass(frozen=True)
-class Intake:
-    """The commerce tables as read, all still lazy."""
+class Landed:
+    """A table after its one parse: rows by whether they have their key, and how many there are."""
+
+    kept: DataFrame
+    rejected: DataFrame
+    row_count: int
+    rejected_count: int
+
 
-    read: dict[str, DataFrame]
+def land(df: DataFrame, key: str, label: str) -> Landed:
+    """Write ``df`` once to the shared folder, counting rows and rejected rows on the way.
+
+    The counts are observed in the tasks that write, which no shuffle precedes:
+    a task that is run again counts once. Whatever comes later reads the
+    Parquet files, where a filter on the key skips row groups without (or with
+    only) nulls, so text is split and cast one time however many outputs use it.
+    """
+    counts = Observation()
+    split = split_on_key(pin(df.observe(counts, *reject_measures(key)), label), key)
+    seen = counts.get
+    return Landed(split.kept, split.rejected, seen["row_count"], seen["rejected_count"])
+
+
+@dataclass(frozen=True)
+class Intake:
+    """The commerce tables, each parsed once."""
 
-    def split(self, name: str) -> Split:
-        return split_on_key(self.read[name], COMMERCE_KEYS[name])
+    spark: SparkSession
+    tables: dict[str, Landed]
 
     @property
     def kept(self) -> dict[str, DataFrame]:
-        return {name: self.split(name).kept for name in self.read}
+        return {name: table.kept for name, table in self.tables.items()}
 
     @property
     def rejected(self) -> dict[str, DataFrame]:
-        return {name: self.split(name).rejected for name in self.read}
+        """Rejected rows of the tables that have any."""
+        return {name: table.rejected for name, table in self.tables.items() if table.rejected_count}
 
     def rejects(self) -> DataFrame:
-        """Rows and rejected rows per table."""
-        return reject_counts({name: (df, COMMERCE_KEYS[name]) for name, df in self.read.items()})
+        """Rows and rejected rows per table, from the counts of the pass that wrote them."""
+        counts = [(name, table.row_count, table.rejected_count) for name, table in self.tables.items()]
+        return self.spark.createDataFrame(counts, REJECT_COUNTS)
 
 
 def read_commerce_folder(spark: SparkSession, folder: str) -> Intake:
-    return Intake({name: read_csv(spark, f"{folder}/{name}.csv", schema) for name, schema in COMMERCE.items()})
+    return Intake(spark, {
+        name: land(read_csv(spark, f"{folder}/{name}.csv", schema), COMMERCE_KEYS[name], f"csv-{name}")
+        for name, schema in COMMERCE.items()
+    })
