@@ -98,3 +98,63 @@ def test_regions_lose_nothing(page):
 def test_unnamed_menus_beside_the_region_go():
     menu = "".join(f"<li><a href={k}>item</a></li>" for k in range(9))
     assert html_text.main_text(f"<ul>{menu}</ul><div><h1>T</h1>{many(5)}</div><ul>{menu}</ul>") == html_text.main_text(f"<div><h1>T</h1>{many(5)}</div>")
+
+
+STORY = f"<h1>Title</h1>{many(6)}"
+BODY = html_text.main_text(f"<article>{STORY}</article>")
+
+
+def notes(count, holder="<div>{}</div>"):
+    return "".join(holder.format(f"<p>N{k} {LONG} {LONG}</p>") for k in range(count))
+
+
+@pytest.mark.parametrize("page", [
+    # comments as articles, beside the story, without and with a telling holder
+    f"<main><article>{STORY}</article></main><section>{notes(5, '<article class=comment>{}</article>')}</section>",
+    f"<main>{STORY}</main><section>{notes(1, '<article class=comment>{}</article>')}</section>",
+    f"<main>{STORY}</main><section class=comments>{notes(12, '<article>{}</article>')}</section>",
+    # ... and inside it
+    f"<main><article>{STORY}<section>{notes(5, '<article>{}</article>')}</section></article></main>",
+    f"<article>{STORY}<section><h2>12 Comments</h2>{notes(12)}</section></article>",
+    f"<article>{STORY}<ol class=commentlist>{notes(12, '<li id=comment-7>{}</li>')}</ol></article>",
+    f"<article>{STORY}<div id=comments><h3>Leave a comment</h3>{notes(9)}</div></article>",
+    # pages without an article element
+    f"<div class=post>{STORY}</div><div class='post-comments'>{notes(12)}</div>",
+    f"<div class=post>{STORY}<div class='c comments__list'>{notes(12)}</div></div>",
+    f"<div class=post>{STORY}</div><div class=below><h3>Comments (3)</h3>{notes(7)}</div>",
+    f"<form id=aspnetForm><div>{STORY}</div><div id=comments>{notes(7)}</div></form>",
+    f"<div id=wrap><div class=notice><p>{LONG}</p></div><div>{STORY}</div><ul class=comment-list>{notes(9, '<li>{}</li>')}</ul></div>",
+    # discussions
+    f"<article>{STORY}</article><div class=discussion>{notes(1)}</div>",
+    f"<article>{STORY}</article><div class=discussion>{notes(2)}</div>",
+    f"<main>{STORY}</main><div id=thread-4>{notes(9)}</div>",
+    # teasers
+    f"<main><article>{STORY}</article>{notes(1, '<article class=teaser><h3>Other</h3><p>Short</p></article>')}</main>",
+    f"<article>{STORY}</article>" + 4 * f"<article><h3><a href=x>Other story</a></h3><p>{LONG}</p></article>",
+    f"<main><article>{STORY}</article>" + 3 * f"<article><h3>Other story</h3><p>{LONG}</p></article>" + "</main>",
+    f"<main><div>{STORY}</div>" + 3 * f"<article><h3>Other story</h3><p>{LONG}</p></article>" + "</main>",
+    f"<article>{STORY}<article class=card><a href=x>Read also</a><p>{LONG}</p></article></article>",
+    # nothing to set aside
+    f"<article><article>{STORY}</article></article>",
+    f"<article class='post comments-open'>{STORY}</article>",
+    f"<div class=comments-enabled>{STORY}</div>",
+    f"<div class=commentary>{STORY}</div>",
+    f"<div class=comments>{STORY}</div>",
+    f"<article><div itemprop=articleBody>{STORY}</div></article>",
+])
+def test_comments_discussions_and_teasers(page):
+    menu = "<ul><li><a href=1>one</a><li><a href=2>two</a></ul>"
+    assert html_text.main_text(f"<header>{menu}</header>{page}<footer>f</footer>") == BODY
+
+
+@pytest.mark.parametrize("page", [
+    f"<article><h1>T</h1>{many(3)}<section id=discussion><h2>Discussion</h2>{many(4, 'Q')}</section></article>",
+    f"<div><h1>T</h1>{many(3)}<section id=discussion><h2>Discussion</h2>{many(4, 'Q')}</section></div>",
+    f"<main><article>{many(3)}</article><article>{many(2, 'Q')}</article><article>{many(2, 'R')}</article></main>",
+    f"<article>{many(9)}</article><article><p>{LONG}</p></article>",
+    f"<article><h1>T</h1><article>{many(3)}</article><article>{many(4, 'Q')}</article></article>",
+    f"<div id=comments><h1>T</h1>{notes(3)}</div>",
+])
+def test_chapters_and_parts_stay(page):
+    blocks = re.findall(r"<(?:p|h1|h2)>(.*?)</", page)
+    assert html_text.main_text(page) == "\n\n".join(blocks)

@@ -11,8 +11,17 @@ one, and on pages without, they are set aside only if the cluster allows it: an
 element with half or more of the clustered text outside links stays, and so do
 all elements of a name that together have as much. An article or main element
 is never set aside for its own name, nor is what holds the one with most text.
-Where no such element tells them apart, reader comments longer than all the
-rest therefore stay.
+
+Reader comments go however long they are, if something tells them apart: an
+element's class or id is one of comments (not just a state of the page, as in
+``comments-open``), or it begins with a heading that says so. They stay only
+where the page has no story beside them, that is not as much clustered text as
+one of their usual paragraphs. ``BESIDE_WORDS`` tell only beside an article.
+
+Article elements inside another one, which has a story of its own, are its
+comments or teasers. Of articles side by side, those far smaller than the
+largest story are teasers if there are several, or if their names or links say
+so. What is left then makes the cluster that decides about all other names.
 
 The cluster is then taken of the lines that are left. The text is that of the
 outermost article and main elements, all that have clustered text, if together
@@ -68,6 +77,18 @@ NO_TEXT_WORDS = frozenset(
     "toolbar topbar widget widgets".split()
 )
 NO_TEXT_STARTS = ("advert", "comment", "cookie", "newsletter", "promo", "sidebar", "sponsor")
+#: These tell only beside an article: inside one, and on pages without, they may name a chapter.
+BESIDE_WORDS = frozenset("conversation discussion discussions feedback responses thread threads".split())
+#: Names of articles that lead to other pages.
+TEASER_WORDS = frozenset("ad card promo promoted recommended related sponsored teaser teasers".split())
+COMMENTS = re.compile(
+    r"(?:(?:user|reader|readers|post|article|blog|entry|the|fb|wp)[-_]?)?comments?"
+    r"(?:[-_]?(?:list|area|box|sections?|threads?|body|text|content|wrap|wrapper|container|items?|form|respond|[0-9]+))*"
+)
+COMMENTS_TITLE = re.compile(
+    r"(?:(?:[0-9]+|no|all|add an?|join the|leave an?|post an?|readers?|reader's|user) )*(?:comments?|replies|reply|responses?)(?: ?\([0-9]+\))?\W*",
+    re.IGNORECASE,
+)
 #: Of elements with this name headings stay.
 HEADER = "header"
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
@@ -80,15 +101,18 @@ SIGMA, REACH = 1.0, 2
 NEARLY_ALL = 0.8
 #: Share of the clustered text from which an element or a name is not set aside.
 MOST = 0.5
+#: Share of the largest story below which an article is a small one, and share of links from which it is a teaser.
+SMALL, LINKED = 0.25, 0.1
 
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
 class _Element:
-    __slots__ = ("name", "named", "named_region", "parent", "set_aside", "tag")
+    __slots__ = ("article", "comments", "name", "named", "named_region", "parent", "set_aside", "tag", "teaser")
 
     def __init__(self, tag: str, parent: _Element | None, set_aside: str, name: str, named_region: bool) -> None:
         self.tag, self.parent, self.set_aside, self.name, self.named_region = tag, parent, set_aside, name, named_region
+        self.article = self.comments = self.teaser = False
         #: The innermost element with a name that this one is or lies in.
         self.named: _Element | None = self if name else parent and parent.named
 
@@ -115,7 +139,7 @@ def _aside(tag: str, attrs: list[tuple[str, str | None]], parent: _Element, name
             return "all", ""
         if name in ("class", "id") and value and not named_region:
             words = [w for w in _WORDS.split(value) if w]
-            told = [w for w in words if w in NO_TEXT_WORDS or w.startswith(NO_TEXT_STARTS)]
+            told = [w for w in words if w in NO_TEXT_WORDS or w.startswith(NO_TEXT_STARTS)] or [w for w in words if w in BESIDE_WORDS]
             if told:
                 named = told[0]
             elif not named and HEADER in words and tag not in HEADINGS:
@@ -178,6 +202,11 @@ class _Lines(HTMLParser):
             n == "role" and v in ("main", "article") or n == "itemprop" and v == "articleBody" for n, v in attrs
         )
         element = _Element(tag, self.at, *_aside(tag, attrs, self.at, named), named)
+        if tag not in ("html", "body", "main"):
+            element.article = tag == "article" or ("role", "article") in attrs
+            tokens = [t for n, v in attrs if n in ("class", "id") for t in re.split(r"\s+|__|--", (v or "").lower())]
+            element.comments = any(COMMENTS.fullmatch(t) for t in tokens)
+            element.teaser = element.article and any(w in TEASER_WORDS for t in tokens for w in _WORDS.split(t))
         self.at = element
         self.links += tag == "a"
         self.headings += tag in HEADINGS
@@ -227,22 +256,93 @@ def _cluster(page: _Lines) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
     return sizes, ratios, threshold, means >= threshold
 
 
-def _set_aside(page: _Lines) -> None:
-    """Drop the lines of elements that are named like no article text, as far as the cluster allows."""
-    if not any(holder.named for *_, holder in page.lines):
+def _without(page: _Lines, aside: set[_Element]) -> None:
+    """Drop the lines that lie in one of these elements."""
+    stays = [aside.isdisjoint(_chain(line[3])) for line in page.lines]
+    page.lines = [line for line, s in zip(page.lines, stays, strict=True) if s]
+    page.titles = [title for title, s in zip(page.titles, stays, strict=True) if s]
+
+
+def _drop_comments(page: _Lines) -> None:
+    """Drop what is named or headed as reader comments, if the page has a story beside them."""
+    first: dict[_Element, int] = {}
+    for k, (*_, holder) in enumerate(page.lines):
+        for element in _chain(holder):
+            first.setdefault(element, k)
+    for k, ((text, _, _, holder), title) in enumerate(zip(page.lines, page.titles, strict=True)):
+        if title and COMMENTS_TITLE.fullmatch(text):
+            heading = next(e for e in _chain(holder) if e.tag in HEADINGS)
+            section = heading.parent
+            if section is not None and section.parent is not None and section.tag not in ("html", "body", "main") and first[section] == k:
+                section.comments = True
+    of_readers = [any(e.comments for e in _chain(line[3])) for line in page.lines]
+    if not any(of_readers):
         return
     sizes, _, _, content = _cluster(page)
+    mass = _masses(page, sizes, content)
+    most = MOST * mass[page.root]
+    told, story = [], 0.0
+    for (_, _, linked, holder), title, readers, size, chosen in zip(page.lines, page.titles, of_readers, sizes, content, strict=True):
+        if not chosen:
+            continue
+        if readers:
+            told.append(size)
+        elif not title and linked < 0.5 * size and all(mass[e] >= most for e in _chain(holder) if e.name):
+            story += size
+    if story and (not told or story >= np.median(told)):
+        _without(page, {e for e in first if e.comments})
+
+
+def _drop_lesser_articles(page: _Lines) -> None:
+    """Drop articles inside a story, and small ones beside it."""
+    if not any(e.article for *_, holder in page.lines for e in _chain(holder)):
+        return
+    sizes, _, _, content = _cluster(page)
+    mass, length, links = _masses(page, sizes, content), {}, {}
+    for (_, _, linked, holder), size in zip(page.lines, sizes, strict=True):
+        for element in _chain(holder):
+            length[element] = length.get(element, 0.0) + size
+            links[element] = links.get(element, 0.0) + linked
+    inside: dict[_Element | None, list[_Element]] = {}
+    for element in mass:
+        if element.article:
+            inside.setdefault(next((e for e in _chain(element.parent) if e.article), None), []).append(element)
+    aside: set[_Element] = set()
+    for story, held in inside.items():
+        own = mass[story or page.root] - sum(mass[e] for e in held)
+        if story is not None:
+            if own and own >= np.median([mass[e] for e in held]):
+                aside.update(held)
+            continue
+        largest = max(own, *(mass[e] for e in held))
+        small = [e for e in held if mass[e] < SMALL * largest]
+        if largest >= sum(mass[e] for e in small):
+            aside.update(e for e in small if len(small) > 1 or e.teaser or links[e] >= LINKED * length[e])
+    _without(page, aside)
+
+
+def _masses(page: _Lines, sizes: np.ndarray, content: np.ndarray) -> dict[_Element, float]:
+    """Clustered text outside links by element."""
     mass: dict[_Element, float] = {}
     for (_, _, linked, holder), size, chosen in zip(page.lines, sizes, content, strict=True):
         for element in _chain(holder):
             mass[element] = mass.get(element, 0.0) + max(0.0, size - linked) * chosen
+    return mass
+
+
+def _set_aside(page: _Lines) -> None:
+    """Drop the lines of elements that are named like no article text, as far as the cluster allows."""
+    if not any(holder.named for *_, holder in page.lines):
+        return
+    sizes, _, _, content = _cluster(page)
+    mass = _masses(page, sizes, content)
     most = MOST * mass[page.root]
     regions = [e for e in mass if e.named_region]
     stay = set(_chain(max(regions, key=mass.__getitem__))) if regions else set()
     # Beside an article that lies in no named element, names hold.
     told = {e for e in regions if e.named is None}
     beside = {e for e in mass if told and e.name and e not in stay and told.isdisjoint(_chain(e))}
-    aside = {e for e in mass if e.name and e not in stay and (not mass[e] or mass[e] < most)} | beside
+    aside = {e for e in mass if e.name and e.name not in BESIDE_WORDS and e not in stay and (not mass[e] or mass[e] < most)} | beside
 
     def outermost(element: _Element) -> _Element | None:
         """The outermost element set aside around this one."""
@@ -280,6 +380,10 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page._end_line()
+    if not page.lines:
+        return ""
+    _drop_comments(page)
+    _drop_lesser_articles(page)
     _set_aside(page)
     if not page.lines:
         return ""
