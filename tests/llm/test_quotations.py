@@ -1,6 +1,14 @@
 """Quoted passages, replies and threads."""
 
-from tidemart.llm import quotations
+import random
+
+import duckdb
+import pandas as pd
+import pytest
+
+from tidemart.llm import components, quotations
+from tidemart.llm.oracles import ORACLES
+from tools.verify import difference, rows_of
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 
@@ -79,3 +87,53 @@ def test_the_first_other_conversation_counts(spark):
 def test_only_dataframe_functions_on_the_main_path(spark):
     plan = quotations.link_quotations(spark.createDataFrame([(1, 0, "u", "> a")], SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def planted(seed):
+    """Messages that quote texts, paragraphs, lines and runs of sentences of others, on several levels."""
+    rng = random.Random(seed)
+    pool = [f"{w} {x}{end}" for w, x, end in zip("One Two red Blue the A".split() * 4, "goes here|is it|said more|ran  far".split("|") * 6, ".?!." * 6, strict=True)]
+    own, data = {}, []
+    for conv in range(14):
+        for turn in range(rng.randint(2, 7)):
+            parts = []
+            for _ in range(rng.choice((0, 1, 1, 2))):
+                far = rng.random() < 0.3
+                known = [t for (c, k), t in own.items() if (c != conv if far else c == conv)]
+                if not known:
+                    continue
+                text = rng.choice(known)
+                sentences = text.replace("\n", " ").split(". ")
+                cut = sorted(rng.choices(range(len(sentences) + 1), k=2))
+                piece = rng.choice([text, rng.choice(text.split("\n\n")), rng.choice(text.split("\n")), ". ".join(sentences[cut[0]:cut[1]])])
+                if rng.random() < 0.3:
+                    parts.append(f"On a day {'long ago ' * rng.choice((1, 40))}Anna wrote:")
+                marks = ">" * rng.choice((1, 1, 2, 3))
+                parts += [f"{marks} {line}" for line in (piece.upper() if rng.random() < 0.2 else piece).split("\n")]
+            text = "\n\n".join("\n".join(" ".join(rng.choices(pool, k=rng.randint(1, 3))) for _ in range(rng.randint(1, 2))) for _ in range(rng.randint(1, 2)))
+            own[conv, turn] = text
+            data.append((conv, turn, rng.choice(("user", "assistant")), "\n".join([*parts, text])))
+    return data
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_same_as_the_statement(spark, seed):
+    data = planted(seed)
+    df = quotations.link_quotations(spark.createDataFrame(data, SCHEMA))
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(data, columns=["conv_id", "turn", "role", "text"]))
+    result = con.execute(ORACLES["op4_quotations"])
+    theirs = rows_of([d[0] for d in result.description], result.fetchall())
+    ours = df.collect()
+    assert difference(rows_of(df.columns, ours), theirs) is None
+    assert sum(r.reply_turn is not None for r in ours) > len(data) // 4
+    assert any(r.reply_conv not in (None, r.conv_id) for r in ours) and max(r.depth for r in ours) > 1
+
+
+def test_unfinished_rounds_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(quotations, "ROUNDS", 2)
+    with pytest.raises(RuntimeError, match="chains"):
+        linked(spark, [(7, 0, "u", "m0")] + [(7, k, "u", f"> m{k - 1}\nm{k}") for k in range(1, 20)])
+    monkeypatch.setattr(components, "ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="links"):
+        components.components(spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long"))

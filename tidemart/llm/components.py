@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart.session import pin
 
-#: Two stars a round halve the length of every chain, so this many rounds suffice for any table.
+#: Each round about halves the length of every chain; a table that needs more rounds is refused, not cut short.
 ROUNDS = 64
 
 
@@ -46,4 +46,6 @@ def components(links: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"links were still moving after {ROUNDS} rounds")
     return pairs.select("node", F.col("least").alias("component"))

@@ -55,7 +55,7 @@ WITH RECURSIVE messages AS (
     FROM runs GROUP BY id, run, level
 ), stripped AS (
     SELECT id, run, regexp_replace(CASE WHEN leads THEN regexp_replace(text,
-        '(?i)(?:^|\n)[^\n]{0,200}\b(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$', '') ELSE text END,
+        '(?i)(?:^|\n)[^\n]*\b(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$', '') ELSE text END,
         '^\s+|\s+$', '', 'g') AS text
     FROM passages WHERE level = 0
 ), own AS (
@@ -64,22 +64,43 @@ WITH RECURSIVE messages AS (
     FROM messages m
     LEFT JOIN (SELECT id, count(*) FILTER (level > 0) AS quotes FROM passages GROUP BY id) q ON q.id = m.id
     LEFT JOIN (SELECT id, string_agg(text, chr(10) ORDER BY run) AS text FROM stripped WHERE text <> '' GROUP BY id) o ON o.id = m.id
+), quoted_texts AS (
+    SELECT DISTINCT m.conv_id, m.turn, p.level, p.text, trim(regexp_replace(lower(p.text), '\s+', ' ', 'g')) AS passage
+    FROM passages p JOIN messages m ON m.id = p.id WHERE p.level > 0 AND m.conv_id IS NOT NULL AND m.turn IS NOT NULL
 ), quoted AS (
-    SELECT DISTINCT m.conv_id, m.turn, trim(regexp_replace(lower(p.text), '\s+', ' ', 'g')) AS passage
-    FROM passages p JOIN messages m ON m.id = p.id WHERE p.level = 1
+    SELECT conv_id, turn, passage, min(level) AS level FROM quoted_texts WHERE passage <> '' GROUP BY conv_id, turn, passage
+), ways AS (
+    SELECT text, list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(10), 'g'), '[\r\n]+'),
+            lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))), lambda x: x <> '') AS units
+    FROM (SELECT text FROM quoted_texts UNION SELECT text FROM own)
+    UNION
+    SELECT text, list_filter(regexp_split_to_array(regexp_replace(
+            trim(regexp_replace(lower(text), '\s+', ' ', 'g')), '([.!?]) +', '\1' || chr(10), 'g'), chr(10)), lambda x: x <> '')
+    FROM (SELECT text FROM quoted_texts UNION SELECT text FROM own)
+), starts AS (
+    SELECT DISTINCT w.units[1] AS first, len(w.units) AS length
+    FROM ways w JOIN quoted_texts q ON q.text = w.text WHERE q.passage <> '' AND len(w.units) > 0
+), stretches AS (
+    SELECT u.text, array_to_string(u.units[u.at:u.at + s.length - 1], ' ') AS passage
+    FROM (SELECT text, units, generate_subscripts(units, 1) AS at, unnest(units) AS unit FROM ways) u
+    JOIN starts s ON s.first = u.unit AND u.at + s.length - 1 <= len(u.units)
 ), held AS (
-    SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS passage
-    FROM (SELECT conv_id, turn, unnest(list_concat([text], list_concat(
-        regexp_split_to_array(text, '\n[ \t]*\n'), regexp_split_to_array(text, '\n')))) AS part FROM own)
-), inside AS (
-    SELECT q.conv_id, q.turn, max(h.turn) AS reply_turn, q.conv_id AS reply_conv
+    SELECT DISTINCT conv_id, turn, passage FROM (
+        SELECT conv_id, turn, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS passage
+        FROM (SELECT conv_id, turn, unnest(list_concat([text], list_concat(
+            regexp_split_to_array(text, '\n[ \t]*\n'), regexp_split_to_array(text, '\n')))) AS part FROM own)
+        UNION ALL SELECT o.conv_id, o.turn, r.passage FROM own o JOIN stretches r ON r.text = o.text)
+    WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND passage IN (SELECT passage FROM quoted)
+), hits AS (
+    SELECT q.conv_id, q.turn, q.level, max(h.turn) AS reply_turn
     FROM quoted q JOIN held h ON h.passage = q.passage AND h.conv_id = q.conv_id AND h.turn < q.turn
-    WHERE q.passage <> '' GROUP BY q.conv_id, q.turn
-), earliest AS (
-    SELECT passage, min({'conv_id': conv_id, 'turn': turn}) AS o FROM held GROUP BY passage
+    GROUP BY q.conv_id, q.turn, q.level
+), inside AS (
+    SELECT conv_id, turn, arg_min(reply_turn, level) AS reply_turn, conv_id AS reply_conv FROM hits GROUP BY conv_id, turn
 ), outside AS (
-    SELECT q.conv_id, q.turn, min(e.o) AS o FROM quoted q JOIN earliest e ON e.passage = q.passage
-    WHERE q.passage <> '' AND e.o.conv_id <> q.conv_id AND (q.conv_id, q.turn) NOT IN (SELECT (conv_id, turn) FROM inside)
+    SELECT q.conv_id, q.turn, min({'level': q.level, 'conv_id': h.conv_id, 'turn': h.turn}) AS o
+    FROM quoted q JOIN held h ON h.passage = q.passage AND h.conv_id <> q.conv_id
+    WHERE (q.conv_id, q.turn) NOT IN (SELECT (conv_id, turn) FROM inside)
     GROUP BY q.conv_id, q.turn
 ), links AS (
     SELECT conv_id, turn, reply_turn, reply_conv FROM inside

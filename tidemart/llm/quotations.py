@@ -35,7 +35,7 @@ from tidemart.session import pin
 _MARKS = r"(?s)^([ \t]{0,3}>[> \t]*)(.*)$"
 _QUOTED = r"(?m)^[ \t]{0,3}>"
 #: The line before a quotation that names its author.
-_ANNOUNCED = r"(?i)(?:^|\n)[^\n]{0,200}\b(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$"
+_ANNOUNCED = r"(?i)(?:^|\n)[^\n]*\b(?:wrote|writes|said|schrieb|a écrit|escribió)[ \t]*:[ \t]*$"
 #: Chains of replies double in reach each round.
 ROUNDS = 40
 _SENTENCE = r"(?<=[.!?])\s+"
@@ -177,6 +177,8 @@ def link_quotations(messages: DataFrame, *, conversation: str = "conv_id", turn:
             break
         chain = pin(longer.select("conv_id", "turn", F.coalesce("further", "thread_turn").alias("thread_turn"),
                                   (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "chains")
+    else:
+        raise RuntimeError(f"chains of replies go on after {ROUNDS} rounds")
     linked = every.join(links, ["conv_id", "turn"], "left").join(chain, ["conv_id", "turn"], "left")
     return linked.select(
         "conv_id", "turn", "role", F.col("own").alias("text"), F.size("passages").cast("long").alias("n_quotes"), "reply_conv", "reply_turn",
