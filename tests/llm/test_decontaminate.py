@@ -89,3 +89,16 @@ def test_only_dataframe_functions_on_the_main_path(spark):
     docs, bench = spark.createDataFrame([(1, ITEM)], "doc_id long, text string"), spark.createDataFrame([(1, ITEM)], SCHEMA)
     plan = decontaminate.matches(docs, bench)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_filter_grows_with_the_windows():
+    assert [decontaminate.filter_bits(n) for n in (0, 1000, 65_536, 65_537, 1_000_000, 10 ** 9)] == [1 << 20] * 3 + [1 << 21, 1 << 24, 1 << 24]
+
+
+def test_large_filters_find_the_same(spark, monkeypatch):
+    words = ["".join(chr(97 + int(d)) for d in str(100 + k)) for k in range(80)]
+    docs = spark.createDataFrame([(k, "some words of " + " ".join(words[k:k + 12])) for k in range(0, 60, 2)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(words[20:32]))], "item_id long, text string")
+    few = sorted(decontaminate.matches(docs, items).collect())
+    monkeypatch.setattr(decontaminate, "LEAST_BITS", 1 << 23)
+    assert sorted(decontaminate.matches(docs, items).collect()) == few and {r.doc_id for r in few} >= {18, 20, 22}

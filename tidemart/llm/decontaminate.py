@@ -39,8 +39,9 @@ WIDTH, PLAIN = 5, 3
 COVERAGE = 0.3
 #: Windows that must match at least, or all if the item has fewer.
 LEAST = 5
-#: Bits of the Bloom filter; each window sets three.
-FILTER_BITS = 1 << 20
+#: Bits of the Bloom filter, by which each window sets three: so many a window, within the bounds.
+#: The upper one (2 MB) has a million windows at one in 200 wrongly let through; beyond, more are let through to the join.
+BITS_A_WINDOW, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 24
 
 NUMBER, NAME, UNIT = "\u0001", "\u0002", "\u0003"
 _LETTER = r"[\p{L}\p{M}]"
@@ -133,29 +134,37 @@ def _items(benchmark: DataFrame, id_column: str, text_column: str) -> tuple[Data
     return each.select("item_id", "width", "windows", "at", F.xxhash64("words").alias("hash"), "words", "values"), short
 
 
-def _bits(hash_: Column) -> list[Column]:
-    step = FILTER_BITS.bit_length() - 1
-    return [F.shiftrightunsigned(hash_, step * k).bitwiseAND(F.lit(FILTER_BITS - 1)) for k in range(3)]
+def filter_bits(windows: int) -> int:
+    """Bits of a filter of so many windows, a power of two."""
+    wanted = max(LEAST_BITS, BITS_A_WINDOW * windows)
+    return min(MOST_BITS, 1 << (wanted - 1).bit_length())
 
 
-def _filter_of(windows: DataFrame) -> Column:
+def _places(hash_: Column, bits: int) -> list[Column]:
+    """The three bits of a hash: of its low, middle and high part, which overlap a little in large filters."""
+    return [F.shiftrightunsigned(hash_, 20 * k).bitwiseAND(F.lit(bits - 1)) for k in range(3)]
+
+
+class _Filter:
     """A Bloom filter of the windows' hashes as a constant array of 64-bit words."""
-    bit = windows.select(F.explode(F.array(*_bits(F.col("hash")))).alias("bit")).distinct()
-    words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")
-    )
-    held = {r["word"]: r["bits"] for r in words.collect()}
-    text = ",".join(str(held.get(k, 0)) for k in range(FILTER_BITS // 64))
-    return F.split(F.lit(text), ",").cast("array<bigint>")
 
+    def __init__(self, windows: DataFrame) -> None:
+        self.bits = filter_bits(windows.count())
+        bit = windows.select(F.explode(F.array(*_places(F.col("hash"), self.bits))).alias("bit")).distinct()
+        words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")
+        )
+        held = {r["word"]: r["bits"] for r in words.collect()}
+        text = ",".join(str(held.get(k, 0)) for k in range(self.bits // 64))
+        self.words = F.split(F.lit(text), ",").cast("array<bigint>")
 
-def _may_hold(bloom: Column, hash_: Column) -> Column:
-    def bit_is_set(place: Column) -> Column:
-        one = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-        return F.get(bloom, F.shiftright(place, 6).cast("int")).bitwiseAND(one) != 0
+    def may_hold(self, hash_: Column) -> Column:
+        def bit_is_set(place: Column) -> Column:
+            one = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+            return F.get(self.words, F.shiftright(place, 6).cast("int")).bitwiseAND(one) != 0
 
-    first, second, third = (bit_is_set(place) for place in _bits(hash_))
-    return first & second & third
+        first, second, third = (bit_is_set(place) for place in _places(hash_, self.bits))
+        return first & second & third
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, *, coverage: float = COVERAGE, least: int = LEAST,
@@ -176,10 +185,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, coverage: float = COVERAGE
 
 def _by_lines(rows: DataFrame, short: DataFrame) -> DataFrame:
     """Documents that are an item of ``short`` as a whole or in one line."""
-    bloom = _filter_of(short)
+    bloom = _Filter(short)
     lines = F.concat(F.array("text"), F.split("text", r"\r\n|\r|\n"))
     hashed = F.filter(F.transform(lines, lambda line: F.struct(F.xxhash64(values(line)).alias("hash"), line.alias("line"))),
-                      lambda s: _may_hold(bloom, s["hash"]))
+                      lambda s: bloom.may_hold(s["hash"]))
     each = rows.select("doc_id", F.explode(hashed).alias("s")).select("doc_id", "s.hash", values(F.col("s.line")).alias("doc_values"))
     hits = each.join(short, "hash").filter(F.col("doc_values") == F.col("values"))
     one = F.lit(1).cast("long")
@@ -190,13 +199,13 @@ def _by_lines(rows: DataFrame, short: DataFrame) -> DataFrame:
 def _by_windows(rows: DataFrame, windows: DataFrame, coverage: float, least: int) -> DataFrame:
     """Documents that hold enough windows of an item."""
     widths = [r.width for r in windows.select("width").distinct().orderBy("width").collect()]
-    bloom = _filter_of(windows)
+    bloom = _Filter(windows)
 
     def passing(words: Column) -> Column:
         """Width and place of each window that the filter lets pass."""
         return F.concat(*[
             F.array_compact(F.transform(_hashes(words, width), lambda h, i: F.when(
-                _may_hold(bloom, h), F.struct(F.lit(width).alias("width"), (i + 1).alias("at")))))
+                bloom.may_hold(h), F.struct(F.lit(width).alias("width"), (i + 1).alias("at")))))
             for width in widths
         ])
 
