@@ -38,6 +38,8 @@ REPEATS = 3
 #: Words in a block, and blocks in an output shard.
 BLOCK, SHARD = 32, 2048
 SEED = 3
+#: Slots that one task makes from their counts, about.
+SLOTS = 200_000
 #: Documents in a bucket of a running sum, on average.
 BUCKET = 1_000
 #: Sources whose shares are sent to every task; more than these are refused.
@@ -157,7 +159,7 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, repeat
     sizes = pin(docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"),
                             F.col(f"`{source_column}`").alias("source"), size.alias("size")), "sizes")
     sources = targets(sizes, weights, repeats, block)
-    plan = sources.select("rank", "blocks", "share").limit(SOURCES + 1).collect()
+    plan = sources.select("rank", "blocks", "share").orderBy("rank").limit(SOURCES + 1).collect()
     if len(plan) > SOURCES:
         raise ValueError(f"more than {SOURCES} sources; their shares would not fit in every task")
 
@@ -197,7 +199,9 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = WEIGHTS, repeat
     drawn = spark.range(shards).mapInArrow(draw, "shard long, rank long, count long").withColumn("bucket", _div("shard", 4096))
     counted = running(pin(drawn, "draws"), "rank", "bucket", ["shard"], "count", "before")
     limits = sources.select("rank", "blocks")
-    each = counted.join(limits, "rank").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))
+    # Few counts become many slots: they are spread first, whole shards to a task.
+    spread = counted.join(limits, "rank").repartition(max(1, -(-total // SLOTS)), "shard")
+    each = spread.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))
     number = F.col("before") + F.col("k")
     each = each.select("shard", "rank", "blocks", F.floor(number / F.col("blocks")).alias("epoch"),
                        (number % F.col("blocks")).alias("turn")).filter(F.col("epoch") < repeats)
