@@ -27,10 +27,31 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates; rows without id stay."""
-    linked = jaccard_join.link(docs, width=SHINGLE_WORDS, percent=SIMILAR)
-    others = pin(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-duplicates")
-    return docs.join(others, docs["doc_id"] == others["_gone"], "left_anti")
+    """Keep one row of each group of near duplicates: that of the smallest id, rows without id after all others.
+
+    Rows that repeat an id are one document, of which the row with the least
+    hash of its columns stays. Rows without id take part by a number of their
+    own. Rows without words are like nothing and stay, but for repeated ids.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key, mark = (f"_{name}" + "_" * max(map(len, docs.columns)) for name in ("key", "mark"))
+    ids = docs.agg(F.max(F.col("doc_id").cast("long")).alias("most"), F.count_if(F.col("doc_id").isNull()).alias("unnamed")).first()
+    rows = docs.withColumn(key, F.col("doc_id").cast("long"))
+    if ids.unnamed:
+        after = F.lit((ids.most or 0) + 1).cast("long") + F.monotonically_increasing_id()
+        unnamed = pin(docs.filter("doc_id is null").withColumn(key, after), "without-id")
+        rows = rows.filter("doc_id is not null").unionByName(unnamed)
+    linked = jaccard_join.link(rows, width=SHINGLE_WORDS, percent=SIMILAR, id_column=key)
+    others = pin(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct(), "near-duplicates")
+    kept = rows.join(others, key, "left_anti")
+    repeated = pin(kept.groupBy(key).count().filter("count > 1").select(key), "repeated-ids")
+    if repeated.isEmpty():
+        return kept.select(columns)
+    # Equal rows have equal hashes; of those any one is the same.
+    several = kept.join(repeated, key, "left_semi").withColumn(mark, F.xxhash64(F.to_json(F.struct(*columns))))
+    least = several.groupBy(key).agg(F.min(mark).alias(mark))
+    one = several.join(least, [key, mark], "left_semi").dropDuplicates([key])
+    return kept.join(repeated, key, "left_anti").unionByName(one.drop(mark)).select(columns)
 
 
 def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
