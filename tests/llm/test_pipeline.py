@@ -70,6 +70,22 @@ def test_stages_keep_columns_named_like_their_results(spark):
         assert {tuple(r) for r in kept.select(*more).collect()} == {tuple(more)}
 
 
+def test_copies_go_whatever_their_ids(spark):
+    docs = table(spark, FOLDER, "documents").limit(12).withColumn("tags", F.create_map(F.lit("a"), F.lit(1)))
+    docs = pin(docs, "some")
+    unnamed = docs.withColumn("doc_id", F.lit(None).cast("long"))
+    empty = unnamed.limit(2).withColumn("text", F.lit(None).cast("string"))
+    few = docs.orderBy("doc_id").limit(3)
+    other = few.withColumn("text", F.concat("text", F.lit(" and quite another end")))
+    rows = docs.unionByName(docs).unionByName(unnamed.limit(4)).unionByName(empty).unionByName(other)
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, pin(rows, "copies"), FOLDER)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    alone = ids(corpus_pipeline.keep_one_of_near_duplicates(spark, docs, FOLDER))
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted(alone)
+    assert [r.text for r in got if r.doc_id is None] == [None, None]
+
+
 def test_queries_are_named_by_their_operator():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(queries.QUERIES)
