@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.bars import hourly_prices, minute_prices, trade_volume
 from tidemart.plans.market import volatility
+from tidemart.plans.registry import STREAMS
 from tidemart.schemas import CONTRACTS
+from tidemart.session import ROCKSDB, STATE_STORE
 from tidemart.sinks.keyed import KeyedTable
 from tidemart.sinks.messages import console_sink, message_sink
 from tidemart.sources.streams import text_messages
@@ -221,3 +223,25 @@ def test_supervision_counts_rows_and_rejects_are_kept(spark, topic, tmp_path):
     supervised.await_all(running)
     assert [r.value for r in spark.read.parquet(f"{tmp_path}/out/rejected_prices").collect()] == ["not json"]
     assert spark.read.parquet(f"{tmp_path}/out/rejected_trades").count() == 1
+
+
+@pytest.fixture
+def events(spark, tmp_path):
+    """A folder with an events table: two symbols, a tick every 40 seconds over five hours."""
+    data = [(k, START + dt.timedelta(seconds=40 * k), 1, "ab"[k % 2], float(k * 7 % 31), "{}") for k in range(450)]
+    shape = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    spark.createDataFrame(data, shape).write.parquet(f"{tmp_path}/data/events.parquet")
+    return f"{tmp_path}/data"
+
+
+def test_keyed_state_needs_no_session_of_its_own(spark, events):
+    heap = ROCKSDB.replace("RocksDBStateStoreProvider", "HDFSBackedStateStoreProvider")
+    spark.conf.set(STATE_STORE, heap)  # what a session has that sets nothing
+    try:
+        released = STREAMS["stream_released_volatility"](spark, events)
+        counts = STREAMS["stream_late_counts"](spark, events).first()
+        assert spark.conf.get(STATE_STORE) == heap
+    finally:
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    assert counts.input_rows == 450 and counts.late_rows > 0
+    assert released.count() == counts.released_rows > 400
