@@ -245,3 +245,20 @@ def test_keyed_state_needs_no_session_of_its_own(spark, events):
         spark.conf.set(STATE_STORE, ROCKSDB)
     assert counts.input_rows == 450 and counts.late_rows > 0
     assert released.count() == counts.released_rows > 400
+
+
+def test_joined_statistics_of_short_spans_and_dense_ticks(spark, rows, topic, tmp_path):
+    rng = random.Random(3)
+    sent = [price("ab"[k % 5 == 0], 100 + rng.random(), 0, k / 3) for k in range(2400)]
+    topic.land(*sent[:1000])
+    topic.land(*sent[1000:])
+    topic.land(price("b", 1.0, 60))  # moves the watermark on
+    data = [(m["symbol"], m["price"], dt.datetime.fromisoformat(m["timestamp"])) for m in sent]
+    ticks = spark.createDataFrame(data, "symbol STRING, price DOUBLE, timestamp TIMESTAMP")
+    # A second is compared with two blocks of its symbol, not with all of it.
+    assert "past_block" in joined_volatility(ticks)._jdf.queryExecution().optimizedPlan().toString()
+    columns = ["symbol", "timestamp", "price"] + [F.round(c, 7) for c in ("rolling_avg", "rolling_stddev")]
+    for span in (130, 1):
+        table = KeyedTable(spark, f"{tmp_path}/out{span}", CONTRACTS["volatility_metrics"])
+        run(table.sink(joined_volatility(price_stream(topic.stream(spark)), span), f"{tmp_path}/check{span}"))
+        assert rows(table.read(), *columns) == rows(volatility(ticks, span), *columns)
