@@ -4,8 +4,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.plans import commerce
+from tidemart.plans import commerce, registry
+from tidemart.plans.marts import SCHEMAS
 from tidemart.schemas import COMMERCE
+from tidemart.session import shuffles_of
 from tidemart.sources.csv_tables import read_csv
 
 D = dt.date
@@ -141,3 +143,49 @@ def test_whole_batch(spark, rows, tmp_path):
     assert (tmp_path / "out" / "rejected" / "rejected_orders").exists()
     assert read_csv(spark, f"{target}/rejected/rejected_orders", COMMERCE["orders"]).count() == rejects["orders"]
     assert not (tmp_path / "out" / "rejected" / "rejected_customers").exists()
+
+
+@pytest.fixture
+def lines(spark, tmp_path):
+    """A folder with lines, parts and orders: forty orders of five lines."""
+    at = dt.datetime(1997, 1, 1)
+    rows = [(o, (o * 5 + n) % 30 + 1, 1, n, 2.0, 10.0, 0.0, 0.0, "N", "O", at) for o in range(1, 41) for n in range(5)]
+    spark.createDataFrame(rows, SCHEMAS["lineitem"]).write.parquet(f"{tmp_path}/lineitem.parquet")
+    parts = [(p, "n", "b", f"t{p % 3}", 1, 900.0) for p in range(1, 31)]
+    spark.createDataFrame(parts, SCHEMAS["part"]).write.parquet(f"{tmp_path}/part.parquet")
+    orders = [(o, o, "F", 100.0, at, "1") for o in range(1, 39)]
+    spark.createDataFrame(orders, SCHEMAS["orders"]).write.parquet(f"{tmp_path}/orders.parquet")
+    return str(tmp_path)
+
+
+def test_items_are_dealt_out_by_their_number(spark, lines, monkeypatch):
+    monkeypatch.setattr("tidemart.session.ROWS_PER_TASK", 10)
+    shop = registry.Shop(spark, lines)
+    items, lost = shop.clean("order_items"), registry.COMMERCE["orphaned_items"](shop)
+    plan = lost._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(order_id" in plan and "20), REPARTITION_BY_NUM" in plan  # 200 lines
+    # Sums and parts share one shuffle; copies and the join by order another.
+    assert plan.count("hashpartitioning(l_partkey") == 1 and "hashpartitioning(l_orderkey" not in plan
+    kept = {r.item_id: r.order_id for r in items.collect()}
+    assert len(kept) == sum((o + p) % 89 != 0 for o, p in {(o, (o * 5 + n) % 30 + 1) for o in range(1, 41) for n in range(5)})
+    assert {r.order_id for r in lost.collect()} == {"O39", "O40"}
+
+
+def test_the_batch_shuffles_into_partitions_by_its_rows(spark, monkeypatch):
+    monkeypatch.setattr("tidemart.session.ROWS_PER_TASK", 10)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with shuffles_of(spark, 95):
+        assert spark.conf.get(key) == "10"
+    with shuffles_of(spark, 5):
+        assert spark.conf.get(key) == before
+    assert spark.conf.get(key) == before
+
+
+def test_order_rows_are_sorted_after_their_shuffle_only(spark):
+    shape = "order_id STRING, item_id STRING, customer_id STRING, country STRING, customer_tier STRING, category STRING, net_amount DOUBLE"
+    data = [("o1", "i2", "c", "x", "t", "late", 5.0), ("o1", "i1", "c", "x", "t", "first", 5.0), ("o2", None, "c", "x", "t", None, 1.0)]
+    once = commerce.per_order(spark.createDataFrame(data, shape))
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("SortAggregate") < plan.index("Exchange")  # from the result down: sorted after the only shuffle
+    assert sorted((r.order_id, r.category) for r in once.collect()) == [("o1", "first"), ("o2", None)]

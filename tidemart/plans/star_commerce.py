@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.plans.marts import table
+from tidemart.session import tasks_for
 
 
 def _every(key: Column, n: int, rest: int = 0) -> Column:
@@ -51,8 +52,12 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_items(spark: SparkSession, folder: str) -> DataFrame:
-    """One item per part in an order."""
+    """One item per part in an order.
+
+    Lines are dealt out by part once: their sums and the join with the parts both stay in that partition.
+    """
     lines = table(spark, folder, "lineitem")
+    lines = lines.repartition(tasks_for(spark, lines.count()), "l_partkey")
     sums = lines.groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").cast("int").alias("quantity"))
     part = table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("category"),
