@@ -80,6 +80,22 @@ def test_kept_bytes_spans_null_ids_and_repeated_rows(spark):
     assert [[0, 20]] in [r.spans for r in got]
 
 
+def test_passages_of_over_50_words_go_from_400_bytes_on(spark, rows):
+    rng = random.Random(6)
+
+    def some(n):
+        return "".join(rng.choice("abcdefghij") for _ in range(n))
+
+    below, enough = (" ".join([some(6) for _ in range(55)] + [some(n)]) for n in (14, 15))
+    assert [len(p) for p in (below, enough)] == [399, 400]
+    alone = [f"{k}{some(900)}" for k in range(4)]
+    planted = [f"{some(300)}{k}{p}{'KLMN'[k]}{some(300)}" for p in (below, enough) for k in range(4)]
+    data = [*alone, *planted, " ".join([some(420)] * 2)]
+    got = rows(suffix_dedup.remove_repeats(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")).drop("spans"))
+    assert got == [(k, *r) for k, r in enumerate(plain(data, suffix_dedup.LENGTH))]
+    assert [r[2] for r in got] == [0] * 8 + [400] * 4 + [840]
+
+
 def test_empty_table(spark):
     assert suffix_dedup.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
