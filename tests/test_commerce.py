@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemart.plans import commerce, registry
 from tidemart.plans.marts import SCHEMAS
 from tidemart.schemas import COMMERCE
-from tidemart.session import shuffles_of
+from tidemart.session import CLEANUP, children, shuffles_deleted, shuffles_of, work_folder
 from tidemart.sources.csv_tables import read_csv
 
 D = dt.date
@@ -145,6 +145,46 @@ def test_whole_batch(spark, rows, tmp_path):
     assert not (tmp_path / "out" / "rejected" / "rejected_customers").exists()
 
 
+def test_passes_change_no_result_and_leave_no_intermediate_tables(spark, rows, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    source = untidy_folder(tmp_path / "in")
+    with open(f"{source}/order_items.csv", "a") as items, open(f"{source}/returns.csv", "a") as returns:
+        items.write("I9998,,P1,toys,1,9.5\nI9999,,P1,toys,1,9.5\n")  # of no order at all
+        returns.write("R9999,,2024-01-01,late,5.0\n")
+    found = {}
+    for per_pass in (10_000, 100):  # one pass, and six
+        monkeypatch.setattr(commerce, "ITEMS_PER_PASS", per_pass)
+        target, before = str(tmp_path / f"out-{per_pass}"), set(children(spark, work_folder(spark)))
+        commerce.run_batch(spark, source, target)
+        left = {name.rpartition("-")[0] for name in set(children(spark, work_folder(spark))) - before}
+        assert "csv-customers" in left and not left & {"csv-orders", "csv-order_items", "orders", "order_items"}
+        found[per_pass] = [rows(spark.read.parquet(f"{target}/{name}")) for name in ("enriched", "orphaned_items", "returns_enriched")]
+        found[per_pass] += [rows(spark.read.csv(f"{target}/{name}", header=True)) for name in sorted(children(spark, target)) if name.startswith("summary_")]
+    assert found[100] == found[10_000] and all(found[100]) and len(found[100]) == 9
+    lost = spark.read.parquet(f"{tmp_path}/out-100/orphaned_items")
+    assert {"I9998", "I9999"} <= {r.item_id for r in lost.collect()}
+
+
+def test_the_batch_deletes_shuffle_files_of_a_job_that_ended(spark):
+    with shuffles_deleted(spark):
+        assert spark.conf.get(CLEANUP) == "true"
+    assert spark.conf.get(CLEANUP) != "true"
+
+
+def test_the_batch_over_the_test_tables_deletes_its_csv_files(spark, lines):
+    at = dt.datetime(1997, 1, 1)
+    spark.createDataFrame([(c, "n", c % 3, 1.0, "AUTO") for c in range(1, 39)], SCHEMAS["customer"]).write.parquet(f"{lines}/customer.parquet")
+    spark.createDataFrame([(n, f"N{n}", 1) for n in range(3)], SCHEMAS["nation"]).write.parquet(f"{lines}/nation.parquet")
+    back = [(o, 1, 1, 9, 1.0, 10.0, 0.0, 0.0, "R", "O", at) for o in range(1, 20)]
+    spark.createDataFrame(back, SCHEMAS["lineitem"]).write.mode("append").parquet(f"{lines}/lineitem.parquet")
+    before = set(children(spark, work_folder(spark)))
+    shop = registry.Shop(spark, lines)
+    assert registry.COMMERCE["batch_enriched_orders"](shop).count() > 30
+    left = {name.rpartition("-")[0] for name in set(children(spark, work_folder(spark))) - before}
+    assert "shop-out" in left and not any(name.startswith("shop-in") for name in left)
+    assert registry.COMMERCE["batch_returns_enriched"](shop).count() > 10
+
+
 @pytest.fixture
 def lines(spark, tmp_path):
     """A folder with lines, parts and orders: forty orders of five lines."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from typing import NamedTuple
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators.ordered import numbered
 from tidemart.operators.quality import RULES, clean, orphans
-from tidemart.session import pin, shuffles_of
+from tidemart.session import SMALLEST, pin, shuffles_deleted, shuffles_of, unpin
 from tidemart.sinks.files import write_partitioned, write_rejects, write_summaries, write_table
 from tidemart.sources.csv_tables import Intake, read_commerce_folder
 
@@ -179,40 +180,72 @@ def summarise(enriched: DataFrame, returns: DataFrame) -> Summaries:
     )
 
 
+#: Items that are joined at a time, on average: what a pass shuffles does not grow with the tables.
+ITEMS_PER_PASS = 25_000_000
+
+
 def run_batch(spark: SparkSession, data_dir: str, output_dir: str) -> DataFrame:
     """The whole job from CSV folder to output folder; returns the reject counts.
 
     Each CSV file is parsed once, by the pass that writes it as Parquet and
-    counts its rows and rejects. Orders and items are cleaned once, enriched
-    orders and returns written once, and every summary reads those back, so the
-    joins run one time and each summary scans only its columns. Rejected orders
-    and items are written where their counts are above zero. Shuffles have as
-    many partitions as the counted rows need, so a task sorts and hashes in memory.
+    counts its rows and rejects; ``run_intake`` does the rest.
     """
-    intake = read_commerce_folder(spark, data_dir)
-    with shuffles_of(spark, sum(table.row_count for table in intake.tables.values())):
-        _write_batch(spark, intake, output_dir)
-    return intake.rejects()
+    return run_intake(read_commerce_folder(spark, data_dir), output_dir)
 
 
-def _write_batch(spark: SparkSession, intake: Intake, output_dir: str) -> None:
-    tables = clean_tables(intake.kept)
-    for shared in ("orders", "order_items"):  # both feed two outputs
-        tables[shared] = pin(tables[shared], shared)
+def run_intake(intake: Intake, output_dir: str) -> DataFrame:
+    """The job from landed tables to output folder; returns the reject counts.
 
-    enriched = enrich(tables["orders"], tables["customers"], tables["order_items"])
-    write_partitioned(enriched, f"{output_dir}/enriched", "order_year", "order_month")
-    enriched = spark.read.schema(enriched.schema).parquet(f"{output_dir}/enriched")
+    Orders are cleaned once, enriched orders and returns written once, and
+    every summary reads those back, so the joins run one time and each summary
+    scans only its columns. Rejected orders and items are written where their
+    counts are above zero. Shuffles have as many partitions as the counted rows
+    need, so a task sorts and hashes in memory.
 
-    write_table(orphans(tables["order_items"], "order_id", tables["orders"]), f"{output_dir}/orphaned_items")
+    For the disk, orders are joined to their items and returns in passes by a
+    hash of the order, a job's shuffle files go when it ends, and landed orders
+    and items as soon as nothing needs them: the intake is used up.
+    """
+    spark, rows = intake.spark, sum(table.row_count for table in intake.tables.values())
+    with shuffles_of(spark, rows), shuffles_deleted(spark):
+        _write_batch(spark, intake, output_dir)
+    return intake.rejects()
 
-    returns = enrich_returns(tables["returns"], per_order(enriched))
-    write_table(returns, f"{output_dir}/returns_enriched")
-    returns = spark.read.schema(returns.schema).parquet(f"{output_dir}/returns_enriched")
 
-    write_summaries(summarise(enriched, returns)._asdict(), output_dir, SMALL)
+def _write_batch(spark: SparkSession, intake: Intake, output_dir: str) -> None:
     written = ("orders", "order_items")
     write_rejects({f"rejected_{n}": df for n, df in intake.rejected.items() if n in written}, output_dir)
+    tables = clean_tables(intake.kept)
+    tables["orders"] = pin(tables["orders"], "orders", SMALLEST)  # feeds two outputs
+    intake.tables["orders"].drop()
+
+    passes = max(1, math.ceil(intake.tables["order_items"].row_count / ITEMS_PER_PASS))
+
+    def part(df: DataFrame, number: int) -> DataFrame:
+        """What belongs to a pass; rows without an order do too."""
+        return df.filter(F.pmod(F.xxhash64("order_id"), F.lit(passes)) == number) if passes > 1 else df
+
+    def path(name: str) -> str:
+        return f"{output_dir}/{name}"
+
+    for number in range(passes):
+        mode = "append" if number else "overwrite"
+        # Copies of an item have its order: the shuffle that brings them together serves the join too.
+        dealt = part(intake.kept["order_items"], number).repartition("order_id")
+        items, orders = clean(dealt, RULES["order_items"]), part(tables["orders"], number)
+        enriched = enrich(orders, tables["customers"], items)
+        write_partitioned(enriched, path("enriched"), "order_year", "order_month", mode=mode, codec=SMALLEST)
+        write_table(orphans(items, "order_id", orders), path("orphaned_items"), mode, SMALLEST)
+    unpin(tables["orders"])
+    intake.tables["order_items"].drop()
+
+    enriched = spark.read.schema(enriched.schema).parquet(path("enriched"))
+    for number in range(passes):
+        returns = enrich_returns(part(tables["returns"], number), per_order(part(enriched, number)))
+        write_table(returns, path("returns_enriched"), "append" if number else "overwrite", SMALLEST)
+    returns = spark.read.schema(returns.schema).parquet(path("returns_enriched"))
+
+    write_summaries(summarise(enriched, returns)._asdict(), output_dir, SMALL)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from tidemart.operators.quality import Split, reject_measures, split_on_key
 from tidemart.schemas import COMMERCE, COMMERCE_KEYS, REJECT_COUNTS
-from tidemart.session import pin
+from tidemart.session import SMALLEST, pin, unpin
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -64,6 +64,11 @@ class Landed:
     rejected: DataFrame
     row_count: int
     rejected_count: int
+    stored: DataFrame
+
+    def drop(self) -> None:
+        """Delete the files, once no output needs them."""
+        unpin(self.stored)
 
 
 def land(df: DataFrame, key: str, label: str) -> Landed:
@@ -75,9 +80,10 @@ def land(df: DataFrame, key: str, label: str) -> Landed:
     only) nulls, so text is split and cast one time however many outputs use it.
     """
     counts = Observation()
-    split = split_on_key(pin(df.observe(counts, *reject_measures(key)), label), key)
+    stored = pin(df.observe(counts, *reject_measures(key)), label, SMALLEST)
+    split = split_on_key(stored, key)
     seen = counts.get
-    return Landed(split.kept, split.rejected, seen["row_count"], seen["rejected_count"])
+    return Landed(split.kept, split.rejected, seen["row_count"], seen["rejected_count"], stored)
 
 
 @dataclass(frozen=True)
@@ -102,8 +108,9 @@ class Intake:
         return self.spark.createDataFrame(counts, REJECT_COUNTS)
 
 
+def land_commerce_table(spark: SparkSession, path: str, name: str) -> Landed:
+    return land(read_csv(spark, path, COMMERCE[name]), COMMERCE_KEYS[name], f"csv-{name}")
+
+
 def read_commerce_folder(spark: SparkSession, folder: str) -> Intake:
-    return Intake(spark, {
-        name: land(read_csv(spark, f"{folder}/{name}.csv", schema), COMMERCE_KEYS[name], f"csv-{name}")
-        for name, schema in COMMERCE.items()
-    })
+    return Intake(spark, {name: land_commerce_table(spark, f"{folder}/{name}.csv", name) for name in COMMERCE})
