@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemart.llm import embeddings
 from tidemart.llm.components import components
@@ -38,6 +39,39 @@ def test_same_as_all_cosines(spark, rows, monkeypatch, size, tile, cosine):
     assert got == plain(data, cosine)
 
 
+def test_rounds_send_about_the_table_each_and_change_no_result(spark, rows, monkeypatch):
+    rng = np.random.default_rng(7)
+    vectors = [rng.standard_normal(20) for _ in range(40)]
+    vectors += [v + rng.standard_normal(20) * 0.02 for v in vectors * 3]
+    data = [(k, [float(x) for x in v]) for k, v in enumerate(vectors)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    planned, written = [], []
+    plan, clean = embeddings._planned, embeddings.shuffles_deleted
+    monkeypatch.setattr(embeddings, "TILE", 40)
+    monkeypatch.setattr(embeddings, "ROUND_BYTES", 0)
+    monkeypatch.setattr(embeddings, "_planned", lambda held: planned.append(plan(held)) or planned[-1])
+    monkeypatch.setattr(embeddings, "shuffles_deleted", lambda s: written.append(s) or clean(s))
+    got = rows(embeddings.near_duplicates(df), "vec_id", "n_links", "component_id", "kept")
+    assert got == plain(data, embeddings.COSINE)
+    pairs, rounds = planned[0]
+    assert rounds > 3 and len(written) == 2  # the distinct vectors, and all rounds
+    dealt = rows(pairs)
+    assert len({r[:-1] for r in dealt}) == len(dealt) and {r[-1] for r in dealt} <= set(range(rounds))
+
+
+def test_ids_that_repeat_take_the_class_of_their_vector(spark, rows):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    data = [(5, a), (5, b), (2, b), (9, b), (5, None), (7, c), (7, c), (8, a[::-1])]
+    got = rows(embeddings.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<float>")))
+    # c and the turned a are one vector of three copies, b has three, a one; the row without a vector has no link.
+    assert got == sorted([(5, 0, 5, True), (5, 2, 2, False), (2, 2, 2, True), (9, 2, 2, False), (5, 0, 5, True), (7, 2, 7, True), (7, 2, 7, True), (8, 2, 7, False)])
+
+
+@pytest.mark.parametrize(("size", "least", "most"), [(8, 16384, 16384), (64, 16384, 16384), (128, 8192, 8192), (4096, 4096, 4096)])
+def test_tiles_of_wide_vectors_hold_fewer(spark, size, least, most):
+    assert least <= spark.range(1).select(embeddings._tile_rows(F.lit(size))).first()[0] <= most
+
+
 def test_empty_table(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 

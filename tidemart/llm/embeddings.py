@@ -7,8 +7,10 @@ block's share of it (its dimensions over all dimensions), so the union of the
 blocks' range joins has every pair. Each block is range-joined by slabs: rows
 are dealt by their first rotated coordinate of the block into slabs as wide as
 the block's radius, and only equal and neighbouring slabs are compared. Slabs
-are cut into tiles of bounded size; a task compares two tiles. Candidates of a
-block are kept if no earlier block has them too, then verified on the given
+are cut into tiles of bounded size; a task compares two tiles. A large table has
+many pairs of tiles, and each sends its vectors: pairs are dealt into rounds that
+send about the table once each, and a round's shuffle files go when it ends, so
+the disk does not grow with the number of pairs. Candidates of a block are kept if no earlier block has them too, then verified on the given
 vectors in double precision.
 
 Exact copies are compared once and counted with their number. A task returns
@@ -22,24 +24,29 @@ kept but link with nothing; a repeated id counts as another vector of that id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm.components import components
 from tidemart.llm.text import column
-from tidemart.session import pin
+from tidemart.session import SMALLEST, fresh_path, pin, shuffles_deleted
 
 COSINE = 0.95
 #: Dimensions in a block; the last block may have fewer.
 BLOCK = 16
 #: Most vectors in a tile on average; a task compares two tiles.
-TILE = 4096
+TILE = 16384
+#: Vectors of more dimensions than that have smaller tiles, down to LEAST_TILE.
+TILE_SIZE, LEAST_TILE = 64, 4096
 #: Rows compared at a time with a whole tile.
-STEP = 512
+STEP = 256
+#: Bytes that a round sends at least, and bytes of a sent row besides its vector.
+ROUND_BYTES, ROW_BYTES = 256 << 20, 80
 SEED = 5
 #: Allowance for rounding in the range join; the exact check follows.
 SLACK = 1e-4
@@ -127,23 +134,49 @@ def compare(ids: np.ndarray, other_ids: np.ndarray, units: np.ndarray, other_uni
     return counts, other_counts, np.concatenate(noted) if noted else np.empty((0, 2), np.int64)
 
 
+def _tile_rows(size: Column) -> Column:
+    return F.greatest(F.least(F.lit(TILE), F.floor(F.lit(TILE * TILE_SIZE) / size)), F.lit(min(TILE, LEAST_TILE)))
+
+
+def _planned(held: DataFrame) -> tuple[DataFrame, int]:
+    """Pairs of tiles that are compared, each with its round, and the number of rounds.
+
+    A tile meets itself, the others of its slab, and those of the next slab.
+    """
+    keys, each = ["size", "block", "slab"], F.col("held") / F.col("tiles")
+    after = held.select("size", "block", (F.col("slab") - 1).alias("slab"), F.col("tiles").alias("other_tiles"), each.alias("other_rows"))
+    first = held.select(*keys, each.alias("rows"), "tiles", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
+    same = first.select(*keys, "tile", F.col("slab").alias("other_slab"), "rows", F.col("rows").alias("other_rows"),
+                        F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("other_tile"))
+    following = first.join(after, keys).select(*keys, "tile", (F.col("slab") + 1).alias("other_slab"), "rows", "other_rows",
+                                               F.explode(F.sequence(F.lit(0), F.col("other_tiles") - 1)).alias("other_tile"))
+    width = 8 * F.col("size") + ROW_BYTES
+    whole = F.sum(F.when(F.col("block") == 0, F.col("held") * width))
+    table = held.agg(F.coalesce(whole, F.lit(0)).alias("bytes")).first().bytes
+    pairs = pin(same.unionByName(following), "tile-pairs")
+    total = pairs.agg(F.coalesce(F.sum((F.col("rows") + F.col("other_rows")) * width), F.lit(0.0)).alias("bytes")).first().bytes
+    rounds = max(1, math.ceil(total / max(table, ROUND_BYTES)))
+    return pairs.select(*_GROUP, F.pmod(F.xxhash64(*_GROUP), F.lit(rounds)).alias("round")), rounds
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_column: str = "vec_id",
                     vector_column: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
     if not 0 < cosine <= 1:
         raise ValueError("the cosine must be above 0 and at most 1")
+    spark = vectors.sparkSession
     rows = vectors.select(F.col(f"`{id_column}`").cast("long").alias("vec_id"),
                           F.col(f"`{vector_column}`").cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0)
     # Adding 0.0 makes -0.0 and 0.0 one value.
     exact = F.transform("vector", lambda x: x + F.lit(0.0))
-    rows = pin(rows.select("vec_id", F.when(F.coalesce(usable, F.lit(False)), exact).alias("vector")), "vectors")
+    rows = pin(rows.select("vec_id", F.when(F.coalesce(usable, F.lit(False)), exact).alias("vector")), "vectors", SMALLEST)
     copies = rows.filter("vector is not null").groupBy("vector").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
     )
-    copies = pin(copies.withColumn("size", F.size("vector")), "distinct-vectors")
-    schema = "size int, rep long, copies long, vector array<double>, block int, slab int"
+    copies = copies.withColumn("size", F.size("vector")).select("size", "rep", "copies", "vector")
+    schema = "size int, rep long, copies long, vector array<double>, slabs array<int>"
 
     def slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,38 +184,40 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_column: str =
             for size in np.unique(sizes):
                 some = batch.filter(pa.array(sizes == size))
                 turned = _units(_matrix(column(some, "vector"), int(size))) @ rotation(int(size))
-                for k, (start, end) in enumerate(blocks_of(int(size))):
-                    radius = np.sqrt((2 - 2 * cosine) * (end - start) / size + SLACK)
-                    slab = np.floor(turned[:, start] / radius).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [column(some, "size"), column(some, "rep"), column(some, "copies"), column(some, "vector"),
-                         pa.array(np.full(len(slab), k, np.int32)), pa.array(slab)],
-                        ["size", "rep", "copies", "vector", "block", "slab"],
-                    )
-
-    placed = copies.select("size", "rep", "copies", "vector").mapInArrow(slabs, schema)
+                spans = blocks_of(int(size))
+                radii = [np.sqrt((2 - 2 * cosine) * (end - start) / size + SLACK) for start, end in spans]
+                slab = np.floor(turned[:, [start for start, _ in spans]] / radii).astype(np.int32)
+                ends = np.arange(len(slab) + 1, dtype=np.int32) * len(spans)
+                yield pa.RecordBatch.from_arrays(
+                    [*(column(some, c) for c in ("size", "rep", "copies", "vector")),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(slab.ravel()))],
+                    ["size", "rep", "copies", "vector", "slabs"],
+                )
+
+    with shuffles_deleted(spark):
+        copies = pin(copies.mapInArrow(slabs, schema), "distinct-vectors", SMALLEST)
+    placed = copies.select("size", "rep", "copies", "vector", F.posexplode("slabs").alias("block", "slab"))
     # One row per length, block and slab: a coordinate of a unit vector has few slabs.
-    held = placed.groupBy("size", "block", "slab").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("tiles"))
-    held = pin(held, "slabs")
-    after = held.select("size", "block", (F.col("slab") - 1).alias("slab"), F.col("tiles").alias("tiles_after"))
-    before = held.select("size", "block", (F.col("slab") + 1).alias("slab"), F.col("tiles").alias("tiles_before"))
-    plan = held.join(after, ["size", "block", "slab"], "left").join(before, ["size", "block", "slab"], "left")
-    tiled = placed.join(plan, ["size", "block", "slab"]).withColumn(
-        "own", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
-    )
-
-    def pairs(other: str, tiles: str, first: bool) -> DataFrame:
-        """Rows once for each tile of another slab (or their own) they are compared with."""
-        each = tiled.filter(f"{tiles} is not null").withColumn("k", F.explode(F.sequence(F.lit(0), F.col(tiles).cast("int") - 1)))
-        mine, theirs = (F.col("slab"), F.col("own")), (F.expr(other), F.col("k"))
-        one, two = (mine, theirs) if first else (theirs, mine)
-        return each.select("size", "block", one[0].alias("slab"), one[1].alias("tile"), two[0].alias("other_slab"),
-                           two[1].alias("other_tile"), F.lit(first).alias("first"), "rep", "copies", "vector")
-
-    same = pairs("slab", "tiles", True).filter("tile <= other_tile")
-    same_other = pairs("slab", "tiles", False).filter("tile < other_tile")
-    work = same.unionByName(same_other).unionByName(pairs("slab + 1", "tiles_after", True))
-    work = work.unionByName(pairs("slab - 1", "tiles_before", False))
+    held = placed.groupBy("size", "block", "slab").agg(F.count(F.lit(1)).alias("held"))
+    held = pin(held.withColumn("tiles", F.ceil(F.col("held") / _tile_rows(F.col("size"))).cast("int")), "slabs")
+    planned, rounds = _planned(held)
+    tiles = F.broadcast(held.select("size", "block", "slab", "tiles"))
+    tiled = placed.join(tiles, ["size", "block", "slab"]).withColumn(
+        "tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
+    ).drop("tiles")
+
+    def sent(number: int) -> DataFrame:
+        """Rows once for each pair of tiles of a round that theirs is in."""
+        pairs = planned.filter(F.col("round") == number).select(*_GROUP)
+        mine = pairs.select("size", "block", "slab", "tile", F.struct(*_GROUP[2:], F.lit(True).alias("first")).alias("pair"))
+        theirs = pairs.filter("slab <> other_slab or tile <> other_tile").select(
+            "size", "block", F.col("other_slab").alias("slab"), F.col("other_tile").alias("tile"),
+            F.struct(*_GROUP[2:], F.lit(False).alias("first")).alias("pair"))
+        each = mine.unionByName(theirs).groupBy("size", "block", "slab", "tile").agg(F.collect_list("pair").alias("pairs"))
+        # A round has so few pairs, of whole tiles, that they are broadcast.
+        meeting = tiled.join(F.broadcast(each), ["size", "block", "slab", "tile"])
+        return meeting.select("size", "block", F.explode("pairs").alias("p"), "rep", "copies", "vector").select(
+            "size", "block", "p.*", "rep", "copies", "vector")
 
     def task(key: tuple, table: pa.Table) -> pa.Table:
         size, block, slab, tile, other_slab, other_tile = (k.as_py() for k in key)
@@ -204,15 +239,24 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_column: str =
             "found": pa.array(np.concatenate([found[some], np.zeros(len(noted), np.int64)]), pa.int64()),
         })
 
-    results = pin(work.groupBy(*_GROUP).applyInArrow(task, "a long, b long, found long"), "embedding-links")
+    path, links = fresh_path(spark, "embedding-links"), "a long, b long, found long"
+    with shuffles_deleted(spark):
+        for number in range(rounds):
+            sent(number).groupBy(*_GROUP).applyInArrow(task, links).write.mode("append").parquet(path)
+    results = spark.read.schema(links).parquet(path)
     linked = results.groupBy(F.col("a").alias("rep")).agg(F.sum("found").alias("found"))
     least = components(results).select(F.col("node").alias("rep"), "component")
-    classes = copies.join(linked, "rep", "left").join(least, "rep", "left").select(
-        F.col("vector").alias("of"),
-        (F.coalesce("found", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"),
-    )
-    every = rows.join(classes, rows.vector == classes.of, "left")
-    component = F.coalesce("component_id", "vec_id")
-    return every.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    links_of = (F.coalesce("found", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    component = F.coalesce("component", "rep").alias("component_id")
+    # Only copies are joined by their vectors; a vector without copies has its id's class, so few vectors move.
+    several = copies.filter("copies > 1").join(linked, "rep", "left").join(least, "rep", "left").select(
+        F.col("vector").alias("of"), links_of, component)
+    # Several vectors of one id have one class.
+    single = copies.filter("copies = 1").select("rep", "copies").distinct().join(linked, "rep", "left").join(least, "rep", "left").select(
+        "rep", links_of.alias("single_links"), component.alias("single_component"))
+    alone = F.when(F.col("vector").isNotNull() & F.col("of").isNull(), F.col("vec_id")).alias("alone")
+    copied = rows.join(several, rows.vector == several.of, "left").select("vec_id", alone, "n_links", "component_id")
+    every = copied.join(single, copied.alone == single.rep, "left")
+    component = F.coalesce("component_id", "single_component", "vec_id")
+    return every.select("vec_id", F.coalesce("n_links", "single_links", F.lit(0)).cast("long").alias("n_links"),
                         component.alias("component_id"), (component == F.col("vec_id")).alias("kept"))
