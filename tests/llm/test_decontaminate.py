@@ -2,8 +2,10 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemart import session
 from tidemart.llm import decontaminate
 
 ITEM = "If Anna has 5 apples and buys 3 kg of pears, how many does Anna have left after two days?"
@@ -102,3 +104,40 @@ def test_large_filters_find_the_same(spark, monkeypatch):
     few = sorted(decontaminate.matches(docs, items).collect())
     monkeypatch.setattr(decontaminate, "LEAST_BITS", 1 << 23)
     assert sorted(decontaminate.matches(docs, items).collect()) == few and {r.doc_id for r in few} >= {18, 20, 22}
+
+
+def test_a_template_is_made_once_and_only_small_windows_are_joined(spark, monkeypatch):
+    plans, batches, before = {}, {}, spark.conf.get(session.READER_ROWS)
+
+    def pin(df, label="pin", *codec):
+        batches[label] = int(spark.conf.get(session.READER_ROWS))
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return session.pin(df, label, *codec)
+
+    monkeypatch.setattr(decontaminate, "pin", pin)
+    long = "The quick brown fox jumps over the lazy dog near the old river bank. " * 3
+    docs = spark.createDataFrame([(1, long), (2, "Something else."), (None, long), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, long[:70]), (2, "42")], "item_id long, text string")
+    found = decontaminate.matches(docs, items)
+    once = spark.range(1).select(decontaminate.template(F.lit("x").substr(F.lit(1), F.col("id").cast("int"))))
+    each = once._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace")
+    assert each and plans["template-hits"].count("regexp_replace(") <= each + 1  # a template, and the values of its slots
+    assert batches["template-hits"] == batches["line-hits"] == 256 < int(before) == int(spark.conf.get(session.READER_ROWS))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 1), (None, 1)}
+
+
+@pytest.mark.parametrize("most", [0, 10])
+def test_contaminated_documents_are_dropped_by_broadcast_if_they_are_few(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", most)
+    text = "Anna has twelve red apples and gives away seven of them before the long winter comes."
+    docs = spark.createDataFrame([(1, text), (2, "Nothing of the kind."), (None, "Something."), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, text)], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = decontaminate.without_contaminated(docs, items)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (most > 0) and ("SortMergeJoin" in plan) == (most == 0)
+        assert {r.doc_id for r in kept.collect()} == {2, 3, None}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -31,7 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.session import pin
+from tidemart.session import pin, short_batches
 
 #: Words in a window, and words in it that must not be placeholders.
 WIDTH, PLAIN = 5, 3
@@ -183,14 +183,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, coverage: float = COVERAGE
     return found
 
 
+def _each(rows: DataFrame, structs: Column) -> DataFrame:
+    """The structs of an array, a row each.
+
+    For an inner explode Spark would compute the whole array three times: to see if it is null, if it is empty, and to use it.
+    """
+    return rows.select(F.explode_outer(structs).alias("s")).filter("s is not null").select("s.*")
+
+
 def _by_lines(rows: DataFrame, short: DataFrame) -> DataFrame:
     """Documents that are an item of ``short`` as a whole or in one line."""
     bloom = _Filter(short)
     lines = F.concat(F.array("text"), F.split("text", r"\r\n|\r|\n"))
-    hashed = F.filter(F.transform(lines, lambda line: F.struct(F.xxhash64(values(line)).alias("hash"), line.alias("line"))),
+    hashed = F.filter(F.transform(lines, lambda line: F.struct("doc_id", F.xxhash64(values(line)).alias("hash"), line.alias("line"))),
                       lambda s: bloom.may_hold(s["hash"]))
-    each = rows.select("doc_id", F.explode(hashed).alias("s")).select("doc_id", "s.hash", values(F.col("s.line")).alias("doc_values"))
+    each = _each(rows, hashed).select("doc_id", "hash", values(F.col("line")).alias("doc_values"))
     hits = each.join(short, "hash").filter(F.col("doc_values") == F.col("values"))
+    with short_batches(rows.sparkSession):
+        hits = pin(hits.select("doc_id", "item_id", "slots"), "line-hits")
     one = F.lit(1).cast("long")
     return hits.groupBy("doc_id", "item_id").agg(F.max("slots").alias("slots")).select(
         "doc_id", "item_id", one.alias("matched"), one.alias("windows"), F.lit(1.0).alias("coverage"), "slots")
@@ -202,23 +212,25 @@ def _by_windows(rows: DataFrame, windows: DataFrame, coverage: float, least: int
     bloom = _Filter(windows)
 
     def passing(words: Column) -> Column:
-        """Width and place of each window that the filter lets pass."""
+        """Place, hash and words of each window that the filter lets pass."""
         return F.concat(*[
             F.array_compact(F.transform(_hashes(words, width), lambda h, i: F.when(
-                bloom.may_hold(h), F.struct(F.lit(width).alias("width"), (i + 1).alias("at")))))
+                bloom.may_hold(h), F.struct((i + 1).alias("place"), h.alias("hash"), F.slice(words, i + 1, width).alias("doc_words")))))
             for width in widths
         ])
 
-    found = rows.withColumn("found", _once(template(F.col("text")), passing)).filter(F.size("found") > 0)
-    found = found.withColumn("w", template(F.col("text")))
-    each = found.select("doc_id", "w", values(F.col("text")).alias("v"), F.explode("found").alias("f"))
-    cut = [F.slice(c, F.col("f.at"), F.col("f.width")) for c in ("w", "v")]
-    each = each.select("doc_id", F.col("f.at").alias("place"), cut[0].alias("doc_words"), cut[1].alias("doc_values"))
-    each = each.withColumn("hash", F.xxhash64("doc_words"))
+    def with_values(found: Column) -> Column:
+        """The windows with what stands in the text for their words, which is only looked up if there are any."""
+        return F.when(F.size(found) > 0, _once(values(F.col("text")), lambda v: F.transform(found, lambda f: F.struct(
+            "doc_id", f["place"].alias("place"), f["hash"].alias("hash"), f["doc_words"].alias("doc_words"),
+            F.slice(v, f["place"], F.size(f["doc_words"])).alias("doc_values")))))
+
+    each = _each(rows, _once(_once(template(F.col("text")), passing), with_values))
     hits = each.join(windows, "hash").filter(F.col("doc_words") == F.col("words"))
     slots = F.filter(F.arrays_zip(F.col("words").alias("kind"), F.col("values").alias("item"), F.col("doc_values").alias("doc")),
                      lambda s: _is_slot(s["kind"]))
-    hits = pin(hits.select("doc_id", "item_id", "windows", "at", "place", slots.alias("slots")), "template-hits")
+    with short_batches(rows.sparkSession):
+        hits = pin(hits.select("doc_id", "item_id", "windows", "at", "place", slots.alias("slots")), "template-hits")
 
     pairs = hits.select("doc_id", "item_id", F.explode("slots").alias("s")).select("doc_id", "item_id", "s.kind", "s.item", "s.doc")
     counted = pairs.groupBy("doc_id", "item_id", "kind", "item", "doc").agg(F.count(F.lit(1)).alias("n"))
@@ -243,7 +255,13 @@ AGREED = "array<struct<kind:string,item:string,doc:string>>"
 RESULT = "doc_id long, item_id long, matched long, windows long, coverage double, slots long"
 
 
+#: Documents that are dropped by a broadcast of their ids; of more, the documents are shuffled.
+MOST_BROADCAST = 250_000
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options: object) -> DataFrame:
     """``docs`` without the documents that any item contaminates."""
-    bad = matches(docs, benchmark, **options).select(F.col("doc_id").alias("_bad")).distinct()
+    bad = pin(matches(docs, benchmark, **options).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
+    if bad.count() <= MOST_BROADCAST:
+        bad = F.broadcast(bad)
     return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
